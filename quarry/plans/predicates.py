@@ -1,3 +1,202 @@
-"""Queries of SURVEY §2 (predicates)."""
+"""SURVEY §2.3 projections, filters and predicates.
+
+Filters are written as column predicates so Catalyst pushes them into the
+parquet scan (``PushedFilters``); ranges are preferred over functions of the
+column (P10) because only the former can be pushed.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry.functions.core import parse_access
+from quarry.operators.documents import photo_documents
+from quarry.plans.registry import register
+from quarry.plans.sqlx import EX, PHOTO_DOC
+from quarry.sources.derived import access_lines, events_x, lake_lines
+from quarry.sources.tables import Tables
+
+ACCOUNT = "Customer#000000007"
+
+
+@register("P1_nested_field_equality", f"""
+WITH {PHOTO_DOC} SELECT photo_id, path, segment FROM doc WHERE account_name = '{ACCOUNT}'""")
+def p1(spark, sf):
+    """Equality on a nested field: photos whose embedded user has a given account name."""
+    t = Tables(spark, sf)
+    d = photo_documents(t.orders, t.customer, t.nation)
+    return d.filter(F.col("user.account_name") == ACCOUNT).select("photo_id", "path",
+                                                                   F.col("user.segment").alias("segment"))
+
+
+@register("P2_vertical_partitions_rejoined", """
+SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice, o_orderpriority FROM orders""")
+def p2(spark, sf):
+    """Vertical partitioning into two column subsets sharing the key, and the 1:1 re-join."""
+    o = Tables(spark, sf).orders
+    a = o.select("o_orderkey", "o_custkey", "o_orderdate")
+    b = o.select("o_orderkey", "o_totalprice", "o_orderpriority")
+    return a.join(b, "o_orderkey").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice",
+                                          "o_orderpriority")
+
+
+@register("P3_half_open_time_range", """
+SELECT event_id, ts, event_type FROM events
+WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-11 00:00:00'""")
+def p3(spark, sf):
+    """Half-open time range ``a <= ts < b`` (pushed to the parquet scan)."""
+    ev = Tables(spark, sf).events
+    lo, hi = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"), F.lit("2024-01-11 00:00:00").cast("timestamp_ntz")
+    return ev.filter((F.col("ts") >= lo) & (F.col("ts") < hi)).select("event_id", "ts", "event_type")
+
+
+@register("P4_in_list_classify", """
+SELECT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'app' ELSE 'web' END AS client, count(*) AS n
+FROM orders GROUP BY 1""")
+def p4(spark, sf):
+    """IN-list predicate used to classify rows (app vs web by a value set)."""
+    o = Tables(spark, sf).orders
+    cls = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "app").otherwise("web")
+    return o.groupBy(cls.alias("client")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("P5_is_view_on_log_lines", f"""
+WITH {EX} SELECT path, count(*) AS views FROM ex WHERE status IN (200, 304) GROUP BY path""")
+def p5(spark, sf):
+    """Is-a-view predicate on raw access lines: GET, path under /st/, status 200 or 304."""
+    a = access_lines(Tables(spark, sf).events).select(parse_access("line").alias("r"))
+    v = a.filter((F.col("r.method") == "GET") & F.col("r.path").startswith("/st/") & F.col("r.status").isin(200, 304))
+    return v.groupBy(F.col("r.path").alias("path")).agg(F.count(F.lit(1)).alias("views"))
+
+
+@register("P6_substring_of_line", f"""
+WITH {EX} SELECT count(*) AS lines, count(*) FILTER (WHERE status IN (200, 304)) AS views FROM ex WHERE k = 42""")
+def p6(spark, sf):
+    """Substring match of a raw line (``"GET /st/42 ``): lines and views of one photo."""
+    a = access_lines(Tables(spark, sf).events)
+    hit = a.filter(F.col("line").contains('"GET /st/42 ')).select(parse_access("line").alias("r"))
+    return hit.agg(F.count(F.lit(1)).alias("lines"),
+                   F.count_if(F.col("r.status").isin(200, 304)).alias("views"))
+
+
+@register("P7_case_insensitive_regex", f"""
+WITH {EX}
+SELECT CASE WHEN event_type = 'error' THEN 'nginx' ELSE 'upload' END AS service, count(*) AS n
+FROM ex WHERE event_type IN ('error', 'purchase') GROUP BY 1""")
+def p7(spark, sf):
+    """Case-insensitive regex line filter ``(?i)error|fatal|critical`` over the log lake, per service."""
+    lines = lake_lines(Tables(spark, sf).events)
+    return lines.filter(F.col("line").rlike("(?i)error|fatal|critical")).groupBy("service").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("P8_label_regex_anchored", """
+SELECT source, count(*) AS n FROM documents WHERE regexp_full_match(source, 'src1.*') GROUP BY source""")
+def p8(spark, sf):
+    """Label matcher ``source =~ "src1.*"``: the regex is anchored at both ends."""
+    d = Tables(spark, sf).documents
+    return d.filter(F.col("source").rlike("^(?:src1.*)$")).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("P9_extracted_field_compare", f"""
+WITH {EX} SELECT status, count(*) AS n FROM ex WHERE status >= 500 GROUP BY status""")
+def p9(spark, sf):
+    """Numeric comparison on a field extracted from the line (``status >= 500``)."""
+    a = access_lines(Tables(spark, sf).events)
+    st = F.regexp_extract("line", r"\" (\d{3}) ", 1).try_cast("int")
+    return a.filter(st >= 500).groupBy(st.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("P10_date_equality_as_range", """
+SELECT o_orderkey, o_totalprice FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1997-05-28'""")
+def p10(spark, sf):
+    """Date equality on a timestamp, written as a pushable half-open range."""
+    o = Tables(spark, sf).orders
+    lo = F.lit("1997-05-28 00:00:00").cast("timestamp_ntz")
+    hi = F.lit("1997-05-29 00:00:00").cast("timestamp_ntz")
+    return o.filter((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi)).select("o_orderkey", "o_totalprice")
+
+
+def lookup_status(requests, table, req_col: str, key_col: str, cols: list[str]):
+    """One row per request; found -> 200 with the row, absent -> 404 with nulls."""
+    j = requests.join(table.select(F.col(key_col).alias("_k"), *cols), F.col(req_col) == F.col("_k"), "left")
+    return j.select(req_col, F.when(F.col("_k").isNotNull(), 200).otherwise(404).alias("status"), *cols)
+
+
+@register("P11_lookup_absent_is_404", """
+SELECT c_custkey * 10 AS request_id, CASE WHEN o_orderkey IS NULL THEN 404 ELSE 200 END AS status, o_totalprice
+FROM customer LEFT JOIN orders ON c_custkey * 10 = o_orderkey""")
+def p11(spark, sf):
+    """Lookup of one key per request; an absent key is reported as 404, not dropped."""
+    t = Tables(spark, sf)
+    req = t.customer.select((F.col("c_custkey") * 10).alias("request_id"))
+    return lookup_status(req, t.orders, "request_id", "o_orderkey", ["o_totalprice"])
+
+
+def bulk_lookup(requests, table, ids_col: str, key_col: str, cols: list[str]):
+    """``ids`` text ``1,2,x`` -> rows in request order; non-numeric and missing ids dropped."""
+    ex = requests.select("*", F.posexplode(F.split(ids_col, ",")).alias("pos", "id_text"))
+    ex = ex.withColumn("id", F.trim("id_text").try_cast("bigint")).filter(F.col("id").isNotNull())
+    return (ex.join(table.select(F.col(key_col).alias("id"), *cols), "id")
+            .drop("id_text", ids_col))
+
+
+@register("P12_bulk_lookup_in_request_order", """
+WITH req AS (
+  SELECT o_custkey AS request, strftime(o_orderdate, '%Y') AS yr,
+         string_agg(CAST(o_orderkey * 2 AS VARCHAR), ',' ORDER BY o_orderkey) || ',x, 7' AS ids
+  FROM orders GROUP BY 1, 2),
+ex AS (SELECT request, yr, unnest(generate_series(1, len(string_split(ids, ',')))) - 1 AS pos,
+              unnest(string_split(ids, ',')) AS id_text FROM req)
+SELECT request, yr, CAST(pos AS INTEGER) AS pos, TRY_CAST(trim(id_text) AS BIGINT) AS id, o_totalprice
+FROM ex JOIN orders ON TRY_CAST(trim(id_text) AS BIGINT) = o_orderkey""")
+def p12(spark, sf):
+    """Bulk lookup of an id list per request (per customer and year): kept ids with their position."""
+    o = Tables(spark, sf).orders
+    req = o.groupBy(F.col("o_custkey").alias("request"), F.date_format("o_orderdate", "yyyy").alias("yr")).agg(
+        F.concat(F.array_join(F.transform(F.sort_array(F.collect_list(F.col("o_orderkey") * 2)), lambda x: x.cast("string")), ","),
+                 F.lit(",x, 7"))
+        .alias("ids"))
+    return bulk_lookup(req, o, "ids", "o_orderkey", ["o_totalprice"]).select("request", "yr", "pos", "id",
+                                                                            "o_totalprice")
+
+
+@register("P13_first_row_matching", """
+SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 400000 ORDER BY o_orderkey LIMIT 1""")
+def p13(spark, sf):
+    """First row (in key order) that satisfies a predicate."""
+    o = Tables(spark, sf).orders
+    return o.filter(F.col("o_totalprice") > 400000).select("o_orderkey", "o_totalprice").orderBy("o_orderkey").limit(1)
+
+
+@register("P14_non_null_filter", f"""
+WITH {PHOTO_DOC} SELECT format, count(*) AS n FROM doc WHERE camera_id IS NOT NULL GROUP BY format""")
+def p14(spark, sf):
+    """Non-null filter: photos that have a camera, per format."""
+    t = Tables(spark, sf)
+    d = photo_documents(t.orders, t.customer, t.nation)
+    return d.filter(F.col("camera").isNotNull()).groupBy("format").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("P15_drop_empty_results", """
+WITH w AS (SELECT l_orderkey, list_sort(list(DISTINCT p_name)) AS names
+           FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_name LIKE 'red %' GROUP BY l_orderkey)
+SELECT l_orderkey, CAST(len(names) AS INTEGER) AS n_found FROM w WHERE len(names) > 0""")
+def p15(spark, sf):
+    """Emit only non-empty model results: orders with at least one 'red ...' part."""
+    t = Tables(spark, sf)
+    j = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    found = j.groupBy("l_orderkey").agg(
+        F.collect_set(F.when(F.col("p_name").startswith("red "), F.col("p_name"))).alias("names"))
+    return found.filter(F.size("names") > 0).select("l_orderkey", F.size("names").alias("n_found"))
+
+
+@register("P16_delete_by_id_list", """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey = 0)""")
+def p16(spark, sf):
+    """Delete by an id list: the new version keeps the rows not in the list (anti join)."""
+    t = Tables(spark, sf)
+    gone = t.customer.filter(F.col("c_nationkey") == 0).select(F.col("c_custkey").alias("o_custkey"))
+    return t.orders.select("o_orderkey", "o_custkey").join(gone, "o_custkey", "left_anti").select("o_orderkey",
+                                                                                                "o_custkey")

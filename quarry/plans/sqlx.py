@@ -51,3 +51,14 @@ SPANS = """spans AS (
          l_shipdate + to_microseconds(CAST(round(l_quantity * 1000000) AS BIGINT)) AS "end",
          l_quantity AS duration_s, l_partkey, l_suppkey, l_extendedprice
   FROM lineitem)"""
+
+PHOTO_DOC = """doc AS (
+  SELECT o_orderkey AS photo_id, '/st/u' || CAST(o_custkey AS VARCHAR) || '/' || CAST(o_orderkey AS VARCHAR) || '.jpg' AS path,
+         o_orderdate AS upload_date, o_totalprice AS size,
+         CASE o_orderstatus WHEN 'F' THEN 'jpeg' WHEN 'O' THEN 'heic' WHEN 'P' THEN 'png' END AS format,
+         CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'Order ' || CAST(o_orderkey AS VARCHAR) END AS title,
+         string_split(lower(regexp_replace(o_orderpriority, '^\\d-', '')), ' ') AS objects,
+         o_custkey AS user_id, c_name AS account_name, c_mktsegment AS segment,
+         CAST(nullif(o_orderkey % 25, 0) AS INTEGER) AS camera_id, n_name AS manufacturer
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN nation ON nullif(o_orderkey % 25, 0) = n_nationkey)"""

@@ -23,6 +23,7 @@ DEFAULT_CONF = {
     # ``yyyy-MM`` and zero-padded folder values stay strings.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
