@@ -262,7 +262,10 @@ def url_param(url, name: str) -> Column:
 
 
 def url_encode(x) -> Column:
-    return F.url_encode(_c(x))
+    """percent-encode everything but the RFC 3986 unreserved characters (space -> %20)."""
+    e = F.url_encode(_c(x))
+    return F.replace(F.replace(F.replace(e, F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")),
+                     F.lit("%7E"), F.lit("~"))
 
 
 # Ordered routes of the gateway; only GET is routed, first match
