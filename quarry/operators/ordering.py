@@ -4,13 +4,14 @@ A window with ``orderBy`` but no (or a low-cardinality) ``partitionBy`` puts
 every row into one task.  The prefix pattern used here scales instead
 (SURVEY §7.3):
 
-1. range-partition the rows by (part, order) into ``n_blocks`` balanced
-   blocks (``repartitionByRange``, sampled bounds) and tag each row with its
-   block id;
+1. cut the order into ``n_blocks`` contiguous ranges of the leading order
+   column (equal width between its exact min and max, so the block of a row
+   is a pure function of the data - ``repartitionByRange`` + partition id
+   would not be, its sampled bounds change from job to job);
 2. finish the running value *inside* each (block, part) with an ordinary
-   window, which is bounded by the block size even for a hot key;
-3. aggregate one row per (part, block) - a table of at most
-   ``n_blocks + #parts`` rows - and prefix it across blocks per part;
+   window, which is bounded by the block even for a hot key;
+3. aggregate one row per (part, block) and prefix it across blocks per part
+   (at most ``n_blocks`` rows per part);
 4. join the block offsets back on (part, block).
 
 Every ordering must be total (append a tie-break) so the result is
@@ -29,14 +30,27 @@ def _cols(xs) -> list[Column]:
 
 
 def default_blocks(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    """Many small blocks: the (block, part) windows then spread evenly over the shuffle."""
+    return 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
+def _numeric(c: Column, dtype: str) -> Column:
+    if dtype.startswith("timestamp") or dtype == "date":
+        return F.unix_micros(c.cast("timestamp"))
+    return c.cast("double")
 
 
 def with_blocks(df: DataFrame, part_cols: list, order_cols: list, n_blocks: int | None = None) -> DataFrame:
-    """Range-partition by (part, order) and tag rows with ``_blk`` (their block id)."""
+    """Tag rows with ``_blk``: the equal-width range of the leading order column they fall in."""
     n = n_blocks or default_blocks(df)
-    return df.repartitionByRange(n, *_cols(part_cols), *_cols(order_cols)).withColumn(
-        "_blk", F.spark_partition_id())
+    lead = order_cols[0]
+    lead_c = F.col(lead) if isinstance(lead, str) else lead
+    dtype = df.select(lead_c.alias("_v")).schema["_v"].dataType.simpleString()
+    v = _numeric(lead_c, dtype)
+    stats = df.agg(F.min(v).cast("double").alias("_lo"), F.max(v).cast("double").alias("_hi"))
+    blk = F.least(F.lit(n - 1), F.greatest(F.lit(0), F.floor(
+        (v.cast("double") - F.col("_lo")) * F.lit(n) / (F.col("_hi") - F.col("_lo") + F.lit(1.0))))).cast("int")
+    return df.crossJoin(F.broadcast(stats)).withColumn("_blk", F.coalesce(blk, F.lit(0))).drop("_lo", "_hi")
 
 
 def prefix_running(df: DataFrame, part_cols: list, order_cols: list, value_col: str | None = None,
@@ -110,3 +124,31 @@ def count_decreases(df: DataFrame, order_cols: list, value_col: str, part_cols:
         out = res.select("_n").unionByName(b.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("_n")))
         out = out.agg(F.sum("_n").alias("_n"))
     return out.select(*pc, F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("decreases"))
+
+
+def running_last(df: DataFrame, part_cols: list, order_cols: list, value_cols: list[str],
+                 n_blocks: int | None = None, exclusive: bool = False, suffix: str = "_last") -> DataFrame:
+    """Add ``<c><suffix>``: the last non-null value of ``c`` up to the row (``exclusive``: strictly
+    before it) within each part in order.  "Last non-null" is associative, so it is
+    finished inside (block, part) windows and carried across blocks by a prefix over
+    the one-row-per-(part, block) summary; a hot part is spread over many blocks.
+    """
+    pc = list(part_cols)
+    b = with_blocks(df, pc, order_cols, n_blocks)
+    w_local = Window.partitionBy("_blk", *pc).orderBy(*_cols(order_cols))
+    frame = w_local.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    ocols = [c for c in order_cols if isinstance(c, str)]
+    if len(ocols) != len(order_cols):
+        raise ValueError("order_cols must be column names")
+    ostruct = F.struct(*[F.col(c) for c in ocols])
+    for c in value_cols:
+        b = b.withColumn(f"_l_{c}", F.last(c, ignorenulls=True).over(frame))
+    summ = b.groupBy(*pc, "_blk").agg(*[
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ostruct)).alias(f"_b_{c}") for c in value_cols])
+    w_blk = Window.partitionBy(*pc).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    for c in value_cols:
+        summ = summ.withColumn(f"_o_{c}", F.last(f"_b_{c}", ignorenulls=True).over(w_blk))
+    j = b.join(summ.select(*pc, "_blk", *[f"_o_{c}" for c in value_cols]), [*pc, "_blk"])
+    for c in value_cols:
+        j = j.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"_l_{c}"), F.col(f"_o_{c}")))
+    return j.drop("_blk", *[f"_l_{c}" for c in value_cols], *[f"_o_{c}" for c in value_cols])
