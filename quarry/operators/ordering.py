@@ -152,3 +152,38 @@ def running_last(df: DataFrame, part_cols: list, order_cols: list, value_cols: l
     for c in value_cols:
         j = j.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"_l_{c}"), F.col(f"_o_{c}")))
     return j.drop("_blk", *[f"_l_{c}" for c in value_cols], *[f"_o_{c}" for c in value_cols])
+
+
+def running_sum(df: DataFrame, part_cols: list, order_cols: list, value_col: str, n_blocks: int | None = None,
+                name: str = "_run_sum") -> DataFrame:
+    """Add ``name``: running sum of ``value_col`` up to and including the row, per part in order."""
+    pc = list(part_cols)
+    b = with_blocks(df, pc, order_cols, n_blocks)
+    w_local = Window.partitionBy("_blk", *pc).orderBy(*_cols(order_cols)).rowsBetween(Window.unboundedPreceding, 0)
+    b = b.withColumn("_lsum", F.sum(value_col).over(w_local))
+    blocks = b.groupBy(*pc, "_blk").agg(F.sum(value_col).alias("_bsum"))
+    w_blk = Window.partitionBy(*pc).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    off = blocks.withColumn("_off", F.coalesce(F.sum("_bsum").over(w_blk), F.lit(0)))
+    j = b.join(off.select(*pc, "_blk", "_off"), [*pc, "_blk"])
+    return j.withColumn(name, F.col("_lsum") + F.col("_off")).drop("_lsum", "_off", "_blk")
+
+
+def count_in_range(df: DataFrame, part_cols: list, ts_col: str, id_col: str, width: int,
+                   n_blocks: int | None = None, name: str = "in_range") -> DataFrame:
+    """Rows of the same part with ``ts`` in ``(t - width, t]`` for every row (a range frame),
+    without a per-part window: two marker rows per row look up the running count of
+    real rows at ``t`` and at ``t - width``; the difference is the count.
+    """
+    pc = list(part_cols)
+    real = df.select(*pc, F.col(ts_col).alias("_t"), F.lit(0).alias("_kind"), F.lit(1).alias("_real"),
+                     F.col(id_col).alias("_id"), F.lit(None).cast("string").alias("_role"))
+    at_t = df.select(*pc, F.col(ts_col).alias("_t"), F.lit(1).alias("_kind"), F.lit(0).alias("_real"),
+                     F.col(id_col).alias("_id"), F.lit("hi").alias("_role"))
+    at_lo = df.select(*pc, (F.col(ts_col) - F.lit(width)).alias("_t"), F.lit(1).alias("_kind"), F.lit(0).alias("_real"),
+                      F.col(id_col).alias("_id"), F.lit("lo").alias("_role"))
+    u = real.unionByName(at_t).unionByName(at_lo)
+    r = running_sum(u, pc, ["_t", "_kind", "_id", "_role"], "_real", n_blocks, "_c").filter(F.col("_kind") == 1)
+    c = r.groupBy(F.col("_id").alias(id_col)).agg(
+        (F.max(F.when(F.col("_role") == "hi", F.col("_c"))) - F.max(F.when(F.col("_role") == "lo", F.col("_c"))))
+        .alias(name))
+    return df.join(c, id_col)
