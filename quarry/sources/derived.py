@@ -53,6 +53,15 @@ def user_agent(user_id: Column, k: Column) -> Column:
             .otherwise(F.lit("Mozilla/5.0 (X11; Linux x86_64) Firefox/95.0")))
 
 
+# Image format of a photo key (k % 3).
+IMAGE_FORMATS = ["jpeg", "heic", "png"]
+
+
+def image_format(k: Column) -> Column:
+    return (F.when(k % 3 == 0, F.lit(IMAGE_FORMATS[0])).when(k % 3 == 1, F.lit(IMAGE_FORMATS[1]))
+            .otherwise(F.lit(IMAGE_FORMATS[2])))
+
+
 def _access_line(e: DataFrame) -> Column:
     uid = F.col("user_id").cast("string")
     return F.concat(
@@ -84,7 +93,7 @@ def lake_lines(events: DataFrame) -> DataFrame:
     error = F.concat(
         F.date_format("ts", "yyyy/MM/dd HH:mm:ss"), F.lit(" [error] 7#7: *"), F.col("event_id").cast("string"),
         F.lit(" upstream timed out, client: 192.0.2."), uid, F.lit(', request: "GET '), F.col("path"),
-        F.lit(' HTTP/1.1"'))
+        F.lit(' HTTP/1.1", format='), image_format(F.col("k")))
     upload = F.concat(
         F.lit('{"ts": "'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit('Z", "level": "error", '),
         F.lit('"service": "upload", "event": "crash", "platform": "'),
