@@ -216,8 +216,8 @@ def x13(spark, sf):
     return got.groupBy("event_type").agg(F.count(F.lit(1)).alias("messages"))
 
 
-def _results_topic(spark, sf):
-    """Detector results of both models as one topic (objects and friends), with redeliveries."""
+def results_messages(spark, sf):
+    """Detector results of both models as messages (objects and friends), with redeliveries."""
     t = Tables(spark, sf)
     p = t.part.select("p_partkey", F.split("p_name", " ").alias("truth"))
     vocab = vocabulary(p.select(F.explode("truth").alias("word")))
@@ -228,11 +228,14 @@ def _results_topic(spark, sf):
         .alias("friends")).select("p_partkey", F.lit(None).cast("string").alias("objects"), "friends")
     res = obj.unionByName(fr)
     res = res.unionByName(res.filter(F.col("p_partkey") % 10 == 3))  # redelivered after a restart
-    msgs = to_messages(res, "results", F.col("p_partkey"), F.to_json(F.struct("p_partkey", "objects", "friends")),
+    return to_messages(res, "results", F.col("p_partkey"), F.to_json(F.struct("p_partkey", "objects", "friends")),
                        stable_hash("p_partkey") % 6, F.monotonically_increasing_id(),
                        F.lit("2024-01-01 00:00:00").cast("timestamp"))
+
+
+def _results_topic(spark, sf):
     path = scratch_path(spark, "topic-results")
-    write_topic(msgs, path)
+    write_topic(results_messages(spark, sf), path)
     return path
 
 
@@ -453,3 +456,15 @@ def s8(spark, sf):
     del q
     back = spark.read.parquet(lake).withColumn("server", F.col("server").cast("int"))
     return back.groupBy("server").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("J12_merge_result_topics_upsert", UPSERT_SQL)
+def j12(spark, sf):
+    """Batch upsert of two result topics: one row per key, latest non-null value per column by offset,
+    and the number of messages as ``writes`` (``INSERT ... ON CONFLICT DO UPDATE`` as an aggregate)."""
+    m = results_messages(spark, sf).select(
+        F.from_json("value", "p_partkey bigint, objects string, friends string").alias("m"), "offset").select(
+        "m.*", "offset")
+    return m.groupBy("p_partkey").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("offset"))).alias(c) for c in ("objects", "friends")],
+        F.count(F.lit(1)).alias("writes"))
