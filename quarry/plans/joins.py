@@ -16,7 +16,7 @@ from quarry.operators.documents import album_documents, photo_documents
 from quarry.plans.registry import register
 from quarry.plans.sqlx import EX, PHOTO_DOC
 from quarry.sources.derived import events_x, friendships
-from quarry.sources.tables import Tables
+from quarry.sources.tables import Tables, spread
 
 
 @register("J1_inner_join_filter", """
@@ -205,7 +205,7 @@ SELECT word, n AS found, 1 + least(n, 1) AS calls_bundled, 1 + n AS calls_per_ro
 def j16(spark, sf):
     """Inverted-index search then fetch: one set-based join replaces one call per hit."""
     t = Tables(spark, sf)
-    idx = (t.documents.select("doc_id", F.explode(F.split("text", r"[^\p{L}]+")).alias("w"))
+    idx = (spread(t.documents.select("doc_id", "text")).select("doc_id", F.explode(F.split("text", r"[^\p{L}]+")).alias("w"))
            .filter(F.col("w") != "").select(F.lower("w").alias("word"), "doc_id").distinct())
     q = t.part.select(F.explode(F.split("p_name", " ")).alias("p")).select(F.lower("p").alias("word")).distinct()
     hits = q.join(idx, "word", "left").groupBy("word").agg(F.count("doc_id").alias("n"))

@@ -15,7 +15,7 @@ from quarry.plans.registry import register
 from quarry.plans.sqlx import EX, h
 from quarry.session import scratch_path
 from quarry.sources.derived import access_lines
-from quarry.sources.tables import Tables
+from quarry.sources.tables import Tables, spread
 
 WORD_RX = r"[^\p{L}]+"
 N_BUCKETS = 16
@@ -23,7 +23,7 @@ N_BUCKETS = 16
 
 def keyword_index(documents):
     """Inverted index rows ``(keyword, doc_id, owner)`` (owner = source), one per distinct pair."""
-    words = documents.select("doc_id", F.col("source").alias("owner"),
+    words = spread(documents.select("doc_id", "source", "text")).select("doc_id", F.col("source").alias("owner"),
                              F.explode(F.split(F.lower("text"), WORD_RX)).alias("keyword"))
     return words.filter(F.col("keyword") != "").distinct()
 
