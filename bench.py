@@ -1,8 +1,9 @@
 """Benchmark: headline queries on ``$BENCH_SF_DIR`` with ``local[$BENCH_CPUS]``; prints one JSON line.
 
 Each query runs to completion through the ``noop`` sink (the whole plan is
-executed, nothing is collected to the driver); time is wall-clock per query
-after one warm-up query.
+executed, nothing is collected to the driver).  Like the published numbers
+(best of 3), each query is timed ``BENCH_REPEAT`` times (default 2) and the
+best wall-clock time is reported; the first run pays JIT warm-up.
 """
 
 from __future__ import annotations
@@ -35,11 +36,16 @@ def main() -> None:
     reg = load_all()
     names = only or HEADLINE
     reg["A1_views_per_path"].build(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     times = {}
     for n in names:
-        t0 = time.perf_counter()
-        reg[n].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[n] = round(time.perf_counter() - t0, 3)
+        best = None
+        for _ in range(repeat):
+            t0 = time.perf_counter()
+            reg[n].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            dt = time.perf_counter() - t0
+            best = dt if best is None else min(best, dt)
+        times[n] = round(best, 3)
         print(f"{n}: {times[n]} s", file=sys.stderr, flush=True)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",

@@ -7,8 +7,9 @@ The fold then runs in two bounded stages:
 1. ``repartitionByRange(key, order)`` + ``sortWithinPartitions``; one
    ``mapInPandas`` pass folds each task's slice of every key into a single
    transform (one row per key and block);
-2. ``groupBy(key).applyInPandas`` composes those few transforms in block
-   order - at most one per block, so a hot key never lands in one task whole.
+2. the transforms are hash-partitioned by key, sorted by block and composed
+   in one ``mapInPandas`` pass - at most one per block and key, so a hot key
+   never lands in one task whole.
 
 :class:`ReplayFold` is the event-replay fold of the photo log written this way.
 """
@@ -93,17 +94,33 @@ def _fold_partition(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=[f.split()[0] for f in TRANSFORM_DDL.split(", ")])
 
 
-def _compose_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("blk")
-    t = ReplayFold.identity()
-    for rec in pdf.to_dict("records"):
-        rec = {k: _none(v) for k, v in rec.items()}
-        rec["touched"] = bool(rec["touched"])
-        t = ReplayFold.compose(t, rec)
-    row = ReplayFold.final(t)
-    if row is None:
-        return pd.DataFrame(columns=["photo_id", "user", "path", "title"])
-    return pd.DataFrame([{"photo_id": pdf["photo_id"].iloc[0], "user": row[0], "path": row[1], "title": row[2]}])
+_STATE_COLS = ["photo_id", "user", "path", "title"]
+
+
+def _compose_partition(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Compose the per-block transforms of each key (rows sorted by key, block) into its final row."""
+    out, key, t = [], None, None
+
+    def emit():
+        if key is not None:
+            row = ReplayFold.final(t)
+            if row is not None:
+                out.append((key, *row))
+
+    for pdf in it:
+        for rec in pdf.to_dict("records"):
+            if rec["photo_id"] != key:
+                emit()
+                key, t = rec["photo_id"], ReplayFold.identity()
+            r = {k: _none(v) for k, v in rec.items()}
+            r["touched"] = bool(r["touched"])
+            t = ReplayFold.compose(t, r)
+        if len(out) >= 10_000:
+            yield pd.DataFrame(out, columns=_STATE_COLS)
+            out = []
+    emit()
+    if out:
+        yield pd.DataFrame(out, columns=_STATE_COLS)
 
 
 def replay_fold(events: DataFrame, n_blocks: int | None = None) -> DataFrame:
@@ -113,8 +130,10 @@ def replay_fold(events: DataFrame, n_blocks: int | None = None) -> DataFrame:
          .repartitionByRange(n, "photo_id", "seq").sortWithinPartitions("photo_id", "seq")
          .withColumn("blk", F.spark_partition_id()))
     parts = e.mapInPandas(_fold_partition, TRANSFORM_DDL)
-    res = parts.groupBy("photo_id").applyInPandas(_compose_blocks, STATE_DDL)
-    return res.withColumn("user", F.col("user").cast("int"))
+    # at most one transform per (key, block): the merge input of a key is bounded by n
+    merged = (parts.repartition(n, "photo_id").sortWithinPartitions("photo_id", "blk")
+              .mapInPandas(_compose_partition, STATE_DDL))
+    return merged.withColumn("user", F.col("user").cast("int"))
 
 
 def replay_python(rows: list[dict]) -> dict:

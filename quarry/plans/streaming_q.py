@@ -136,7 +136,7 @@ def x4(spark, sf):
     A window is emitted once the watermark (max event time - 2 h) reaches its
     end; the still-open last windows stay in state.
     """
-    topic = _events_topic(spark, sf, "x4", ordered_chunks=8)
+    topic = _events_topic(spark, sf, "x4", ordered_chunks=4)
     s = jobs.parse_events(read_topic(spark, topic, max_files_per_trigger=1))
     s = s.withColumn("t", F.col("ts").cast("timestamp"))
     agg = s.withWatermark("t", "2 hours").groupBy(F.window("t", "6 hours")).agg(F.count(F.lit(1)).alias("n"))

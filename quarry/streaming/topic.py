@@ -42,12 +42,14 @@ def append_in_order(msgs: DataFrame, path: str, chunks: int, order_col: str = "o
     column; ``chunks`` is a parameter (the number of micro-batches), not a
     function of the data size.
     """
+    msgs = msgs.persist()
     b = msgs.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
     lo, hi = int(b["lo"]), int(b["hi"])
     width = (hi - lo) // chunks + 1
     for i in range(chunks):
         part = msgs.filter((F.col(order_col) >= lo + i * width) & (F.col(order_col) < lo + (i + 1) * width))
         part.coalesce(1).write.mode("append").parquet(f"{path}/chunk={i:05d}")
+    msgs.unpersist()
 
 
 def read_topic(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
