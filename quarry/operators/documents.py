@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.core import stable_hash
+
 # Photo format by order status.
 FORMAT_BY_STATUS = {"F": "jpeg", "O": "heic", "P": "png"}
 
@@ -52,17 +54,40 @@ def photo_documents(orders: DataFrame, customer: DataFrame, nation: DataFrame) -
                F.struct(F.col("camera_id"), F.col("n_name").alias("manufacturer"))).alias("camera"))
 
 
-def album_documents(part: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Albums (parts) with sorted photo ids (orders) and follower ids (suppliers), ``[]`` if none."""
+PAGE_SIZE = 1000
+
+
+def paged_lists(df: DataFrame, keys: list[str], item: str, name: str, page_size: int = PAGE_SIZE,
+                distinct: bool = True) -> DataFrame:
+    """Sorted id lists per key, cut into pages of about ``page_size`` ids: ``(keys, page, name)``.
+
+    An item goes to page ``h(item) % ceil(n / page_size)`` where ``n`` is the
+    number of items of its key, so one row never holds more than a page even
+    for a key with a third of all rows (the whole list = the union of pages).
+    """
+    d = df.select(*keys, F.col(item).alias("_it"))
+    if distinct:
+        d = d.distinct()
+    n = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    pages = F.ceil(F.col("_n") / F.lit(float(page_size))).cast("bigint")
+    d = d.join(n, keys).withColumn("page", (stable_hash("_it") % pages).cast("int"))
+    return d.groupBy(*keys, "page").agg(F.sort_array(F.collect_list("_it")).alias(name))
+
+
+def album_documents(part: DataFrame, lineitem: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """Albums (parts) with sorted photo ids (orders) and follower ids (suppliers), ``[]`` if none.
+
+    Lists are paged (:func:`paged_lists`); an album without photos has one page 0 with empty lists.
+    """
     li = lineitem.select("l_partkey", "l_orderkey", "l_suppkey")
-    lists = li.groupBy("l_partkey").agg(
-        F.sort_array(F.collect_set("l_orderkey")).alias("photos"),
-        F.sort_array(F.collect_set("l_suppkey")).alias("followers"))
+    photos = paged_lists(li, ["l_partkey"], "l_orderkey", "photos", page_size)
+    followers = paged_lists(li, ["l_partkey"], "l_suppkey", "followers", page_size)
+    lists = photos.join(followers, ["l_partkey", "page"], "full_outer")
     empty = F.array().cast("array<bigint>")
     return (part.select(F.col("p_partkey").alias("album_id"), F.col("p_name").alias("title"))
             .join(lists, F.col("album_id") == F.col("l_partkey"), "left")
-            .select("album_id", "title", F.coalesce("photos", empty).alias("photos"),
-                    F.coalesce("followers", empty).alias("followers")))
+            .select("album_id", "title", F.coalesce("page", F.lit(0)).alias("page"),
+                    F.coalesce("photos", empty).alias("photos"), F.coalesce("followers", empty).alias("followers")))
 
 
 def flatten_photo(doc: DataFrame) -> DataFrame:

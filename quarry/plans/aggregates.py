@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions.core import ratio2, stable_hash
 from quarry.plans.registry import register
-from quarry.plans.sqlx import EX, SPANS, h
+from quarry.operators.documents import paged_lists
+from quarry.plans.sqlx import EX, SPANS, h, paged_sql
 from quarry.sources.derived import events_x, spans, status_of
 from quarry.sources.tables import TABLES, Tables, table
 
@@ -52,12 +53,12 @@ def a5_flag(spark, sf):
         F.max("l_quantity").alias("max_qty"))
 
 
-@register("A7_parts_per_order", """
-SELECT l_orderkey, list_sort(list(l_partkey)) AS parts FROM lineitem GROUP BY l_orderkey""")
+@register("A7_parts_per_order", f"""
+SELECT * FROM {paged_sql('lineitem', 'l_orderkey', 'l_partkey', 'parts', distinct=False)}""")
 def a7(spark, sf):
-    """Collect ids per group as a sorted list (duplicates kept)."""
+    """Collect ids per group as a sorted list (duplicates kept), paged for very large groups."""
     li = Tables(spark, sf).lineitem
-    return li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("l_partkey")).alias("parts"))
+    return paged_lists(li, ["l_orderkey"], "l_partkey", "parts", distinct=False)
 
 
 @register("A8_conditional_counts", f"""

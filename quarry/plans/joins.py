@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quarry.functions.core import floor_hours
 from quarry.operators.documents import album_documents, photo_documents
 from quarry.plans.registry import register
-from quarry.plans.sqlx import EX, PHOTO_DOC
+from quarry.plans.sqlx import EX, PHOTO_DOC, paged_sql
 from quarry.sources.derived import events_x, friendships
 from quarry.sources.tables import Tables, spread
 
@@ -89,14 +89,16 @@ def j4(spark, sf):
                     F.col("camera.manufacturer").alias("manufacturer"))
 
 
-@register("J5_album_documents", """
-WITH l AS (SELECT l_partkey, list_sort(list(DISTINCT l_orderkey)) AS photos,
-                  list_sort(list(DISTINCT l_suppkey)) AS followers FROM lineitem GROUP BY l_partkey)
-SELECT p_partkey AS album_id, p_name AS title, coalesce(photos, CAST([] AS BIGINT[])) AS photos,
+@register("J5_album_documents", f"""
+WITH ph AS {paged_sql('lineitem', 'l_partkey', 'l_orderkey', 'photos')},
+fo AS {paged_sql('lineitem', 'l_partkey', 'l_suppkey', 'followers')},
+l AS (SELECT coalesce(ph.l_partkey, fo.l_partkey) AS l_partkey, coalesce(ph.page, fo.page) AS page, photos, followers
+      FROM ph FULL OUTER JOIN fo ON ph.l_partkey = fo.l_partkey AND ph.page = fo.page)
+SELECT p_partkey AS album_id, p_name AS title, coalesce(page, 0) AS page, coalesce(photos, CAST([] AS BIGINT[])) AS photos,
        coalesce(followers, CAST([] AS BIGINT[])) AS followers
 FROM part LEFT JOIN l ON p_partkey = l_partkey""")
 def j5(spark, sf):
-    """Denormalise one-to-many: per album the sorted photo and follower id lists, ``[]`` if none."""
+    """Denormalise one-to-many: per album the sorted photo and follower id lists (paged), ``[]`` if none."""
     t = Tables(spark, sf)
     return album_documents(t.part, t.lineitem)
 

@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.core import parse_access
-from quarry.operators.documents import photo_documents
+from quarry.operators.documents import paged_lists, photo_documents
 from quarry.plans.registry import register
-from quarry.plans.sqlx import EX, PHOTO_DOC
+from quarry.plans.sqlx import EX, PHOTO_DOC, paged_sql
 from quarry.sources.derived import access_lines, events_x, lake_lines
 from quarry.sources.tables import Tables
 
@@ -141,23 +141,26 @@ def bulk_lookup(requests, table, ids_col: str, key_col: str, cols: list[str]):
             .drop("id_text", ids_col))
 
 
-@register("P12_bulk_lookup_in_request_order", """
-WITH req AS (
-  SELECT o_custkey AS request, strftime(o_orderdate, '%Y') AS yr,
-         string_agg(CAST(o_orderkey * 2 AS VARCHAR), ',' ORDER BY o_orderkey) || ',x, 7' AS ids
-  FROM orders GROUP BY 1, 2),
-ex AS (SELECT request, yr, unnest(generate_series(1, len(string_split(ids, ',')))) - 1 AS pos,
+_REQ_SRC = "(SELECT o_custkey AS request, strftime(o_orderdate, '%Y') AS yr, o_orderkey * 2 AS k2 FROM orders)"
+
+
+@register("P12_bulk_lookup_in_request_order", f"""
+WITH req AS (SELECT request, yr, page, array_to_string(ids, ',') || ',x, 7' AS ids
+             FROM {paged_sql(_REQ_SRC, 'request, yr', 'k2', 'ids')}),
+ex AS (SELECT request, yr, page, unnest(generate_series(1, len(string_split(ids, ',')))) - 1 AS pos,
               unnest(string_split(ids, ',')) AS id_text FROM req)
-SELECT request, yr, CAST(pos AS INTEGER) AS pos, TRY_CAST(trim(id_text) AS BIGINT) AS id, o_totalprice
+SELECT request, yr, page, CAST(pos AS INTEGER) AS pos, TRY_CAST(trim(id_text) AS BIGINT) AS id, o_totalprice
 FROM ex JOIN orders ON TRY_CAST(trim(id_text) AS BIGINT) = o_orderkey""")
 def p12(spark, sf):
-    """Bulk lookup of an id list per request (per customer and year): kept ids with their position."""
+    """Bulk lookup of id lists (one request per customer, year and page of at most ~1000 ids):
+    non-numeric and missing ids are dropped, kept ids keep their position."""
     o = Tables(spark, sf).orders
-    req = o.groupBy(F.col("o_custkey").alias("request"), F.date_format("o_orderdate", "yyyy").alias("yr")).agg(
-        F.concat(F.array_join(F.transform(F.sort_array(F.collect_list(F.col("o_orderkey") * 2)), lambda x: x.cast("string")), ","),
-                 F.lit(",x, 7"))
-        .alias("ids"))
-    return bulk_lookup(req, o, "ids", "o_orderkey", ["o_totalprice"]).select("request", "yr", "pos", "id",
+    src = o.select(F.col("o_custkey").alias("request"), F.date_format("o_orderdate", "yyyy").alias("yr"),
+                   (F.col("o_orderkey") * 2).alias("k2"))
+    req = paged_lists(src, ["request", "yr"], "k2", "ids").select(
+        "request", "yr", "page",
+        F.concat(F.array_join(F.transform("ids", lambda x: x.cast("string")), ","), F.lit(",x, 7")).alias("ids"))
+    return bulk_lookup(req, o, "ids", "o_orderkey", ["o_totalprice"]).select("request", "yr", "page", "pos", "id",
                                                                             "o_totalprice")
 
 

@@ -214,3 +214,17 @@ def test_stable_hash_matches_python(spark):
     got = {r["id"]: r["h"] for r in spark.range(50).select("id", stable_hash("id").alias("h")).collect()}
     assert got == {i: _h(i) for i in range(50)}
 
+
+
+def test_paged_lists_bound_rows_and_keep_all_items(spark):
+    from quarry.operators.documents import paged_lists
+
+    rows = [(0, i) for i in range(50)] + [(1, 7), (1, 7), (1, 8)]
+    df = spark.createDataFrame(rows, "k long, v long")
+    pages = paged_lists(df, ["k"], "v", "items", page_size=10).collect()
+    hot = [r for r in pages if r["k"] == 0]
+    assert len(hot) == 5 and max(len(r["items"]) for r in hot) <= 20
+    assert sorted(x for r in hot for x in r["items"]) == list(range(50))
+    assert [r["items"] for r in pages if r["k"] == 1] == [[7, 8]]
+    dup = paged_lists(df, ["k"], "v", "items", page_size=10, distinct=False).filter("k = 1").collect()
+    assert dup[0]["items"] == [7, 7, 8]
