@@ -135,16 +135,22 @@ def q5(spark, sf):
 
 
 @register("Q6_csv_has_only_strings", """
-SELECT column_name, 'string' AS type FROM (DESCRIBE orders)""")
+SELECT 'o_orderkey' AS column_name, 'string' AS type, count(o_orderkey) AS values FROM orders
+UNION ALL SELECT 'o_custkey', 'string', count(o_custkey) FROM orders
+UNION ALL SELECT 'o_orderstatus', 'string', count(o_orderstatus) FROM orders
+UNION ALL SELECT 'o_totalprice', 'string', count(o_totalprice) FROM orders
+UNION ALL SELECT 'o_orderdate', 'string', count(o_orderdate) FROM orders
+UNION ALL SELECT 'o_orderpriority', 'string', count(o_orderpriority) FROM orders""")
 def q6(spark, sf):
-    """CSV read back without inference returns every column as text."""
+    """CSV read back without inference returns every column as text (type of every value, per column)."""
     o = Tables(spark, sf).orders
     path = scratch_path(spark, "q6")
     o.write.mode("overwrite").option("header", True).csv(path)
     back = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    rows = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("type"))
-            for f in back.schema.fields]
-    return back.limit(1).select(F.explode(F.array(*rows)).alias("c")).select("c.*")
+    long = back.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.typeof(F.col(c)).alias("type"), F.col(c).isNotNull().alias("v"))
+        for c in back.columns])).alias("x")).select("x.*")
+    return long.groupBy("column_name", "type").agg(F.count_if("v").alias("values"))
 
 
 @register("Q7_monotonic_order_check", f"""

@@ -75,7 +75,11 @@ WITH r AS (SELECT event_id, user_id, count(*) OVER (PARTITION BY user_id ORDER B
              RANGE BETWEEN {RL_WINDOW_S * 1_000_000 - 1} PRECEDING AND CURRENT ROW) AS in_window FROM events)
 SELECT event_id, user_id, in_window, CASE WHEN in_window > {RL_LIMIT} THEN 429 ELSE 200 END AS status FROM r""")
 def w4(spark, sf):
-    """Sliding-window limit: requests of the user in ``(t - W, t]`` (rejected ones count too); > limit -> 429."""
+    """Sliding-window limit: requests of the user in ``(t - W, t]`` (rejected ones count too); > limit -> 429.
+
+    Window and limit are parameters (the gateway uses 1 s and 20; the events
+    here are sparser, so 6 h and 3 are used to produce rejections).
+    """
     ev = Tables(spark, sf).events.select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
     c = count_in_range(ev, ["user_id"], "us", "event_id", RL_WINDOW_S * 1_000_000, name="in_window")
     return c.select("event_id", "user_id", "in_window",
