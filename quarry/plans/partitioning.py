@@ -42,10 +42,10 @@ def node_counts(spark, sf):
     whats = long.select(F.explode(F.when(F.col("lw"), F.array(F.lit("all photos"), F.lit("uploads of the last week")))
                                   .otherwise(F.array(F.lit("all photos")))).alias("what"), "strategy", "node")
     counts = whats.groupBy("strategy", "what", "node").agg(F.count(F.lit(1)).alias("photos"))
-    spark_ = a.sparkSession
-    grid = (spark_.range(NODES).select(F.col("id").cast("int").alias("node"))
-            .crossJoin(spark_.createDataFrame([(s,) for s in STRATEGIES], "strategy string"))
-            .crossJoin(spark_.createDataFrame([("all photos",), ("uploads of the last week",)], "what string")))
+    # the (strategy, what, node) grid has 3 x 2 x NODES rows: empty nodes appear with 0
+    grid = (spark.range(NODES).select(F.col("id").cast("int").alias("node"))
+            .crossJoin(spark.createDataFrame([(s,) for s in STRATEGIES], "strategy string"))
+            .crossJoin(spark.createDataFrame([("all photos",), ("uploads of the last week",)], "what string")))
     return (grid.join(counts, ["strategy", "what", "node"], "left")
             .select("strategy", "what", F.concat(F.lit("node "), (F.col("node") + 1).cast("string")).alias("node"),
                     F.coalesce("photos", F.lit(0).cast("bigint")).alias("photos")))

@@ -54,7 +54,8 @@ def s3(spark, sf):
                        F.size("objects").cast("bigint").alias("n_objects"))
 
 
-def _stem(e):
+def _stem():
+    """File stem of a line's source: ``<file>-<host>`` for web logs, else the service name."""
     return (F.when(F.col("file").isNotNull(), F.concat("file", F.lit("-"), "host"))
             .otherwise(F.col("service")))
 
@@ -72,7 +73,7 @@ def s4(spark, sf):
     """Raw text scan, one row per line, with labels (service, file, host) from the file name."""
     lines = lake_lines(Tables(spark, sf).events)
     path = scratch_path(spark, "s4")
-    files.write_labelled_text(lines.withColumn("stem", _stem(lines)), path)
+    files.write_labelled_text(lines.withColumn("stem", _stem()), path)
     back = files.read_labelled_text(spark, path)
     return back.groupBy("service", "file", "host").agg(F.count(F.lit(1)).alias("lines"))
 

@@ -447,13 +447,12 @@ def s8(spark, sf):
         "server", (F.col("event_id") % 4).cast("int"))
     lake = scratch_path(spark, "s8-lake")
     archive = jobs.idempotent_archiver(lake)
-    q = run_available(s.select("event_id", "ts", "server").writeStream.foreachBatch(archive),
-                      scratch_path(spark, "s8-ck"))
+    run_available(s.select("event_id", "ts", "server").writeStream.foreachBatch(archive),
+                  scratch_path(spark, "s8-ck"))
     # a retried batch 0 (same input) overwrites its own folder: the lake does not change
     retry = scratch_path(spark, "s8-retry")
     spark.read.parquet(f"{lake}/batch=00000000").write.parquet(retry)
     archive(spark.read.parquet(retry).select("event_id", "ts", "server"), 0)
-    del q
     back = spark.read.parquet(lake).withColumn("server", F.col("server").cast("int"))
     return back.groupBy("server").agg(F.count(F.lit(1)).alias("rows"))
 
