@@ -4,10 +4,10 @@ A window with ``orderBy`` but no (or a low-cardinality) ``partitionBy`` puts
 every row into one task.  The prefix pattern used here scales instead
 (SURVEY §7.3):
 
-1. cut the order into ``n_blocks`` contiguous ranges of the leading order
-   column (equal width between its exact min and max, so the block of a row
-   is a pure function of the data - ``repartitionByRange`` + partition id
-   would not be, its sampled bounds change from job to job);
+1. cut the order into contiguous ranges of the leading order column (equal
+   width between its exact min and max, about one block per million rows),
+   so the block of a row is a pure function of the data - ``repartitionByRange``
+   + partition id would not be, its sampled bounds change from job to job;
 2. finish the running value *inside* each (block, part) with an ordinary
    window, which is bounded by the block even for a hot key;
 3. aggregate one row per (part, block) and prefix it across blocks per part
@@ -29,8 +29,13 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+# A block holds about this many rows; a (block, part) window is never larger.
+ROWS_PER_BLOCK = 1_000_000
+MAX_BLOCKS = 1 << 20
+
+
 def default_blocks(df: DataFrame) -> int:
-    """Many small blocks: the (block, part) windows then spread evenly over the shuffle."""
+    """Upper bound used when a caller wants a fixed block count (tests)."""
     return 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
@@ -41,16 +46,26 @@ def _numeric(c: Column, dtype: str) -> Column:
 
 
 def with_blocks(df: DataFrame, part_cols: list, order_cols: list, n_blocks: int | None = None) -> DataFrame:
-    """Tag rows with ``_blk``: the equal-width range of the leading order column they fall in."""
-    n = n_blocks or default_blocks(df)
+    """Tag rows with ``_blk``: the equal-width range of the leading order column they fall in.
+
+    Without ``n_blocks`` the number of blocks follows the data: one block per
+    ``ROWS_PER_BLOCK`` rows, computed in the same one-row statistics pass
+    (min, max, count) that fixes the block width - no driver round trip.
+    """
     lead = order_cols[0]
     lead_c = F.col(lead) if isinstance(lead, str) else lead
     dtype = df.select(lead_c.alias("_v")).schema["_v"].dataType.simpleString()
     v = _numeric(lead_c, dtype)
-    stats = df.agg(F.min(v).cast("double").alias("_lo"), F.max(v).cast("double").alias("_hi"))
-    blk = F.least(F.lit(n - 1), F.greatest(F.lit(0), F.floor(
-        (v.cast("double") - F.col("_lo")) * F.lit(n) / (F.col("_hi") - F.col("_lo") + F.lit(1.0))))).cast("int")
-    return df.crossJoin(F.broadcast(stats)).withColumn("_blk", F.coalesce(blk, F.lit(0))).drop("_lo", "_hi")
+    stats = df.agg(F.min(v).cast("double").alias("_lo"), F.max(v).cast("double").alias("_hi"),
+                   F.count(F.lit(1)).alias("_cnt"))
+    if n_blocks:
+        nb = F.lit(float(n_blocks))
+    else:
+        nb = F.greatest(F.lit(1.0), F.least(F.lit(float(MAX_BLOCKS)),
+                                            F.ceil(F.col("_cnt") / F.lit(float(ROWS_PER_BLOCK))).cast("double")))
+    blk = F.least(nb - 1, F.greatest(F.lit(0), F.floor(
+        (v.cast("double") - F.col("_lo")) * nb / (F.col("_hi") - F.col("_lo") + F.lit(1.0))))).cast("int")
+    return df.crossJoin(F.broadcast(stats)).withColumn("_blk", F.coalesce(blk, F.lit(0))).drop("_lo", "_hi", "_cnt")
 
 
 def prefix_running(df: DataFrame, part_cols: list, order_cols: list, value_col: str | None = None,

@@ -228,3 +228,20 @@ def test_paged_lists_bound_rows_and_keep_all_items(spark):
     assert [r["items"] for r in pages if r["k"] == 1] == [[7, 8]]
     dup = paged_lists(df, ["k"], "v", "items", page_size=10, distinct=False).filter("k = 1").collect()
     assert dup[0]["items"] == [7, 7, 8]
+
+
+def test_data_sized_blocks(spark, monkeypatch):
+    from quarry.operators import ordering
+
+    monkeypatch.setattr(ordering, "ROWS_PER_BLOCK", 37)
+    rng = random.Random(4)
+    rows = [(i, rng.choice("abc"), rng.randint(0, 9)) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, p string, v int")
+    got = {r["id"]: (r["_rank"], r["_run_max"]) for r in ordering.prefix_running(df, ["p"], ["id"], "v").collect()}
+    seen, mx = {}, {}
+    for i, p, v in rows:
+        seen[p] = seen.get(p, 0) + 1
+        mx[p] = max(mx.get(p, v), v)
+        assert got[i] == (seen[p], mx[p])
+    blocks = ordering.with_blocks(df, ["p"], ["id"]).select("_blk").distinct().count()
+    assert blocks == 14  # ceil(500 / 37)
