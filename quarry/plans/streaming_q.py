@@ -12,6 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.functions.core import stable_hash
+from quarry.operators.late import late_flags
 from quarry.operators.model import detect, draw, vocabulary
 from quarry.operators.ordering import count_decreases, global_row_number
 from quarry.plans.registry import register
@@ -131,13 +132,14 @@ def x3(spark, sf):
 WITH w AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) AS window_start, count(*) AS n FROM events GROUP BY 1)
 SELECT window_start, n FROM w WHERE window_start + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""")
 def x4(spark, sf):
-    """Tumbling 6 h event-time windows with a 2 h watermark, append mode, input in time order.
+    """Tumbling 6 h event-time windows with a 2 h watermark, append mode.
 
     A window is emitted once the watermark (max event time - 2 h) reaches its
-    end; the still-open last windows stay in state.
+    end; the still-open last windows stay in state.  The whole topic is
+    available at the start, so nothing arrives behind the watermark.
     """
-    topic = _events_topic(spark, sf, "x4", ordered_chunks=4)
-    s = jobs.parse_events(read_topic(spark, topic, max_files_per_trigger=1))
+    topic = _events_topic(spark, sf, "x4")
+    s = jobs.parse_events(read_topic(spark, topic))
     s = s.withColumn("t", F.col("ts").cast("timestamp"))
     agg = s.withWatermark("t", "2 hours").groupBy(F.window("t", "6 hours")).agg(F.count(F.lit(1)).alias("n"))
     got = _sink(spark, agg, "x4")
@@ -146,10 +148,13 @@ def x4(spark, sf):
 
 @register("X5_native_late_drop_count")
 def x5(spark, sf):
-    """Rows the native watermark drops when the topic arrives out of order (query progress metric).
+    """Late events when the topic arrives out of order: Spark's native drop count (query progress)
+    next to the exact count of the reference semantics (W3) for the same arrival order.
 
-    Exact reference semantics of late events are W3; this reports Spark's own
-    per-batch drop counts (rows-only check).
+    Spark drops a row only when its whole window is already behind the
+    watermark of the previous micro-batch; the reference drops every event of
+    an already reported window.  Rows-only check (the native number depends on
+    micro-batch boundaries).
     """
     ev = Tables(spark, sf).events
     msgs = jobs.events_messages(ev).withColumn("arrival", arrival_key("offset", "timestamp"))
@@ -163,8 +168,12 @@ def x5(spark, sf):
              int(sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))))
             for p in q.recentProgress]
     prog = spark.createDataFrame(rows, "batch_id long, rows_in long, rows_dropped long")
-    return prog.agg(F.count(F.lit(1)).alias("batches"), F.sum("rows_in").alias("rows_in"),
-                    F.sum("rows_dropped").alias("rows_dropped"))
+    native = prog.agg(F.count(F.lit(1)).alias("batches"), F.sum("rows_in").alias("rows_in"),
+                      F.sum("rows_dropped").alias("native_dropped"))
+    # the reference semantics on the same arrival order: late = the window was already reported
+    exact = late_flags(ev.select("event_id", "ts").withColumn("arrival", arrival_key()), "ts",
+                       ["arrival", "event_id"]).agg(F.count_if("late").alias("exact_late"))
+    return native.crossJoin(exact)
 
 
 CRASH_MOD = 1000
@@ -296,20 +305,27 @@ SELECT workers, max(load) AS busiest, CAST(greatest(workers - 6, 0) AS INTEGER)
 def x18(spark, sf):
     """Load of N workers: contiguous partition ranges per worker, extra workers idle; busiest worker."""
     ex = events_x(Tables(spark, sf).events)
-    p = ex.groupBy("kpart").agg(F.count(F.lit(1)).alias("n"))
-    w = spark.createDataFrame([(n,) for n in WORKERS], "workers int")
-    n_parts = 6
-    a = w.crossJoin(p)
-    # contiguous ranges (range assignor): the first 6 % k workers get one partition more
-    k = F.least(F.col("workers"), F.lit(n_parts))
-    base, extra = F.floor(F.lit(n_parts) / k), F.lit(n_parts) % k
-    rank = F.row_number().over(Window.partitionBy("workers").orderBy("kpart")) - 1
+    p = ex.groupBy(F.col("kpart").alias("partition")).agg(F.count(F.lit(1)).alias("n"))
+    return worker_load(p, spark.createDataFrame([(n,) for n in WORKERS], "workers int"))
+
+
+def worker_load(partition_counts, workers):
+    """Range assignment of P partitions (``partition, n``) to each worker count in ``workers``:
+    contiguous ranges, the first ``P % k`` workers take one partition more, workers beyond P idle.
+
+    The partition table has one row per topic partition (small), so the window runs over it.
+    """
+    n_parts = partition_counts.agg(F.count(F.lit(1)).alias("_p"))
+    a = workers.crossJoin(partition_counts).crossJoin(F.broadcast(n_parts))
+    k = F.least(F.col("workers"), F.col("_p"))
+    base, extra = F.floor(F.col("_p") / k), F.col("_p") % k
+    rank = F.row_number().over(Window.partitionBy("workers").orderBy("partition")) - 1
     a = a.withColumn("_r", rank).withColumn(
         "worker", F.when(F.col("_r") < extra * (base + 1), F.floor(F.col("_r") / (base + 1)))
         .otherwise(extra + F.floor((F.col("_r") - extra * (base + 1)) / base)))
-    load = a.groupBy("workers", "worker").agg(F.sum("n").alias("load"))
-    return load.groupBy("workers").agg(F.max("load").alias("busiest")).select(
-        "workers", "busiest", F.greatest(F.col("workers") - n_parts, F.lit(0)).cast("int").alias("idle"))
+    load = a.groupBy("workers", "worker", "_p").agg(F.sum("n").alias("load"))
+    return load.groupBy("workers", "_p").agg(F.max("load").alias("busiest")).select(
+        "workers", "busiest", F.greatest(F.col("workers") - F.col("_p"), F.lit(0)).cast("int").alias("idle"))
 
 
 def _orders_people(t):

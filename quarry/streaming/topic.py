@@ -36,11 +36,12 @@ def write_topic(msgs: DataFrame, path: str) -> None:
 
 
 def append_in_order(msgs: DataFrame, path: str, chunks: int, order_col: str = "offset") -> None:
-    """Produce the messages as ``chunks`` files appended one after another in ``order_col`` order.
+    """Produce the messages as ``chunks`` appends, one after another, in ``order_col`` order.
 
     Each chunk is one distributed write of an equal-width range of the order
-    column; ``chunks`` is a parameter (the number of micro-batches), not a
-    function of the data size.
+    column, so every file of chunk ``i`` is older than every file of chunk
+    ``i + 1``; inside a chunk the file order is free.  This stands in for a
+    producer that appends over time (a broker source needs none of it).
     """
     msgs = msgs.persist()
     b = msgs.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
@@ -48,7 +49,7 @@ def append_in_order(msgs: DataFrame, path: str, chunks: int, order_col: str = "o
     width = (hi - lo) // chunks + 1
     for i in range(chunks):
         part = msgs.filter((F.col(order_col) >= lo + i * width) & (F.col(order_col) < lo + (i + 1) * width))
-        part.coalesce(1).write.mode("append").parquet(f"{path}/chunk={i:05d}")
+        part.write.mode("append").parquet(f"{path}/chunk={i:05d}")
     msgs.unpersist()
 
 

@@ -245,3 +245,36 @@ def test_data_sized_blocks(spark, monkeypatch):
         assert got[i] == (seen[p], mx[p])
     blocks = ordering.with_blocks(df, ["p"], ["id"]).select("_blk").distinct().count()
     assert blocks == 14  # ceil(500 / 37)
+
+
+def test_worker_load_reproduces_published_scaling(spark):
+    from quarry.plans.streaming_q import worker_load
+
+    counts = spark.createDataFrame(list(enumerate([135, 41, 181, 47, 42, 77])), "partition int, n long")
+    w = spark.createDataFrame([(1,), (3,), (6,), (8,)], "workers int")
+    got = {r["workers"]: (r["busiest"], r["idle"]) for r in worker_load(counts, w).collect()}
+    assert got == {1: (523, 0), 3: (228, 0), 6: (181, 0), 8: (181, 2)}
+
+
+def test_modulo_moves_most_keys_ring_moves_a_fifth(spark):
+    from quarry.plans.partitioning import h3
+
+    r = {x["method"]: x for x in h3(spark, "/root/testdata/sf0.01").collect()}
+    assert r["hash % nodes"]["moved_share"] == 0.8
+    assert 0.1 <= r["consistent hashing"]["moved_share"] <= 0.3
+    assert r["consistent hashing"]["moved_elsewhere"] == 0
+
+
+def test_strict_parsers_fail_fast(spark):
+    import pytest
+
+    from quarry.functions.core import log_time_strict, parse_access_strict
+
+    ok = spark.createDataFrame([('1.2.3.4 - u1 [01/Jan/2024:00:00:07 +0000] "GET /st/1 HTTP/1.1" 200 5',)], "line string")
+    assert ok.select(log_time_strict("line").alias("t")).first()["t"] == datetime(2024, 1, 1, 0, 0, 7)
+    assert ok.select(parse_access_strict("line").alias("r")).first()["r"]["status"] == 200
+    bad = spark.createDataFrame([("junk line",)], "line string")
+    with pytest.raises(Exception):
+        bad.select(log_time_strict("line")).collect()
+    with pytest.raises(Exception):
+        bad.select(parse_access_strict("line")).collect()
