@@ -180,8 +180,7 @@ def incident_windows(ex, n: int = 2):
     hours = (ex.filter(F.col("event_type") == "error")
              .groupBy(floor_hours("ts", 1).alias("start")).agg(F.count(F.lit(1)).alias("errors")))
     top = hours.orderBy(F.desc("errors"), F.asc("start")).limit(n)
-    return top.select(F.monotonically_increasing_id().alias("_id"), "start",
-                      (F.col("start") + F.expr("INTERVAL 1 HOUR")).alias("end"))
+    return top.select("start", (F.col("start") + F.expr("INTERVAL 1 HOUR")).alias("end"))
 
 
 @register("J15_events_in_incident_windows", f"""
