@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import exact_dedup as _exact
+from quarry.llm import line_dedup as _lines
+from quarry.llm import substring_dedup as _spans
 from quarry.llm.common import documents
 
 QUERIES: dict = {}
@@ -36,3 +38,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _exact.exact_groups(documents(spark, sf_dir), keep_payload=False)
     return rows.select(F.col("id").alias("doc_id"), "keep_id", F.col("size").alias("group_size"), "kept",
                        F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op1_substring_dedup")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the sentences that repeat an earlier run; spans are character offsets of the old text."""
+    rows = _spans.substring_dedup(documents(spark, sf_dir))
+    return rows.select(F.col("id").alias("doc_id"), "n_removed", (F.col("n_removed") > 0).alias("changed"), "spans", "text")
+
+
+@query("op10_line_dedup")
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines of three-line windows that occurred before."""
+    rows = _lines.line_dedup(documents(spark, sf_dir))
+    return rows.select(F.col("id").alias("doc_id"), "n_removed", (F.col("n_removed") > 0).alias("changed"), "spans", "text")
