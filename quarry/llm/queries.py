@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import exact_dedup as _exact
 from quarry.llm import line_dedup as _lines
+from quarry.llm import simhash as _simhash
 from quarry.llm import substring_dedup as _spans
 from quarry.llm.common import documents
 
@@ -52,3 +53,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines of three-line windows that occurred before."""
     rows = _lines.line_dedup(documents(spark, sf_dir))
     return rows.select(F.col("id").alias("doc_id"), "n_removed", (F.col("n_removed") > 0).alias("changed"), "spans", "text")
+
+
+#: Shingle length and largest bit distance of the contract.
+SIMHASH_WORDS, SIMHASH_BITS = 4, 4
+
+
+@query("op3_simhash_near_dedup")
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of all documents and the components of those within 4 bits."""
+    rows = _simhash.near_components(documents(spark, sf_dir), SIMHASH_WORDS, SIMHASH_BITS, keep_payload=False)
+    return rows.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
