@@ -8,8 +8,12 @@ extra columns may have any name.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import isqrt
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +21,12 @@ from quarry.session import scratch_path
 from quarry.sources.tables import table
 
 
+#: Rows of whole texts that Spark hands to a Python worker at a time, at most.
+BATCH_ROWS = 1000
+#: Texts are worked on in slices of about so many bytes, whatever a batch holds.
+SLICE_BYTES = 4 << 20
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
@@ -33,7 +43,14 @@ def frozen(df: DataFrame, name: str) -> DataFrame:
 
 
 def payload(df: DataFrame) -> DataFrame:
-    """One struct column with all columns of ``df``; ``unpacked`` is the inverse."""
+    """One struct column with all columns of ``df``.
+
+    All operators on texts begin here, so here the session's Arrow batches are
+    made small enough for whole texts.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, BATCH_ROWS)
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("payload"))
 
 
@@ -41,6 +58,17 @@ def field(name: str):
     return F.col("payload")[name]
 
 
+def slices(text: pa.Array) -> Iterator[pa.Array]:
+    if not len(text):
+        return
+    size = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
+    upto, start = np.cumsum(size), 0
+    while start < len(text):
+        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + SLICE_BYTES, side="right")))
+        yield text.slice(start, end - start)
+        start = end
+
+
 def text_key(text):
     """64 bits that tell apart documents of the same id; a null text counts as empty."""
     return F.xxhash64(F.coalesce(text, F.lit("")))

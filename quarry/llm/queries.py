@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import exact_dedup as _exact
 from quarry.llm import line_dedup as _lines
+from quarry.llm import packing as _packing
 from quarry.llm import simhash as _simhash
 from quarry.llm import substring_dedup as _spans
 from quarry.llm.common import documents
@@ -64,3 +66,15 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of all documents and the components of those within 4 bits."""
     rows = _simhash.near_components(documents(spark, sf_dir), SIMHASH_WORDS, SIMHASH_BITS, keep_payload=False)
     return rows.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: Sequence length, and the id that ends a document.
+SEQUENCE, END_ID = 4096, 2
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenised and packed into sequences of at most 4096 ids."""
+    rows = _packing.pack(documents(spark, sf_dir), WORD_BPE, END_ID, SEQUENCE)
+    return rows.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
