@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import exact_dedup as _exact
+from quarry.llm import license_scan as _license
 from quarry.llm import line_dedup as _lines
 from quarry.llm import packing as _packing
+from quarry.llm import sharding as _sharding
 from quarry.llm import simhash as _simhash
 from quarry.llm import substring_dedup as _spans
 from quarry.llm.common import documents
@@ -78,3 +80,51 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, tokenised and packed into sequences of at most 4096 ids."""
     rows = _packing.pack(documents(spark, sf_dir), WORD_BPE, END_ID, SEQUENCE)
     return rows.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+SHARDS = 40
+
+
+@query("op2_sharding")
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards 0 to 39 with counts at most one apart; equal texts are linked."""
+    text = F.coalesce("text", F.lit(""))
+    rows = documents(spark, sf_dir).select("doc_id", F.monotonically_increasing_id().alias("row"), F.sha2(text, 256).alias("group"),
+                                           (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(F.encode(text, "utf-8")).alias("text_crc32"))
+    return _sharding.shard(rows, SHARDS).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                                                F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _license_sql() -> str:
+    """Brute force: phrases by position, and every block against every template without filters."""
+    phrases = " UNION ALL ".join(f"SELECT {p.split()!r} AS ws, '{label}' AS label" for p, label in _license.PHRASES.items())
+    templates = ", ".join(f"({n}, '{label}', {sorted(set(t.split()))!r})" for n, (label, t) in enumerate(_license.TEMPLATES))
+    split = "list_filter(regexp_split_to_array({}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+    return f"""
+    WITH d AS (SELECT doc_id, {_ASCII_LOWER} AS t FROM documents),
+    w AS (SELECT doc_id, t, {split.format("t")} AS ws FROM d),
+    p AS ({phrases}),
+    places AS (SELECT doc_id, label, i FROM (SELECT w.doc_id, p.label, p.ws AS ps, w.ws, unnest(range(len(w.ws))) AS i
+               FROM w, p WHERE list_contains(w.ws, p.ws[1])) WHERE ws[i + 1:i + len(ps)] = ps),
+    base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list_distinct(list(label)) AS ls FROM places GROUP BY 1),
+    b AS (SELECT doc_id, {split.format("block")} AS bw FROM (SELECT doc_id, unnest(regexp_split_to_array(t, '\n[ \t\r\x0b\x0c]*\n')) AS block FROM d)),
+    tm(n, label, ts) AS (VALUES {templates}),
+    m AS (SELECT doc_id, label, len(list_intersect(bw, ts)) / len(ts) AS share FROM b, tm
+          WHERE len(list_intersect(bw, ts)) >= ceil({_license.THRESHOLD} * len(ts) - 1e-9)),
+    found AS (SELECT doc_id, list_distinct(list(label)) AS ls, max(share) AS best FROM m GROUP BY 1)
+    SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+           coalesce(array_to_string(list_sort(base.ls), ','), '') AS base_labels,
+           coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.ls, []), coalesce(found.ls, [])))), ','), '') AS labels,
+           CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
+    FROM w LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+
+@query("op9_license_scan", oracle=_license_sql())
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in all documents, found by native DataFrame operations."""
+    rows = _license.scan(documents(spark, sf_dir))
+    start = F.transform("places", lambda p: p["start"].cast("long"))
+    return rows.select(F.col("id").alias("doc_id"), "n_words", F.size("places").cast("long").alias("n_base"),
+                       F.array_min(start).alias("first_word"), F.array_max(start).alias("last_word"),
+                       F.array_join("base", ",").alias("base_labels"),
+                       F.array_join(F.array_sort(F.array_union("base", "found")), ",").alias("labels"), "score")
