@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm import bpe as _bpe
 from quarry.llm import exact_dedup as _exact
 from quarry.llm import license_scan as _license
 from quarry.llm import line_dedup as _lines
@@ -128,3 +129,14 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.array_min(start).alias("first_word"), F.array_max(start).alias("last_word"),
                        F.array_join("base", ",").alias("base_labels"),
                        F.array_join(F.array_sort(F.array_union("base", "found")), ",").alias("labels"), "score")
+
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op6_bpe_round_trip")
+def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by byte-level BPE and decoded again; digests of ids and text."""
+    rows = _bpe.decode(_bpe.encode(documents(spark, sf_dir), BYTE_BPE), BYTE_BPE)
+    return rows.select(F.col("id").alias("doc_id"), F.floor(F.length("ids") / 4).alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
