@@ -11,10 +11,12 @@ from quarry.llm import exact_dedup as _exact
 from quarry.llm import license_scan as _license
 from quarry.llm import line_dedup as _lines
 from quarry.llm import packing as _packing
+from quarry.llm import quality as _quality
 from quarry.llm import sharding as _sharding
 from quarry.llm import simhash as _simhash
 from quarry.llm import substring_dedup as _spans
 from quarry.llm.common import documents
+from quarry.sources.tables import table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -140,3 +142,14 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _bpe.decode(_bpe.encode(documents(spark, sf_dir), BYTE_BPE), BYTE_BPE)
     return rows.select(F.col("id").alias("doc_id"), F.floor(F.length("ids") / 4).alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+HELD_OUT = "crc32(cast(id as string)) % 5 = 0"
+
+
+@query("op5_quality_classifier")
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from the labelled rows that aren't held out."""
+    learn = F.expr(f"not ({HELD_OUT})")
+    rows = _quality.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"), learn, keep_payload=False)
+    return rows.select(F.col("id").alias("doc_id"), F.expr(HELD_OUT).alias("held_out"), "score", "predicted")
