@@ -15,6 +15,7 @@ from quarry.llm import quality as _quality
 from quarry.llm import sharding as _sharding
 from quarry.llm import simhash as _simhash
 from quarry.llm import substring_dedup as _spans
+from quarry.llm import vafile as _vafile
 from quarry.llm.common import documents
 from quarry.sources.tables import table
 
@@ -153,3 +154,16 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = F.expr(f"not ({HELD_OUT})")
     rows = _quality.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"), learn, keep_payload=False)
     return rows.select(F.col("id").alias("doc_id"), F.expr(HELD_OUT).alias("held_out"), "score", "predicted")
+
+
+@query("op4_exact_top_k", oracle="""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10
+""")
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest inner products with all other vectors, for every vector whose id is divisible by 100."""
+    return _vafile.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, 10, 1024)
