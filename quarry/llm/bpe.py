@@ -46,6 +46,9 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+_SPACE_LETTER = next(c for c, b in byte_alphabet().items() if b == 32)
+
+
 @cache
 def vocabulary(tokenizer_json: str) -> tuple[list[bytes], list[bytes]]:
     """The bytes of each id, and the special tokens' strings."""
@@ -95,6 +98,12 @@ def byte_cuts(tokenizer_json: str):
     return cuts
 
 
+def whole_word(fragment: str) -> str | None:
+    """ASCII letters after at most one space: one word; the space has a letter of its own in the vocabulary."""
+    letters = fragment[1:] if fragment[:1] == " " else fragment
+    return _SPACE_LETTER * (len(fragment) - len(letters)) + letters if letters.isascii() and letters.isalpha() else None
+
+
 def encode_udf(tokenizer_path: str):
     """Ids of a text as little-endian unsigned 32-bit integers."""
     model = Path(tokenizer_path).read_text(encoding="utf-8")
@@ -102,7 +111,7 @@ def encode_udf(tokenizer_path: str):
     @F.arrow_udf(T.BinaryType())
     def encode(text: pa.Array) -> pa.Array:
         cuts = byte_cuts(model)
-        return pa.array([ids.tobytes() for part in Fragments.of(model).encode(text, cuts) for ids in part], pa.binary())
+        return pa.array([ids.tobytes() for part in Fragments.of(model, whole_word).encode(text, cuts) for ids in part], pa.binary())
 
     return encode
 

@@ -23,29 +23,41 @@ _workers: dict = {}
 
 
 class Fragments:
-    """Tokenizer and memory of one Python worker."""
+    """Tokenizer and memory of one Python worker.
 
-    def __init__(self, tokenizer_json: str):
+    ``word(fragment)`` may give the string that the library's model gets for a
+    fragment which normalisation and pre-tokenization leave in one piece; the
+    model is then called without them.
+    """
+
+    def __init__(self, tokenizer_json: str, word: Callable[[str], str | None]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.word = word
         self.known: dict[str, list[int]] = {}
 
     @classmethod
-    def of(cls, tokenizer_json: str) -> Fragments:
+    def of(cls, tokenizer_json: str, word: Callable[[str], str | None] = lambda fragment: None) -> Fragments:
         key = hash(tokenizer_json)
         if key not in _workers:
             _workers.clear()
-            _workers[key] = cls(tokenizer_json)
+            _workers[key] = cls(tokenizer_json, word)
         return _workers[key]
 
     def ids_of(self, texts: list[str]) -> list[list[int]]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = [t for t in texts if t not in self.known]
+        new, model = [], self.tokenizer.model
+        for t in texts:
+            if t not in self.known:
+                if (w := self.word(t)) is None:
+                    new.append(t)
+                else:
+                    self.known[t] = [x.id for x in model.tokenize(w)]
         for at in range(0, len(new), 10_000):
             part = new[at:at + 10_000]
             self.known.update(zip(part, (e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))

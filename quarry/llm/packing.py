@@ -89,13 +89,18 @@ def word_cuts(special: list[bytes]):
     return cuts
 
 
+def whole_word(fragment: str) -> str | None:
+    """a-z only: one word, whose bytes stand for themselves."""
+    return fragment if fragment.isascii() and fragment.isalpha() and fragment.islower() else None
+
+
 def encode_udf(tokenizer_path: str, end_id: int):
     """Ids of a text and the end id, as little-endian unsigned 32-bit integers."""
     model = Path(tokenizer_path).read_text(encoding="utf-8")
 
     @F.arrow_udf(T.BinaryType())
     def encode(text: pa.Array) -> pa.Array:
-        worker = Fragments.of(model)
+        worker = Fragments.of(model, whole_word)
         special = [t.content.encode() for t in worker.tokenizer.get_added_tokens_decoder().values()]
         end = np.array([end_id], "<u4").tobytes()
         return pa.array([ids.tobytes() + end for part in worker.encode(text, word_cuts(special)) for ids in part], pa.binary())

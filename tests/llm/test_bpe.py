@@ -29,7 +29,7 @@ def test_bytes_of_tokens_are_those_of_the_library():
                           st.sampled_from(["<|endoftext|>", "a <|endoftext|> b", "<|endo", "ftext|>", "#'s '''re x'll 12's \n  a\n\n  b ", "  \xa0  x", None])), max_size=8))
 def test_ids_are_those_of_the_library(texts):
     texts = [None if t is None else t.encode("utf-8", "ignore").decode() for t in texts]
-    got = [i.tolist() for part in Fragments.of(MODEL).encode(pa.array(texts, pa.string()), B.byte_cuts(MODEL)) for i in part]
+    got = [i.tolist() for part in Fragments.of(MODEL, B.whole_word).encode(pa.array(texts, pa.string()), B.byte_cuts(MODEL)) for i in part]
     assert got == [ids(t) for t in texts]
 
 

@@ -68,7 +68,7 @@ def test_whole_table(spark):
                           st.sampled_from(["<|endoftext|>", "a<|endoftext|>b", "H̱ ẖ", "it's don't '''s 12's", "<|STARTOFTEXT|>", None])), max_size=6))
 def test_ids_are_those_of_the_library(texts):
     texts = [None if t is None else t.encode("utf-8", "ignore").decode() for t in texts]
-    worker = Fragments.of(open(PATH).read())
+    worker = Fragments.of(open(PATH).read(), P.whole_word)
     got = [i.tolist() for part in worker.encode(pa.array(texts, pa.string()), P.word_cuts(SPECIAL)) for i in part]
     assert got == [ids(t) for t in texts]
 
