@@ -15,6 +15,7 @@ by that document.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import field, frozen, payload, text_key
+from quarry.llm.common import field, frozen, payload, slices, text_key
 
 NO_ID_LAST = (1 << 63) - 1
 
@@ -53,15 +54,20 @@ class Cutter(NamedTuple):
 def _hasher(cutter: Cutter):
     @F.arrow_udf(T.ArrayType(RUN))
     def run_hashes(text: pa.Array) -> pa.Array:
-        ends, digests, first, length = [0], [], [], []
+        parts = [hashed(part) for part in slices(text)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(hashed(text).type.value_type))
+
+    def hashed(text: pa.Array) -> pa.ListArray:
+        ends, digests = [0], []
+        first, length = array("i"), array("i")
         for t in text:
             r = cutter.runs(t.as_py() or "")
             digests += map(xxhash.xxh3_128_digest, r.keys)
-            first += r.first
-            length += r.units
+            first.extend(r.first)
+            length.extend(r.units)
             ends.append(len(digests))
         h = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-        rows = pa.StructArray.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(first, pa.int32()), pa.array(length, pa.int32())], ["h1", "h2", "pos", "len"])
+        rows = pa.StructArray.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(np.frombuffer(first, np.int32)), pa.array(np.frombuffer(length, np.int32))], ["h1", "h2", "pos", "len"])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
 
     return run_hashes
