@@ -61,7 +61,7 @@ def prefixed_id(prefix: str, x) -> Column:
 def strip_prefix(prefix: str, x) -> Column:
     """inverse of :func:`prefixed_id`; rows without the prefix give null."""
     c = _c(x)
-    return F.when(c.startswith(prefix), F.substring(c, len(prefix) + 1, 1 << 30))
+    return F.when(c.startswith(prefix), F.substr(c, F.lit(len(prefix) + 1)))
 
 
 def client_from_user_agent(x) -> Column:
@@ -166,22 +166,26 @@ def log_time(line, syslog_year: int = 2021) -> Column:
 def log_time_strict(line, syslog_year: int = 2021) -> Column:
     """F7 FAILFAST: like :func:`log_time` but a line without a time raises an error."""
     t = log_time(line, syslog_year)
-    return F.when(t.isNull(), F.raise_error(F.concat(F.lit("no time in: "), F.substring(_c(line), 1, 80)))) \
+    return F.when(t.isNull(), F.raise_error(F.concat(F.lit("line carries no known time: "), F.substring(_c(line), 1, 80)))) \
         .otherwise(t).cast("timestamp_ntz")
 
 
 # ---------------------------------------------------------------- log parsers
+# Fixed value: the common access-log format.
 ACCESS_RE = r'^(\S+) - (\S+) \[([^\]]+)\] "(\S+) (\S+) [^"]*" (\d{3}) (\d+)'
 
 
 def parse_access(line) -> Column:
     """access-log fields ip, user, time, method, path, status (size parsed, not kept)."""
-    c = _c(line)
-    g = lambda i: F.regexp_extract(c, ACCESS_RE, i)
+    # the pattern runs once per line; a line that does not match stays in one part
+    marks = "\x01".join(f"${i}" for i in range(1, 8))
+    parts = F.split(F.regexp_replace(_c(line), "(?s)" + ACCESS_RE + ".*$", marks), "\x01")
+    ok = F.coalesce(F.size(parts) == 7, F.lit(False))
+    g = lambda i: F.when(ok, F.get(parts, F.lit(i - 1))).otherwise(F.lit(""))
     return F.struct(
         g(1).alias("ip"), g(2).alias("user"), access_time(g(3)).alias("time"),
-        g(4).alias("method"), g(5).alias("path"), g(6).cast("int").alias("status"),
-        c.rlike(ACCESS_RE).alias("is_parsed"))
+        g(4).alias("method"), g(5).alias("path"), g(6).try_cast("int").alias("status"),
+        ok.alias("is_parsed"))
 
 
 def parse_access_strict(line) -> Column:
@@ -229,41 +233,44 @@ def parse_regexp(line, regex: str, names: list[str]) -> Column:
     return F.struct(*[F.regexp_extract(c, regex, i + 1).alias(n) for i, n in enumerate(names)])
 
 
-LOGFMT_RE = r'(\w+)=("[^"]*"|\S*)'
+LOGFMT_RE = r'([\w.\-]+)=("(?:[^"\\]|\\.)*"|\S*)'
+
+
+def _last_wins(keys: Column, vals: Column) -> Column:
+    """Map of two arrays; of a repeated key the last value stays."""
+    at = F.filter(F.sequence(F.lit(0), F.size(keys) - 1),
+                  lambda i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), F.get(keys, i)))
+    at = F.when(F.size(keys) > 0, at).otherwise(F.array().cast("array<int>"))
+    return F.map_from_arrays(F.transform(at, lambda i: F.get(keys, i)), F.transform(at, lambda i: F.get(vals, i)))
 
 
 def logfmt(line) -> Column:
-    """``k=v k="quoted text"`` -> map<string,string> (quotes removed)."""
+    """``k=v k="quoted text"`` -> map<string,string>; quotes removed, ``\\"`` unescaped, dotted keys kept,
+    the last value of a repeated key wins."""
     c = _c(line)
     keys = F.regexp_extract_all(c, F.lit(LOGFMT_RE), 1)
     vals = F.transform(F.regexp_extract_all(c, F.lit(LOGFMT_RE), 2),
-                       lambda v: F.regexp_replace(v, r'^"|"$', ""))
-    return F.map_from_arrays(keys, vals)
+                       lambda v: F.when(v.startswith('"'), F.regexp_replace(F.regexp_replace(v, r'^"|"$', ""), r"\\(.)", "$1")).otherwise(v))
+    return _last_wins(keys, vals)
 
 
 def report_to_map(text) -> Column:
-    """lines ``name=number`` of a report -> map<string,bigint>."""
+    """lines ``name=number`` of a report -> map<string,bigint>; the last line of a repeated name wins,
+    a number beyond 64 bits gives null."""
     c = _c(text)
     rx = r"(?m)^\s*([^=\n]+?)=(\d+)\s*$"
     keys = F.regexp_extract_all(c, F.lit(rx), 1)
-    vals = F.transform(F.regexp_extract_all(c, F.lit(rx), 2), lambda v: v.cast("bigint"))
-    return F.map_from_arrays(keys, vals)
+    vals = F.transform(F.regexp_extract_all(c, F.lit(rx), 2), lambda v: v.try_cast("bigint"))
+    return _last_wins(keys, vals)
 
 
 def int_fields(json_text) -> Column:
-    """integer-valued keys of a JSON object -> map<string,bigint>."""
-    m = F.from_json(_c(json_text), "map<string,string>")
-    return F.transform_values(F.map_filter(m, lambda k, v: v.rlike(r"^-?\d+$")),
-                              lambda k, v: v.cast("bigint"))
-
-
-def event_notation(type_col, id_col, data_json) -> Column:
-    """F16: ``type(id=…, k=v, …)`` with JSON-encoded values in key order of the payload."""
-    m = F.from_json(_c(data_json), "map<string,string>")
-    args = F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), F.to_json(F.array(e["value"])).substr(2, 1 << 20)))
-    return F.concat(_c(type_col), F.lit("(id="), _c(id_col).cast("string"),
-                    F.when(F.size(args) > 0, F.concat(F.lit(", "), F.array_join(args, ", "))).otherwise(F.lit("")),
-                    F.lit(")"))
+    """keys of a JSON object whose value is an integer (by JSON type: text and fractions are none)
+    -> map<string,bigint>; integers beyond 64 bits are left out."""
+    m = F.map_entries(F.try_variant_get(F.try_parse_json(_c(json_text)), "$", "map<string,variant>"))
+    ints = F.filter(m, lambda e: F.schema_of_variant(e["value"]) == "BIGINT")
+    return F.map_from_entries(F.transform(ints, lambda e: F.struct(
+        e["key"].alias("key"), F.try_variant_get(e["value"], "$", "bigint").alias("value"))))
 
 
 # ---------------------------------------------------------------- URLs

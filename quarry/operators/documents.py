@@ -1,8 +1,8 @@
 """Nested photo / album documents (J4, J5) and their flattening.
 
 A photo document embeds its user and an optional camera as structs; an album
-document holds sorted lists of photo ids and follower ids (``[]`` when none).
-Built with joins + ``struct`` / ``collect_list`` so Spark shuffles once per key.
+document's photo ids and follower ids are rows by position, so no row grows with
+the data.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.core import stable_hash
+from quarry.operators.ordering import prefix_running
 
 # Photo format by order status.
 FORMAT_BY_STATUS = {"F": "jpeg", "O": "heic", "P": "png"}
@@ -54,40 +54,29 @@ def photo_documents(orders: DataFrame, customer: DataFrame, nation: DataFrame) -
                F.struct(F.col("camera_id"), F.col("n_name").alias("manufacturer"))).alias("camera"))
 
 
-PAGE_SIZE = 1000
+def positioned(df: DataFrame, keys: list[str], item: str, name: str, distinct: bool = True) -> DataFrame:
+    """The sorted list of each key as rows ``(keys, pos, name)``, ``pos`` from 0 without gaps.
 
-
-def paged_lists(df: DataFrame, keys: list[str], item: str, name: str, page_size: int = PAGE_SIZE,
-                distinct: bool = True) -> DataFrame:
-    """Sorted id lists per key, cut into pages of about ``page_size`` ids: ``(keys, page, name)``.
-
-    An item goes to page ``h(item) % ceil(n / page_size)`` where ``n`` is the
-    number of items of its key, so one row never holds more than a page even
-    for a key with a third of all rows (the whole list = the union of pages).
+    One shape at any size: a key with a third of all rows is many rows, numbered
+    by the running-number operator, never one unbounded list.
     """
-    d = df.select(*keys, F.col(item).alias("_it"))
-    if distinct:
-        d = d.distinct()
-    n = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    pages = F.ceil(F.col("_n") / F.lit(float(page_size))).cast("bigint")
-    d = d.join(n, keys).withColumn("page", (stable_hash("_it") % pages).cast("int"))
-    return d.groupBy(*keys, "page").agg(F.sort_array(F.collect_list("_it")).alias(name))
+    d = df.select(*keys, F.col(item).alias(name))
+    d = d.distinct() if distinct else d
+    return prefix_running(d, keys, [*keys, name]).select(*keys, (F.col("_rank") - 1).cast("bigint").alias("pos"), name)
 
 
-def album_documents(part: DataFrame, lineitem: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Albums (parts) with sorted photo ids (orders) and follower ids (suppliers), ``[]`` if none.
+def album_documents(part: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Albums (parts) with their photo ids (orders) and follower ids (suppliers) as two sorted lists.
 
-    Lists are paged (:func:`paged_lists`); an album without photos has one page 0 with empty lists.
+    Position ``pos`` of both lists is one row, null where a list is shorter; an
+    album without both has one row with null position.
     """
-    li = lineitem.select("l_partkey", "l_orderkey", "l_suppkey")
-    photos = paged_lists(li, ["l_partkey"], "l_orderkey", "photos", page_size)
-    followers = paged_lists(li, ["l_partkey"], "l_suppkey", "followers", page_size)
-    lists = photos.join(followers, ["l_partkey", "page"], "full_outer")
-    empty = F.array().cast("array<bigint>")
+    photos = positioned(lineitem, ["l_partkey"], "l_orderkey", "photo")
+    followers = positioned(lineitem, ["l_partkey"], "l_suppkey", "follower")
+    lists = photos.join(followers, ["l_partkey", "pos"], "full_outer")
     return (part.select(F.col("p_partkey").alias("album_id"), F.col("p_name").alias("title"))
             .join(lists, F.col("album_id") == F.col("l_partkey"), "left")
-            .select("album_id", "title", F.coalesce("page", F.lit(0)).alias("page"),
-                    F.coalesce("photos", empty).alias("photos"), F.coalesce("followers", empty).alias("followers")))
+            .select("album_id", "title", "pos", "photo", "follower"))
 
 
 def flatten_photo(doc: DataFrame) -> DataFrame:

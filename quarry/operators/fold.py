@@ -134,22 +134,3 @@ def replay_fold(events: DataFrame, n_blocks: int | None = None) -> DataFrame:
     merged = (parts.repartition(n, "photo_id").sortWithinPartitions("photo_id", "blk")
               .mapInPandas(_compose_partition, STATE_DDL))
     return merged.withColumn("user", F.col("user").cast("int"))
-
-
-def replay_python(rows: list[dict]) -> dict:
-    """Reference fold on a small in-memory list (tests): ``{photo_id: {user, path, title}}``."""
-    state: dict = {}
-    for e in sorted(rows, key=lambda r: r["seq"]):
-        pid = e["photo_id"]
-        if e["type"] == "deletePhoto":
-            state.pop(pid, None)
-            continue
-        photo = dict(state.get(pid, {}))
-        if e["type"] == "addPhoto":
-            photo = {"user": e.get("user"), "path": e.get("path"), "title": ""}
-        elif e["type"] == "updatePhotoData":
-            photo["title"] = e.get("title")
-        elif e["type"] == "replacePhoto":
-            photo["path"] = e.get("path")
-        state[pid] = photo
-    return state

@@ -9,10 +9,11 @@ be recomputed independently in SQL (the oracle uses the same hash).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.core import stable_hash
+from quarry.operators.ordering import global_row_number
 
 TWO32 = float(1 << 32)
 
@@ -23,9 +24,9 @@ def draw(key: Column, salt: Column | str) -> Column:
 
 
 def vocabulary(words: DataFrame, col: str = "word") -> DataFrame:
-    """Sorted distinct vocabulary with a 0-based index (window over the distinct words only)."""
+    """Sorted distinct vocabulary with a 0-based index (numbered blockwise)."""
     d = words.select(F.col(col).alias("word")).distinct()
-    return d.withColumn("idx", (F.row_number().over(Window.orderBy("word")) - 1).cast("bigint"))
+    return global_row_number(d, ["word"], name="_no").select("word", (F.col("_no") - 1).cast("bigint").alias("idx"))
 
 
 def detect(df: DataFrame, key_col: str, labels_col: str, vocab: DataFrame, p_keep: float, p_extra: float,

@@ -4,10 +4,11 @@ A window with ``orderBy`` but no (or a low-cardinality) ``partitionBy`` puts
 every row into one task.  The prefix pattern used here scales instead
 (SURVEY §7.3):
 
-1. cut the order into contiguous ranges of the leading order column (equal
-   width between its exact min and max, about one block per million rows),
-   so the block of a row is a pure function of the data - ``repartitionByRange``
-   + partition id would not be, its sampled bounds change from job to job;
+1. cut the total order into contiguous ranges with ``repartitionByRange`` on all
+   order columns (bounds follow the data, so an outlier or a hot value of the
+   leading column leaves the other blocks as they are, and texts, fractions and
+   ties sort as in the window), and write the rows with their block number: the
+   bounds are sampled anew by every job, what is written stays;
 2. finish the running value *inside* each (block, part) with an ordinary
    window, which is bounded by the block even for a hot key;
 3. aggregate one row per (part, block) and prefix it across blocks per part
@@ -24,48 +25,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import scratch_path
+
 
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-# A block holds about this many rows; a (block, part) window is never larger.
-ROWS_PER_BLOCK = 1_000_000
-MAX_BLOCKS = 1 << 20
-
-
-def default_blocks(df: DataFrame) -> int:
-    """Upper bound used when a caller wants a fixed block count (tests)."""
-    return 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-
-
-def _numeric(c: Column, dtype: str) -> Column:
-    if dtype.startswith("timestamp") or dtype == "date":
-        return F.unix_micros(c.cast("timestamp"))
-    return c.cast("double")
+def with_blocks(df: DataFrame, order_cols: list, n_blocks: int | None = None) -> DataFrame:
+    """The rows with ``_blk``: the number of the range of the total order they are in, ascending.
 
-
-def with_blocks(df: DataFrame, part_cols: list, order_cols: list, n_blocks: int | None = None) -> DataFrame:
-    """Tag rows with ``_blk``: the equal-width range of the leading order column they fall in.
-
-    Without ``n_blocks`` the number of blocks follows the data: one block per
-    ``ROWS_PER_BLOCK`` rows, computed in the same one-row statistics pass
-    (min, max, count) that fixes the block width - no driver round trip.
+    Without ``n_blocks`` Spark chooses the number of ranges as for any sort (shuffle
+    partitions, merged by size).  Rows and numbers are written to the shared
+    folder, so everything computed from them agrees, also after a lost executor.
     """
-    lead = order_cols[0]
-    lead_c = F.col(lead) if isinstance(lead, str) else lead
-    dtype = df.select(lead_c.alias("_v")).schema["_v"].dataType.simpleString()
-    v = _numeric(lead_c, dtype)
-    stats = df.agg(F.min(v).cast("double").alias("_lo"), F.max(v).cast("double").alias("_hi"),
-                   F.count(F.lit(1)).alias("_cnt"))
-    if n_blocks:
-        nb = F.lit(float(n_blocks))
-    else:
-        nb = F.greatest(F.lit(1.0), F.least(F.lit(float(MAX_BLOCKS)),
-                                            F.ceil(F.col("_cnt") / F.lit(float(ROWS_PER_BLOCK))).cast("double")))
-    blk = F.least(nb - 1, F.greatest(F.lit(0), F.floor(
-        (v.cast("double") - F.col("_lo")) * nb / (F.col("_hi") - F.col("_lo") + F.lit(1.0))))).cast("int")
-    return df.crossJoin(F.broadcast(stats)).withColumn("_blk", F.coalesce(blk, F.lit(0))).drop("_lo", "_hi", "_cnt")
+    cols = _cols(order_cols)
+    ranged = df.repartitionByRange(n_blocks, *cols) if n_blocks else df.repartitionByRange(*cols)
+    path = scratch_path(df.sparkSession, "blocks")
+    tagged = ranged.withColumn("_blk", F.spark_partition_id())
+    tagged.write.parquet(path)
+    return df.sparkSession.read.schema(tagged.schema).parquet(path)
 
 
 def prefix_running(df: DataFrame, part_cols: list, order_cols: list, value_col: str | None = None,
@@ -74,7 +53,7 @@ def prefix_running(df: DataFrame, part_cols: list, order_cols: list, value_col:
     (running max up to and including the row) and ``_prev_max`` (max over the rows
     strictly before it, null for the first row) within each ``part`` in ``order``.
     """
-    b = with_blocks(df, part_cols, order_cols, n_blocks)
+    b = with_blocks(df, order_cols, n_blocks)
     pc = list(part_cols)
     w_local = Window.partitionBy("_blk", *pc).orderBy(*_cols(order_cols))
     b = b.withColumn("_lrank", F.row_number().over(w_local))
@@ -114,7 +93,7 @@ def count_decreases(df: DataFrame, order_cols: list, value_col: str, part_cols:
     boundary by joining each block's first row to the previous block's last.
     """
     pc = list(part_cols or [])
-    b = with_blocks(df, pc, order_cols, n_blocks)
+    b = with_blocks(df, order_cols, n_blocks)
     w = Window.partitionBy("_blk", *pc).orderBy(*_cols(order_cols))
     inner = b.withColumn("_prev", F.lag(value_col).over(w)).filter(F.col(value_col) < F.col("_prev"))
     inner = inner.groupBy(*pc).agg(F.count(F.lit(1)).alias("_n"))
@@ -149,7 +128,7 @@ def running_last(df: DataFrame, part_cols: list, order_cols: list, value_cols: l
     the one-row-per-(part, block) summary; a hot part is spread over many blocks.
     """
     pc = list(part_cols)
-    b = with_blocks(df, pc, order_cols, n_blocks)
+    b = with_blocks(df, order_cols, n_blocks)
     w_local = Window.partitionBy("_blk", *pc).orderBy(*_cols(order_cols))
     frame = w_local.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
     ocols = [c for c in order_cols if isinstance(c, str)]
@@ -173,7 +152,7 @@ def running_sum(df: DataFrame, part_cols: list, order_cols: list, value_col: str
                 name: str = "_run_sum") -> DataFrame:
     """Add ``name``: running sum of ``value_col`` up to and including the row, per part in order."""
     pc = list(part_cols)
-    b = with_blocks(df, pc, order_cols, n_blocks)
+    b = with_blocks(df, order_cols, n_blocks)
     w_local = Window.partitionBy("_blk", *pc).orderBy(*_cols(order_cols)).rowsBetween(Window.unboundedPreceding, 0)
     b = b.withColumn("_lsum", F.sum(value_col).over(w_local))
     blocks = b.groupBy(*pc, "_blk").agg(F.sum(value_col).alias("_bsum"))
@@ -184,21 +163,15 @@ def running_sum(df: DataFrame, part_cols: list, order_cols: list, value_col: str
 
 
 def count_in_range(df: DataFrame, part_cols: list, ts_col: str, id_col: str, width: int,
-                   n_blocks: int | None = None, name: str = "in_range") -> DataFrame:
-    """Rows of the same part with ``ts`` in ``(t - width, t]`` for every row (a range frame),
-    without a per-part window: two marker rows per row look up the running count of
-    real rows at ``t`` and at ``t - width``; the difference is the count.
+                   name: str = "in_range") -> DataFrame:
+    """Rows of the same part with integer ``ts`` in ``(t - width, t]`` for every row (a range frame).
+
+    A row's frame reaches back less than one time bucket of ``width``, so each row
+    is also copied to the next bucket and the window runs per (part, bucket): one
+    shuffle, and a hot part is spread over its buckets.
     """
-    pc = list(part_cols)
-    real = df.select(*pc, F.col(ts_col).alias("_t"), F.lit(0).alias("_kind"), F.lit(1).alias("_real"),
-                     F.col(id_col).alias("_id"), F.lit(None).cast("string").alias("_role"))
-    at_t = df.select(*pc, F.col(ts_col).alias("_t"), F.lit(1).alias("_kind"), F.lit(0).alias("_real"),
-                     F.col(id_col).alias("_id"), F.lit("hi").alias("_role"))
-    at_lo = df.select(*pc, (F.col(ts_col) - F.lit(width)).alias("_t"), F.lit(1).alias("_kind"), F.lit(0).alias("_real"),
-                      F.col(id_col).alias("_id"), F.lit("lo").alias("_role"))
-    u = real.unionByName(at_t).unionByName(at_lo)
-    r = running_sum(u, pc, ["_t", "_kind", "_id", "_role"], "_real", n_blocks, "_c").filter(F.col("_kind") == 1)
-    c = r.groupBy(F.col("_id").alias(id_col)).agg(
-        (F.max(F.when(F.col("_role") == "hi", F.col("_c"))) - F.max(F.when(F.col("_role") == "lo", F.col("_c"))))
-        .alias(name))
-    return df.join(c, id_col)
+    own = F.floor(F.col(ts_col) / F.lit(width))
+    both = df.withColumn("_own", own).withColumn("_bucket", F.explode(F.array(own, own + 1)))
+    w = Window.partitionBy(*part_cols, "_bucket").orderBy(ts_col).rangeBetween(-(width - 1), 0)
+    return (both.withColumn(name, F.count(F.lit(1)).over(w)).filter(F.col("_own") == F.col("_bucket"))
+            .drop("_own", "_bucket"))

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions.core import ratio2, stable_hash
 from quarry.plans.registry import register
-from quarry.operators.documents import paged_lists
-from quarry.plans.sqlx import EX, SPANS, h, paged_sql
+from quarry.operators.documents import positioned
+from quarry.plans.sqlx import EX, SPANS, h, positioned_sql
 from quarry.sources.derived import events_x, spans, status_of
 from quarry.sources.tables import TABLES, Tables, table
 
@@ -54,11 +54,11 @@ def a5_flag(spark, sf):
 
 
 @register("A7_parts_per_order", f"""
-SELECT * FROM {paged_sql('lineitem', 'l_orderkey', 'l_partkey', 'parts', distinct=False)}""")
+SELECT * FROM {positioned_sql('lineitem', 'l_orderkey', 'l_partkey', 'part', distinct=False)}""")
 def a7(spark, sf):
-    """Collect ids per group as a sorted list (duplicates kept), paged for very large groups."""
+    """Collect ids per group as a sorted list (duplicates kept), one row per position."""
     li = Tables(spark, sf).lineitem
-    return paged_lists(li, ["l_orderkey"], "l_partkey", "parts", distinct=False)
+    return positioned(li, ["l_orderkey"], "l_partkey", "part", distinct=False)
 
 
 @register("A8_conditional_counts", f"""
@@ -116,7 +116,8 @@ def a16(spark, sf):
     """Per photo: followers of the most followed album holding it; 0 when in no album."""
     t = Tables(spark, sf)
     li = t.lineitem
-    ap = li.select(F.col("l_orderkey").alias("photo_id"), F.col("l_partkey").alias("album_id")).distinct()
+    # the maximum does not mind repeated pairs, so no distinct
+    ap = li.select(F.col("l_orderkey").alias("photo_id"), F.col("l_partkey").alias("album_id"))
     fol = li.groupBy(F.col("l_partkey").alias("album_id")).agg(F.countDistinct("l_suppkey").alias("followers"))
     pop = ap.join(fol, "album_id").groupBy("photo_id").agg(F.max("followers").alias("popularity"))
     return (t.orders.select(F.col("o_orderkey").alias("photo_id"))

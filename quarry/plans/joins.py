@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from quarry.functions.core import floor_hours
 from quarry.operators.documents import album_documents, photo_documents
 from quarry.plans.registry import register
-from quarry.plans.sqlx import EX, PHOTO_DOC, paged_sql
+from quarry.plans.sqlx import EX, PHOTO_DOC, positioned_sql
 from quarry.sources.derived import events_x, friendships
-from quarry.sources.tables import Tables, spread
+from quarry.sources.tables import Tables
 
 
 @register("J1_inner_join_filter", """
@@ -90,15 +90,13 @@ def j4(spark, sf):
 
 
 @register("J5_album_documents", f"""
-WITH ph AS {paged_sql('lineitem', 'l_partkey', 'l_orderkey', 'photos')},
-fo AS {paged_sql('lineitem', 'l_partkey', 'l_suppkey', 'followers')},
-l AS (SELECT coalesce(ph.l_partkey, fo.l_partkey) AS l_partkey, coalesce(ph.page, fo.page) AS page, photos, followers
-      FROM ph FULL OUTER JOIN fo ON ph.l_partkey = fo.l_partkey AND ph.page = fo.page)
-SELECT p_partkey AS album_id, p_name AS title, coalesce(page, 0) AS page, coalesce(photos, CAST([] AS BIGINT[])) AS photos,
-       coalesce(followers, CAST([] AS BIGINT[])) AS followers
-FROM part LEFT JOIN l ON p_partkey = l_partkey""")
+WITH ph AS {positioned_sql('lineitem', 'l_partkey', 'l_orderkey', 'photo')},
+fo AS {positioned_sql('lineitem', 'l_partkey', 'l_suppkey', 'follower')},
+l AS (SELECT coalesce(ph.l_partkey, fo.l_partkey) AS l_partkey, coalesce(ph.pos, fo.pos) AS pos, photo, follower
+      FROM ph FULL OUTER JOIN fo ON ph.l_partkey = fo.l_partkey AND ph.pos = fo.pos)
+SELECT p_partkey AS album_id, p_name AS title, pos, photo, follower FROM part LEFT JOIN l ON p_partkey = l_partkey""")
 def j5(spark, sf):
-    """Denormalise one-to-many: per album the sorted photo and follower id lists (paged), ``[]`` if none."""
+    """Denormalise one-to-many: per album the sorted photo and follower ids by position; albums without stay."""
     t = Tables(spark, sf)
     return album_documents(t.part, t.lineitem)
 
@@ -164,23 +162,17 @@ def j9b(spark, sf):
 
 @register("J13_undirected_adjacency", """
 WITH e AS (SELECT DISTINCT o_custkey AS a, l_suppkey + 1000000 AS b
-           FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
-SELECT a AS node, count(*) AS degree FROM (SELECT a, b FROM e UNION SELECT b, a FROM e) GROUP BY a""")
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+u AS (SELECT a AS node, b AS neighbour FROM e UNION SELECT b, a FROM e)
+SELECT node, neighbour, count(*) OVER (PARTITION BY node) AS degree FROM u""")
 def j13(spark, sf):
-    """Undirected adjacency from edge pairs (both directions), as node degree."""
+    """Undirected adjacency from edge pairs: one row per node and neighbour, both directions, with the node's degree."""
     t = Tables(spark, sf)
-    e = friendships(t.orders, t.lineitem)
-    both = e.select(F.col("user_id").alias("a"), F.col("friend_id").alias("b")).union(
-        e.select(F.col("friend_id").alias("a"), F.col("user_id").alias("b"))).distinct()
-    return both.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
-
-
-def incident_windows(ex, n: int = 2):
-    """The ``n`` hours with most errors as closed windows ``[start, start + 1 h]`` (bounded by ``n``)."""
-    hours = (ex.filter(F.col("event_type") == "error")
-             .groupBy(floor_hours("ts", 1).alias("start")).agg(F.count(F.lit(1)).alias("errors")))
-    top = hours.orderBy(F.desc("errors"), F.asc("start")).limit(n)
-    return top.select("start", (F.col("start") + F.expr("INTERVAL 1 HOUR")).alias("end"))
+    e = (t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+         .select(F.col("o_custkey").alias("a"), (F.col("l_suppkey") + 1000000).alias("b")).distinct())
+    both = e.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("neighbour")),
+                                      F.struct(F.col("b").alias("node"), F.col("a").alias("neighbour")))).alias("x")).select("x.*").distinct()
+    return both.join(both.groupBy("node").agg(F.count(F.lit(1)).alias("degree")), "node")
 
 
 @register("J15_events_in_incident_windows", f"""
@@ -206,8 +198,8 @@ SELECT word, n AS found, 1 + least(n, 1) AS calls_bundled, 1 + n AS calls_per_ro
 def j16(spark, sf):
     """Inverted-index search then fetch: one set-based join replaces one call per hit."""
     t = Tables(spark, sf)
-    idx = (spread(t.documents.select("doc_id", "text")).select("doc_id", F.explode(F.split("text", r"[^\p{L}]+")).alias("w"))
-           .filter(F.col("w") != "").select(F.lower("w").alias("word"), "doc_id").distinct())
+    words = F.array_distinct(F.transform(F.split("text", r"[^\p{L}]+"), F.lower))
+    idx = t.documents.select("doc_id", F.explode(words).alias("word")).filter(F.col("word") != "")
     q = t.part.select(F.explode(F.split("p_name", " ")).alias("p")).select(F.lower("p").alias("word")).distinct()
     hits = q.join(idx, "word", "left").groupBy("word").agg(F.count("doc_id").alias("n"))
     return hits.select("word", F.col("n").alias("found"), (1 + F.least("n", F.lit(1))).alias("calls_bundled"),

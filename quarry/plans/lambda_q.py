@@ -15,6 +15,7 @@ from quarry.plans.sqlx import EX
 from quarry.session import scratch_path
 from quarry.sources.derived import redelivered
 from quarry.sources.tables import Tables
+from quarry.streaming.jobs import current_version, publish
 
 CUT, LAKE_CUT, FINAL = "2024-01-20 13:30:00", "2024-01-20 12:45:00", "2100-01-01 00:00:00"
 START = "2024-01-01 00:00:00"
@@ -115,17 +116,15 @@ def j11(spark, sf):
 
 @register("X10_atomic_batch_replace", f"WITH {sql_layers()} SELECT * FROM batch")
 def x10(spark, sf):
-    """A batch run writes a new version and then switches a one-row pointer; readers follow it."""
+    """A batch run writes a new version and then publishes its pointer; readers follow the highest one."""
     _, lk, hz = _layers(spark, sf)
     base = scratch_path(spark, "x10")
     older = la.batch_views(_layers(spark, sf, "2024-01-10 00:00:00")[1], hz)
-    older.write.mode("overwrite").parquet(f"{base}/run=1")
-    spark.range(1).select(F.lit(f"{base}/run=1").alias("current")).write.mode("overwrite").json(f"{base}/pointer")
-    la.batch_views(lk, hz).write.mode("overwrite").parquet(f"{base}/run=2")
-    # the switch: one small file replaced after the new version is complete
-    spark.range(1).select(F.lit(f"{base}/run=2").alias("current")).write.mode("overwrite").json(f"{base}/pointer")
-    current = spark.read.schema("current string").json(f"{base}/pointer").first()["current"]
-    return spark.read.parquet(current)
+    older.write.parquet(f"{base}/run=1")
+    publish(spark, base, 1, f"{base}/run=1")
+    la.batch_views(lk, hz).write.parquet(f"{base}/run=2")
+    publish(spark, base, 2, f"{base}/run=2")  # after the new version is complete
+    return current_version(spark, base)
 
 
 @register("X11_redelivery_error", f"""

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.core import parse_access
-from quarry.operators.documents import paged_lists, photo_documents
+from quarry.operators.documents import photo_documents
+from quarry.operators.ordering import prefix_running
 from quarry.plans.registry import register
-from quarry.plans.sqlx import EX, PHOTO_DOC, paged_sql
+from quarry.plans.sqlx import EX, PHOTO_DOC
 from quarry.sources.derived import access_lines, events_x, lake_lines
 from quarry.sources.tables import Tables
 
@@ -133,35 +134,32 @@ def p11(spark, sf):
     return lookup_status(req, t.orders, "request_id", "o_orderkey", ["o_totalprice"])
 
 
-def bulk_lookup(requests, table, ids_col: str, key_col: str, cols: list[str]):
-    """``ids`` text ``1,2,x`` -> rows in request order; non-numeric and missing ids dropped."""
-    ex = requests.select("*", F.posexplode(F.split(ids_col, ",")).alias("pos", "id_text"))
-    ex = ex.withColumn("id", F.trim("id_text").try_cast("bigint")).filter(F.col("id").isNotNull())
-    return (ex.join(table.select(F.col(key_col).alias("id"), *cols), "id")
-            .drop("id_text", ids_col))
+def bulk_lookup(requests, table, pos_col: str, id_col: str, key_col: str, cols: list[str]):
+    """One row per request, position and id text; ids that are not numeric or not in ``table`` give no row,
+    an id asked for twice is answered twice, and ``pos`` keeps the order of the request at any length."""
+    ids = requests.withColumn("id", F.trim(id_col).try_cast("bigint")).filter(F.col("id").isNotNull())
+    return ids.join(table.select(F.col(key_col).alias("id"), *cols), "id").drop(id_col).withColumnRenamed(pos_col, "pos")
 
 
-_REQ_SRC = "(SELECT o_custkey AS request, strftime(o_orderdate, '%Y') AS yr, o_orderkey * 2 AS k2 FROM orders)"
+_REQ_SRC = """(SELECT request, unnest([k2, CASE WHEN k2 % 8 = 0 THEN k2 ELSE 7 END]) AS k2, unnest([0, 1]) AS twice
+  FROM (SELECT o_custkey AS request, o_orderkey * 2 AS k2 FROM orders))"""
 
 
 @register("P12_bulk_lookup_in_request_order", f"""
-WITH req AS (SELECT request, yr, page, array_to_string(ids, ',') || ',x, 7' AS ids
-             FROM {paged_sql(_REQ_SRC, 'request, yr', 'k2', 'ids')}),
-ex AS (SELECT request, yr, page, unnest(generate_series(1, len(string_split(ids, ',')))) - 1 AS pos,
-              unnest(string_split(ids, ',')) AS id_text FROM req)
-SELECT request, yr, page, CAST(pos AS INTEGER) AS pos, TRY_CAST(trim(id_text) AS BIGINT) AS id, o_totalprice
-FROM ex JOIN orders ON TRY_CAST(trim(id_text) AS BIGINT) = o_orderkey""")
+WITH req AS (SELECT request, k2, row_number() OVER (PARTITION BY request ORDER BY -k2, twice) - 1 AS pos FROM {_REQ_SRC})
+SELECT request, pos, k2 AS id, o_totalprice FROM req JOIN orders ON k2 = o_orderkey
+UNION ALL SELECT request, pos + 1000000, k2, o_totalprice FROM req JOIN orders ON k2 = o_orderkey WHERE k2 % 16 = 0""")
 def p12(spark, sf):
-    """Bulk lookup of id lists (one request per customer, year and page of at most ~1000 ids):
-    non-numeric and missing ids are dropped, kept ids keep their position."""
+    """Bulk lookup: per customer a list of ids in descending order, some of them twice and some missing, followed by
+    texts that are no numbers and by ids asked for again."""
     o = Tables(spark, sf).orders
-    src = o.select(F.col("o_custkey").alias("request"), F.date_format("o_orderdate", "yyyy").alias("yr"),
-                   (F.col("o_orderkey") * 2).alias("k2"))
-    req = paged_lists(src, ["request", "yr"], "k2", "ids").select(
-        "request", "yr", "page",
-        F.concat(F.array_join(F.transform("ids", lambda x: x.cast("string")), ","), F.lit(",x, 7")).alias("ids"))
-    return bulk_lookup(req, o, "ids", "o_orderkey", ["o_totalprice"]).select("request", "yr", "page", "pos", "id",
-                                                                            "o_totalprice")
+    k2 = F.col("o_orderkey") * 2
+    asked = o.select(F.col("o_custkey").alias("request"), F.posexplode(F.array(k2, F.when(k2 % 8 == 0, k2).otherwise(F.lit(7)))).alias("twice", "k2"))
+    asked = asked.withColumn("down", -F.col("k2"))
+    req = prefix_running(asked, ["request"], ["request", "down", "twice"]).select("request", (F.col("_rank") - 1).cast("bigint").alias("at"), "k2")
+    text = req.select("request", "at", F.concat(F.lit(" "), F.col("k2").cast("string")).alias("id_text"))
+    again = req.select("request", (F.col("at") + 1000000).alias("at"), F.when(F.col("k2") % 16 == 0, F.col("k2").cast("string")).otherwise(F.lit("x")).alias("id_text"))
+    return bulk_lookup(text.unionByName(again), o, "at", "id_text", "o_orderkey", ["o_totalprice"]).select("request", "pos", "id", "o_totalprice")
 
 
 @register("P13_first_row_matching", """
@@ -188,10 +186,9 @@ SELECT l_orderkey, CAST(len(names) AS INTEGER) AS n_found FROM w WHERE len(names
 def p15(spark, sf):
     """Emit only non-empty model results: orders with at least one 'red ...' part."""
     t = Tables(spark, sf)
-    j = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    found = j.groupBy("l_orderkey").agg(
-        F.collect_set(F.when(F.col("p_name").startswith("red "), F.col("p_name"))).alias("names"))
-    return found.filter(F.size("names") > 0).select("l_orderkey", F.size("names").alias("n_found"))
+    red = t.part.filter(F.col("p_name").startswith("red ")).select("p_partkey", "p_name")
+    j = t.lineitem.join(red, F.col("l_partkey") == F.col("p_partkey"))
+    return j.groupBy("l_orderkey").agg(F.countDistinct("p_name").cast("int").alias("n_found"))
 
 
 @register("P16_delete_by_id_list", """

@@ -179,13 +179,14 @@ def s12(spark, sf):
 
 
 @register("S14_route_to_explicit_partition", """
-SELECT CAST(event_id % 4 AS INTEGER) AS server, count(*) AS n, 1 AS partitions_holding FROM events GROUP BY 1""")
+SELECT CAST(event_id % 4 AS INTEGER) AS server, count(*) AS n, 1 AS partitions_holding, count(*) AS in_their_own FROM events GROUP BY 1""")
 def s14(spark, sf):
     """Route each message to an explicit partition (its server): one partition per server."""
     ex = events_x(Tables(spark, sf).events).select("server", "event_id")
-    routed = ex.repartitionByRange(4, "server").withColumn("pid", F.spark_partition_id())
+    routed = ex.repartitionById(4, "server").withColumn("pid", F.spark_partition_id())
     per = routed.groupBy("server").agg(F.count(F.lit(1)).alias("n"),
-                                       F.countDistinct("pid").cast("int").alias("partitions_holding"))
+                                       F.countDistinct("pid").cast("int").alias("partitions_holding"),
+                                       F.count_if(F.col("pid") == F.col("server")).alias("in_their_own"))
     return per
 
 

@@ -15,17 +15,19 @@ from quarry.plans.registry import register
 from quarry.plans.sqlx import EX, h
 from quarry.session import scratch_path
 from quarry.sources.derived import access_lines
-from quarry.sources.tables import Tables, spread
+from quarry.sources.tables import Tables
 
 WORD_RX = r"[^\p{L}]+"
-N_BUCKETS = 16
 
 
-def keyword_index(documents):
-    """Inverted index rows ``(keyword, doc_id, owner)`` (owner = source), one per distinct pair."""
-    words = spread(documents.select("doc_id", "source", "text")).select("doc_id", F.col("source").alias("owner"),
-                             F.explode(F.split(F.lower("text"), WORD_RX)).alias("keyword"))
-    return words.filter(F.col("keyword") != "").distinct()
+def keyword_index(documents, only=None):
+    """Inverted index rows ``(keyword, doc_id, owner)`` (owner = source); ``doc_id`` is the key of ``documents``,
+    so words made distinct within their row need no shuffle.  ``only`` keeps these keywords."""
+    words = F.array_distinct(F.split(F.lower("text"), WORD_RX))
+    if only:
+        words = F.array_intersect(words, F.array(*[F.lit(w) for w in only]))
+    rows = documents.select("doc_id", F.col("source").alias("owner"), F.explode(words).alias("keyword"))
+    return rows.filter(F.col("keyword") != "").select("keyword", "doc_id", "owner")
 
 
 IDX_SQL = r"""idx AS (SELECT DISTINCT keyword, doc_id, source AS owner FROM (
@@ -39,7 +41,8 @@ def r1(spark, sf):
     """Inverted index keyword -> (doc, owner), stored partitioned by keyword bucket; docs per keyword."""
     idx = keyword_index(Tables(spark, sf).documents)
     path = scratch_path(spark, "r1")
-    (idx.withColumn("bucket", (stable_hash("keyword") % N_BUCKETS).cast("int"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))  # the index is as wide as the cluster's shuffles
+    (idx.withColumn("bucket", (stable_hash("keyword") % buckets).cast("int"))
      .write.mode("overwrite").partitionBy("bucket").parquet(path))
     back = spark.read.parquet(path)
     return back.groupBy("keyword").agg(F.count(F.lit(1)).alias("docs"), F.countDistinct("owner").alias("owners"))
@@ -51,7 +54,7 @@ SELECT q.owner, q.keyword, idx.doc_id FROM q LEFT JOIN idx ON q.owner = idx.owne
 def r2(spark, sf):
     """Search: ids for one keyword of one owner, exact keyword match; an unknown keyword gives no ids (null row)."""
     d = Tables(spark, sf).documents
-    idx = keyword_index(d)
+    idx = keyword_index(d, ["the", "zzzz"])
     q = d.select(F.col("source").alias("owner")).distinct().crossJoin(
         spark.createDataFrame([("the",), ("zzzz",)], "keyword string"))
     return q.join(idx, ["owner", "keyword"], "left").select("owner", "keyword", "doc_id")

@@ -64,9 +64,8 @@ PHOTO_DOC = """doc AS (
   LEFT JOIN nation ON nullif(o_orderkey % 25, 0) = n_nationkey)"""
 
 
-def paged_sql(src: str, keys: str, item: str, name: str, distinct: bool = True, page_size: int = 1000) -> str:
-    """Twin of ``paged_lists``: ``SELECT keys, page, sorted list`` over ``src`` (a subquery or table)."""
+def positioned_sql(src: str, keys: str, item: str, name: str, distinct: bool = True) -> str:
+    """Twin of ``positioned``: ``SELECT keys, pos, name`` over ``src`` (a subquery or table)."""
     d = "DISTINCT " if distinct else ""
-    return f"""(SELECT {keys}, page, list_sort(list(_it)) AS {name} FROM (
-      SELECT {keys}, _it, CAST({h('_it')} % CAST(ceil(count(*) OVER (PARTITION BY {keys}) / {float(page_size)}) AS BIGINT) AS INTEGER) AS page
-      FROM (SELECT {d}{keys}, {item} AS _it FROM {src})) GROUP BY {keys}, page)"""
+    return f"""(SELECT {keys}, row_number() OVER (PARTITION BY {keys} ORDER BY _it) - 1 AS pos, _it AS {name}
+      FROM (SELECT {d}{keys}, {item} AS _it FROM {src}))"""

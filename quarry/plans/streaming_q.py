@@ -17,7 +17,7 @@ from quarry.operators.model import detect, draw, vocabulary
 from quarry.operators.ordering import count_decreases, global_row_number
 from quarry.plans.registry import register
 from quarry.plans.search import D3_SQL, _draw_sql
-from quarry.plans.sqlx import EX, h
+from quarry.plans.sqlx import ARRIVAL, EX, h
 from quarry.session import scratch_path
 from quarry.sources.derived import arrival_key, events_x, redelivered
 from quarry.sources.tables import Tables
@@ -122,10 +122,11 @@ def x3(spark, sf):
     out, ck = scratch_path(spark, "x3-out"), scratch_path(spark, "x3-ck")
 
     def fn(batch, batch_id):
-        batch.write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/v={batch_id}")
+        jobs.publish(spark, out, batch_id, f"{out}/v={batch_id}")
 
     run_available(totals.writeStream.outputMode("complete").foreachBatch(fn), ck)
-    return spark.read.parquet(out)
+    return jobs.current_version(spark, out)
 
 
 @register("X4_native_watermark_windows", """
@@ -146,34 +147,20 @@ def x4(spark, sf):
     return got.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "n")
 
 
-@register("X5_native_late_drop_count")
+@register("X5_late_events_of_a_topic", f"""
+WITH a AS (SELECT event_id, epoch_us(ts) AS t, (epoch_us(ts) // 21600000000) * 21600000000 AS w, {ARRIVAL} AS arrival FROM events),
+r AS (SELECT *, max(t) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max,
+             row_number() OVER (PARTITION BY w ORDER BY arrival, event_id) AS rn FROM a)
+SELECT count(*) AS messages, count(*) FILTER (WHERE rn > 1 AND w + 28800000000 < prev_max) AS late FROM r""")
 def x5(spark, sf):
-    """Late events when the topic arrives out of order: Spark's native drop count (query progress)
-    next to the exact count of the reference semantics (W3) for the same arrival order.
-
-    Spark drops a row only when its whole window is already behind the
-    watermark of the previous micro-batch; the reference drops every event of
-    an already reported window.  Rows-only check (the native number depends on
-    micro-batch boundaries).
-    """
-    ev = Tables(spark, sf).events
-    msgs = jobs.events_messages(ev).withColumn("arrival", arrival_key("offset", "timestamp"))
+    """Late events of an unordered topic: the stream archives messages with their arrival (one file a trigger),
+    and an event is late if its window had been reported by then, whatever the micro-batches were."""
+    msgs = jobs.events_messages(Tables(spark, sf).events)
     path = scratch_path(spark, "topic-x5")
-    append_in_order(msgs.drop("arrival").join(msgs.select("offset", "arrival"), "offset"), path, 8, "arrival")
-    s = jobs.parse_events(read_topic(spark, path, max_files_per_trigger=1)).withColumn("t", F.col("ts").cast("timestamp"))
-    agg = s.withWatermark("t", "2 hours").groupBy(F.window("t", "6 hours")).agg(F.count(F.lit(1)).alias("n"))
-    out, ck = scratch_path(spark, "x5-out"), scratch_path(spark, "x5-ck")
-    q = run_available(agg.writeStream.outputMode("append").format("parquet").option("path", out), ck)
-    rows = [(int(p["batchId"]), int(p["numInputRows"]),
-             int(sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))))
-            for p in q.recentProgress]
-    prog = spark.createDataFrame(rows, "batch_id long, rows_in long, rows_dropped long")
-    native = prog.agg(F.count(F.lit(1)).alias("batches"), F.sum("rows_in").alias("rows_in"),
-                      F.sum("rows_dropped").alias("native_dropped"))
-    # the reference semantics on the same arrival order: late = the window was already reported
-    exact = late_flags(ev.select("event_id", "ts").withColumn("arrival", arrival_key()), "ts",
-                       ["arrival", "event_id"]).agg(F.count_if("late").alias("exact_late"))
-    return native.crossJoin(exact)
+    write_topic(msgs.repartition(4, "offset"), path)
+    s = jobs.parse_events(read_topic(spark, path, max_files_per_trigger=1)).select("event_id", "ts", arrival_key().alias("arrival"))
+    archive = _sink(spark, s, "x5")
+    return late_flags(archive, "ts", ["arrival", "event_id"]).agg(F.count(F.lit(1)).alias("messages"), F.count_if("late").alias("late"))
 
 
 CRASH_MOD = 1000
@@ -235,10 +222,11 @@ def results_messages(spark, sf):
     fr = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(
         F.array_join(F.transform(F.sort_array(F.collect_set("l_suppkey")), lambda x: x.cast("string")), ";")
         .alias("friends")).select("p_partkey", F.lit(None).cast("string").alias("objects"), "friends")
-    res = obj.unionByName(fr)
-    res = res.unionByName(res.filter(F.col("p_partkey") % 10 == 3))  # redelivered after a restart
+    res = obj.withColumn("kind", F.lit(0)).unionByName(fr.withColumn("kind", F.lit(1)))
+    again = res.filter(F.col("p_partkey") % 10 == 3).withColumn("kind", F.col("kind") + 2)  # redelivered after a restart
+    res = res.unionByName(again)
     return to_messages(res, "results", F.col("p_partkey"), F.to_json(F.struct("p_partkey", "objects", "friends")),
-                       stable_hash("p_partkey") % 6, F.monotonically_increasing_id(),
+                       stable_hash("p_partkey") % 6, F.col("p_partkey") * 4 + F.col("kind"),
                        F.lit("2024-01-01 00:00:00").cast("timestamp"))
 
 
@@ -267,7 +255,7 @@ def x14(spark, sf):
     base = scratch_path(spark, "x14-table")
     run_available(s.writeStream.foreachBatch(jobs.versioned_upsert(spark, base, "p_partkey", ["objects", "friends"])),
                   scratch_path(spark, "x14-ck"))
-    return jobs.current_version(spark, base)
+    return jobs.current_version(spark, base).select("p_partkey", "objects", "friends", "writes")
 
 
 @register("X15_ordering_with_and_without_key", """

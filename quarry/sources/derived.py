@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.core import epoch_micros, iso_millis, stable_hash
-from quarry.sources.tables import spread
 
 # HTTP status of the synthesised access-log line per event type.
 STATUS_BY_TYPE = {"view": 200, "click": 304, "signup": 401, "purchase": 502, "error": 500}
@@ -72,32 +71,24 @@ def _access_line(e: DataFrame) -> Column:
         F.lit(' "-" "'), user_agent(F.col("user_id"), F.col("k")), F.lit('"'))
 
 
-_SHIPPED: dict = {}
-
-
 def shipped(df: DataFrame, name: str) -> DataFrame:
-    """Store synthesised log lines once per session as files (what a log shipper does) and scan them.
+    """Store synthesised log lines as files (what a log shipper does) and scan them.
 
-    Queries then parse a stored text column instead of re-deriving the line
-    inside every predicate (which would also inline the whole line expression
-    into each parser call).  The store lives below ``spark.checkpoint.dir``;
-    the key is the semantic hash of the producing plan.
+    Every call writes its own copy below ``spark.checkpoint.dir``, so an answer
+    never comes from an older table.  Queries then parse a stored text column
+    instead of re-deriving the line inside every predicate.
     """
     from quarry.session import scratch_path
 
-    spark = df.sparkSession
-    key = (spark.sparkContext.applicationId, name, df.semanticHash())
-    if key not in _SHIPPED:
-        path = scratch_path(spark, name)
-        df.write.mode("overwrite").parquet(path)
-        _SHIPPED[key] = path
-    return spark.read.parquet(_SHIPPED[key])
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def access_lines(events: DataFrame) -> DataFrame:
     """One access-log line per event:
     ``ip - user [time +0000] "GET path HTTP/1.1" status size "-" "agent"``."""
-    e = events_x(spread(events))
+    e = events_x(events)
     return shipped(e.select("event_id", "server", _access_line(e).alias("line")), "access-log")
 
 
@@ -109,7 +100,7 @@ def lake_lines(events: DataFrame) -> DataFrame:
     50th key additionally a logfmt deploy line.  Columns: service, file, host,
     line, event_id.
     """
-    e = events_x(spread(events))
+    e = events_x(events)
     uid = F.col("user_id").cast("string")
     host = F.concat(F.lit("web-"), (F.col("server") + 1).cast("string"))
     access = _access_line(e)

@@ -15,19 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread CPU-heavy per-row work (tokenising, regex parsing) over the cluster.
-
-    A scan has one task per file split; a few large files (or one row group)
-    leave cores idle.  Only when the scan has fewer splits than the default
-    parallelism is a round-robin repartition added - on a large input it is a
-    no-op, the scan is already wide.
-    """
-    spark = df.sparkSession
-    n = min_partitions or spark.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 class Tables:
     """Attribute access to the tables of one scale-factor folder: ``t.orders``."""
 

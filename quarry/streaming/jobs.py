@@ -43,42 +43,51 @@ def header(headers: Column, name: str) -> Column:
 
 
 # ---------------------------------------------------------------- sinks
+def publish(spark: SparkSession, base: str, version: int, path: str) -> None:
+    """Make ``path`` the current version: a new pointer file per version, never a replaced one, so a reader
+    finds the old or the new version at any time."""
+    spark.range(1).select(F.lit(path).alias("current")).coalesce(1).write.mode("overwrite").json(f"{base}/pointer/v={version:012d}")
+
+
+def current_version(spark: SparkSession, base: str) -> DataFrame:
+    """The table that the pointer with the highest version names."""
+    best = spark.read.schema("current string, v bigint").json(f"{base}/pointer").agg(F.max_by("current", "v").alias("current"))
+    return spark.read.parquet(best.first()["current"])
+
+
 def versioned_upsert(spark: SparkSession, base: str, key: str, latest_cols: list[str]):
     """``foreachBatch`` upsert into a versioned table with a ``writes`` counter.
 
-    A batch is pre-aggregated per key (latest non-null value per column by
-    offset, message count), merged with version ``batch_id - 1`` by a full
-    outer join and written as version ``batch_id``; then a one-row pointer is
-    switched.  Re-running a batch id rebuilds the same version (idempotent).
+    A batch is pre-aggregated per key (per column the non-null value of the highest
+    offset, and that offset), merged with version ``batch_id - 1`` by a full outer
+    join, where the higher offset wins whatever order batches come in, and written
+    as version ``batch_id``; then its pointer is published.  Re-running a batch id
+    rebuilds the same version (idempotent).  Only batch 0 starts from nothing: a
+    previous version that cannot be read is an error.
     """
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("offset"))).alias(c) for c in latest_cols]
-        new = batch.groupBy(key).agg(*aggs, F.count(F.lit(1)).alias("writes"))
-        prev = f"{base}/v={batch_id - 1}"
-        try:
-            old = spark.read.parquet(prev)
-        except Exception:  # first version
-            old = None
-        if old is None:
-            merged = new
-        else:
-            o = old.select(key, *[F.col(c).alias(f"_o_{c}") for c in latest_cols], F.col("writes").alias("_o_w"))
-            j = o.join(new, key, "full_outer")
-            merged = j.select(key, *[F.coalesce(F.col(c), F.col(f"_o_{c}")).alias(c) for c in latest_cols],
-                              (F.coalesce("_o_w", F.lit(0)) + F.coalesce("writes", F.lit(0))).alias("writes"))
+        seen = lambda c: F.when(F.col(c).isNotNull(), F.col("offset"))
+        aggs = [x for c in latest_cols for x in (F.max_by(F.col(c), seen(c)).alias(c), F.max(seen(c)).alias(f"{c}_offset"))]
+        merged = batch.groupBy(key).agg(*aggs, F.count(F.lit(1)).alias("writes"))
+        if batch_id > 0:
+            old = spark.read.parquet(f"{base}/v={batch_id - 1}")
+            o = old.select(key, *[F.col(c).alias(f"_o_{c}") for c in old.columns if c != key])
+            j = o.join(merged, key, "full_outer")
+
+            def newest(c: str):
+                old_wins = F.col(f"{c}_offset").isNull() | (F.col(f"_o_{c}_offset") > F.col(f"{c}_offset"))
+                return [F.when(old_wins, F.col(f"_o_{c}")).otherwise(F.col(c)).alias(c),
+                        F.greatest(f"_o_{c}_offset", f"{c}_offset").alias(f"{c}_offset")]
+
+            merged = j.select(key, *[x for c in latest_cols for x in newest(c)],
+                              (F.coalesce("_o_writes", F.lit(0)) + F.coalesce("writes", F.lit(0))).alias("writes"))
         merged.write.mode("overwrite").parquet(f"{base}/v={batch_id}")
-        spark.range(1).select(F.lit(f"{base}/v={batch_id}").alias("current")).write.mode("overwrite").json(
-            f"{base}/pointer")
+        publish(spark, base, batch_id, f"{base}/v={batch_id}")
 
     return fn
 
 
-def current_version(spark: SparkSession, base: str) -> DataFrame:
-    cur = spark.read.schema("current string").json(f"{base}/pointer").first()["current"]
-    return spark.read.parquet(cur)
-
-
 def idempotent_archiver(base: str, partition_col: str = "server"):
     """Append each micro-batch to the lake as ``batch=<id>`` with overwrite: a rewritten
     batch replaces itself, and the checkpoint commits only after the files exist."""
