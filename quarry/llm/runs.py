@@ -106,11 +106,12 @@ def covered_units(runs: DataFrame, spare_first: bool) -> DataFrame:
     the first one's units.
     """
     each = runs.select("id", "tk", F.explode("runs").alias("r")).select("id", "tk", "r.*")
-    seen = each.groupBy("h1").count().filter("count > 1").select("h1")
+    # written, so that the joins below deal both sides anew and Spark can split a hot key
+    seen = frozen(each.groupBy("h1").count().filter("count > 1").select("h1"), "runs-seen")
     again = frozen(each.join(seen, "h1"), "runs-again")
     at = F.struct("id", "tk", "pos")
-    groups = (again.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last"))
-              .filter("first != last").select("h1", "h2", "first"))
+    groups = frozen(again.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last"))
+                    .filter("first != last").select("h1", "h2", "first"), "runs-groups")
     later = again.join(groups, ["h1", "h2"]).filter(at != F.col("first"))
     units = later.select("id", "tk", "first", "len", F.explode(F.sequence("pos", F.col("pos") + F.col("len") - 1)).alias("u"))
     if spare_first:
