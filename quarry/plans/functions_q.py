@@ -249,15 +249,17 @@ def f22(spark, sf):
 
 @register("F23_round_and_percent", """
 SELECT o_orderstatus, round(100.0 * count(*) / (SELECT count(*) FROM orders)) / 100.0 AS share,
-       round(100.0 * 100.0 * count(*) / (SELECT count(*) FROM orders)) / 100.0 AS percent
+       round(100.0 * 100.0 * count(*) / (SELECT count(*) FROM orders)) / 100.0 AS percent,
+       CAST(CAST(round(100.0 * count(*) / (SELECT count(*) FROM orders)) AS BIGINT) AS VARCHAR) || ' %' AS percent_text
 FROM orders GROUP BY 1""")
 def f23(spark, sf):
-    """Round a share to 2 decimals and as percent (numbers, not text)."""
+    """Round a share to 2 decimals, as percent and as percent text."""
     o = Tables(spark, sf).orders
     total = o.agg(F.count(F.lit(1)).alias("total"))
     c = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).crossJoin(total)
     return c.select("o_orderstatus", fn.ratio2("n", "total").alias("share"),
-                    fn.round2(F.lit(100.0) * F.col("n") / F.col("total")).alias("percent"))
+                    fn.round2(F.lit(100.0) * F.col("n") / F.col("total")).alias("percent"),
+                    F.concat(F.round(F.lit(100.0) * F.col("n") / F.col("total")).cast("bigint").cast("string"), F.lit(" %")).alias("percent_text"))
 
 
 @register("F24_client_from_user_agent", f"""

@@ -40,8 +40,14 @@ def s2(spark, sf):
                                           (F.round(F.sum("o_totalprice") * 100, 0) / 100).alias("total"))
 
 
+def _whole(docs):
+    """Every field of a nested photo document."""
+    return docs.select("photo_id", "path", "upload_date", "size", "format", "title", "objects", "user.user_id", "user.account_name",
+                       "user.segment", "camera.camera_id", "camera.manufacturer")
+
+
 @register("S3_nested_json_lines", f"""
-WITH {PHOTO_DOC} SELECT photo_id, account_name, manufacturer, len(objects) AS n_objects FROM doc""")
+WITH {PHOTO_DOC} SELECT photo_id, path, upload_date, size, format, title, objects, user_id, account_name, segment, camera_id, manufacturer FROM doc""")
 def s3(spark, sf):
     """JSON Lines write / read of nested documents with an explicit schema."""
     t = Tables(spark, sf)
@@ -49,9 +55,7 @@ def s3(spark, sf):
     path = scratch_path(spark, "s3")
     files.write_json(d, path)
     back = files.read_json(spark, path, PHOTO_DOC_DDL)
-    return back.select("photo_id", F.col("user.account_name").alias("account_name"),
-                       F.col("camera.manufacturer").alias("manufacturer"),
-                       F.size("objects").cast("bigint").alias("n_objects"))
+    return _whole(back)
 
 
 def _stem():
@@ -97,7 +101,7 @@ def s5(spark, sf):
 
 
 @register("S6_parquet_nested_schema", f"""
-WITH {PHOTO_DOC} SELECT photo_id, user_id, segment, camera_id, objects FROM doc""")
+WITH {PHOTO_DOC} SELECT photo_id, path, upload_date, size, format, title, objects, user_id, account_name, segment, camera_id, manufacturer FROM doc""")
 def s6(spark, sf):
     """Parquet with an explicit nested schema (structs, array, nullable struct) round trip."""
     t = Tables(spark, sf)
@@ -105,8 +109,7 @@ def s6(spark, sf):
     path = scratch_path(spark, "s6")
     files.write_parquet(d, path)
     back = spark.read.parquet(path)
-    return back.select("photo_id", F.col("user.user_id").alias("user_id"), F.col("user.segment").alias("segment"),
-                       F.col("camera.camera_id").alias("camera_id"), "objects")
+    return _whole(back)
 
 
 @register("S7_hive_partitioned_by_month", """
@@ -151,11 +154,13 @@ UNION ALL SELECT 'events', event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z'
 def s11(spark, sf):
     """CSV export rule: a column all at midnight is written as a date, else ISO with ms and Z."""
     t = Tables(spark, sf)
-    o = files.timestamp_text_columns(t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("ts")),
-                                     ["ts"]).select(F.lit("orders").alias("tbl"), "id", F.col("ts").alias("ts_text"))
-    e = files.timestamp_text_columns(t.events.select(F.col("event_id").alias("id"), "ts"), ["ts"]).select(
-        F.lit("events").alias("tbl"), "id", F.col("ts").alias("ts_text"))
-    return o.unionByName(e)
+    out = []
+    for name, rows in (("orders", t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("ts"))),
+                       ("events", t.events.select(F.col("event_id").alias("id"), "ts"))):
+        path = scratch_path(spark, f"s11-{name}")
+        files.write_csv(files.timestamp_text_columns(rows, ["ts"]), path)
+        out.append(files.read_csv(spark, path, "id bigint, ts string").select(F.lit(name).alias("tbl"), "id", F.col("ts").alias("ts_text")))
+    return out[0].unionByName(out[1])
 
 
 @register("S12_preview_extract", """

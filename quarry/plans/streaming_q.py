@@ -8,6 +8,7 @@ batch DataFrame.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -44,15 +45,16 @@ def _sink(spark, stream_df, name, mode="append", fmt="parquet"):
 
 
 @register("S13_message_stream_source_sink", f"""
-WITH {EX} SELECT kpart AS partition, count(*) AS messages, min(event_id) AS first_offset, max(event_id) AS last_offset
-FROM ex GROUP BY kpart""")
+WITH {EX} SELECT event_id AS "offset", kpart AS partition, CAST(user_id AS VARCHAR) AS key, ts AS produced, user_id, event_type, value, props,
+       '00-' || md5(CAST(event_id AS VARCHAR)) AS trace FROM ex""")
 def s13(spark, sf):
-    """Message stream: JSON value, text key, read from the earliest offset, stored with a checkpoint."""
+    """Message stream: JSON value, text key and headers, read from the earliest offset, stored with a checkpoint, read back whole."""
     topic = _events_topic(spark, sf)
-    s = jobs.parse_events(read_topic(spark, topic, max_files_per_trigger=4))
-    got = _sink(spark, s.select("event_id", "partition", "offset"), "s13")
-    return got.groupBy("partition").agg(F.count(F.lit(1)).alias("messages"), F.min("offset").alias("first_offset"),
-                                        F.max("offset").alias("last_offset"))
+    got = _sink(spark, read_topic(spark, topic, max_files_per_trigger=4), "s13")
+    e = F.from_json("value", jobs.EVENT_DDL)
+    m = got.select("offset", "partition", "key", F.col("timestamp").cast("timestamp_ntz").alias("produced"), e.alias("e"),
+                   F.substring(jobs.header(F.col("headers"), "traceparent"), 1, 35).alias("trace"))
+    return m.select("offset", "partition", "key", "produced", "e.user_id", "e.event_type", "e.value", "e.props", "trace")
 
 
 @register("S17_replay_for_new_consumer", """
@@ -130,21 +132,38 @@ def x3(spark, sf):
 
 
 @register("X4_native_watermark_windows", """
-WITH w AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) AS window_start, count(*) AS n FROM events GROUP BY 1)
-SELECT window_start, n FROM w WHERE window_start + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""")
+WITH c AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) AS window_start, event_type AS obj, count(*) AS n FROM events GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY n DESC, obj) AS rn FROM c)
+SELECT window_start, CAST(sum(n) AS BIGINT) AS total, string_agg(obj || ' ' || n, ', ' ORDER BY rn) FILTER (WHERE rn <= 3) AS top
+FROM r GROUP BY 1 HAVING window_start + INTERVAL 8 HOUR < (SELECT max(ts) FROM events)""")
 def x4(spark, sf):
-    """Tumbling 6 h event-time windows with a 2 h watermark, append mode.
+    """Tumbling 6 h event-time windows, reported once the latest time is over 2 h past their end: total and top 3.
 
-    A window is emitted once the watermark (max event time - 2 h) reaches its
-    end; the still-open last windows stay in state.  The whole topic is
-    available at the start, so nothing arrives behind the watermark.
+    The producer appends in time order, one chunk a trigger; the watermark is the
+    disorder it really has (a chunk's width) and 2 h, so no event is dropped in any
+    number of micro-batches and the state stays bounded.  Each batch writes the
+    counts it changed under its own number; the highest number holds.
     """
-    topic = _events_topic(spark, sf, "x4")
-    s = jobs.parse_events(read_topic(spark, topic))
-    s = s.withColumn("t", F.col("ts").cast("timestamp"))
-    agg = s.withWatermark("t", "2 hours").groupBy(F.window("t", "6 hours")).agg(F.count(F.lit(1)).alias("n"))
-    got = _sink(spark, agg, "x4")
-    return got.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "n")
+    path = scratch_path(spark, "topic-x4")
+    width = append_in_order(jobs.events_messages(Tables(spark, sf).events), path, 6, F.unix_micros("timestamp"))
+    s = jobs.parse_events(read_topic(spark, path, max_files_per_trigger=1)).withColumn("t", F.col("ts").cast("timestamp"))
+    delay = f"{width // 1_000_000 + 1 + 2 * 3600} seconds"
+    counts = s.withWatermark("t", delay).groupBy(F.window("t", "6 hours").alias("w"), F.col("event_type").alias("obj")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("t").alias("latest"))
+    out = scratch_path(spark, "x4-out")
+
+    def fn(batch, batch_id):
+        batch.withColumn("b", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/batch={batch_id:08d}")
+
+    run_available(counts.writeStream.outputMode("update").foreachBatch(fn), scratch_path(spark, "x4-ck"))
+    got = spark.read.parquet(out)
+    final = got.groupBy("w", "obj").agg(F.max_by("n", "b").alias("n"))
+    ranked = final.withColumn("rn", F.row_number().over(Window.partitionBy("w").orderBy(F.desc("n"), "obj")))
+    top = F.array_sort(F.collect_list(F.when(F.col("rn") <= 3, F.struct("rn", F.concat_ws(" ", "obj", "n").alias("text")))))
+    windows = ranked.groupBy("w").agg(F.sum("n").alias("total"), F.array_join(F.transform(top, lambda x: x["text"]), ", ").alias("top"))
+    latest = got.agg(F.max("latest").alias("latest"))
+    return (windows.crossJoin(F.broadcast(latest)).filter(F.col("w.end") + F.expr("interval 2 hours") < F.col("latest"))
+            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "total", "top"))
 
 
 @register("X5_late_events_of_a_topic", f"""
@@ -203,11 +222,14 @@ def x12(spark, sf):
 @register("X13_idempotent_consumer", """
 SELECT event_type, count(*) AS messages FROM events GROUP BY event_type""")
 def x13(spark, sf):
-    """Idempotent consumer on a redelivering stream: ``dropDuplicatesWithinWatermark`` on the offset."""
-    topic = _events_topic(spark, sf, "x13", events=redelivered(Tables(spark, sf).events))
-    s = jobs.parse_events(read_topic(spark, topic, max_files_per_trigger=2)).withColumn(
-        "t", F.col("timestamp").cast("timestamp"))
-    d = s.withWatermark("t", "40 days").dropDuplicatesWithinWatermark(["offset"])
+    """Idempotent consumer on a redelivering stream: ``dropDuplicatesWithinWatermark`` on the offset.
+
+    The topic is appended in time order; a redelivered message has the time of
+    the first one, so state is needed for the producer's disorder only."""
+    path = scratch_path(spark, "topic-x13")
+    width = append_in_order(jobs.events_messages(redelivered(Tables(spark, sf).events)), path, 6, F.unix_micros("timestamp"))
+    s = jobs.parse_events(read_topic(spark, path, max_files_per_trigger=1)).withColumn("t", F.col("timestamp").cast("timestamp"))
+    d = s.withWatermark("t", f"{width // 1_000_000 + 1} seconds").dropDuplicatesWithinWatermark(["offset"])
     got = _sink(spark, d.select("event_type", "offset"), "x13")
     return got.groupBy("event_type").agg(F.count(F.lit(1)).alias("messages"))
 

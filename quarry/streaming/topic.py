@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import scratch_path
+
 MESSAGE_DDL = ("key string, value string, topic string, partition int, offset bigint, timestamp timestamp, "
                "headers array<struct<key:string,value:string>>")
 
@@ -35,22 +37,25 @@ def write_topic(msgs: DataFrame, path: str) -> None:
     msgs.write.mode("append").parquet(path)
 
 
-def append_in_order(msgs: DataFrame, path: str, chunks: int, order_col: str = "offset") -> None:
-    """Produce the messages as ``chunks`` appends, one after another, in ``order_col`` order.
+def append_in_order(msgs: DataFrame, path: str, chunks: int, order: Column | str = "offset") -> int:
+    """Produce the messages as ``chunks`` appends, one after another, in ``order``; returns a chunk's width.
 
-    Each chunk is one distributed write of an equal-width range of the order
-    column, so every file of chunk ``i`` is older than every file of chunk
-    ``i + 1``; inside a chunk the file order is free.  This stands in for a
-    producer that appends over time (a broker source needs none of it).
+    Each chunk is one distributed write of an equal-width range of the (integer)
+    order, so every file of chunk ``i`` is older than every file of chunk
+    ``i + 1``; inside a chunk the file order is free, so a consumer meets disorder
+    of one chunk's width at most.  This stands in for a producer that appends
+    over time (a broker source needs none of it).
     """
-    msgs = msgs.persist()
-    b = msgs.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    lo, hi = int(b["lo"]), int(b["hi"])
+    at = F.col(order) if isinstance(order, str) else order
+    stored = scratch_path(msgs.sparkSession, "to-append")
+    msgs.withColumn("_at", at).write.parquet(stored)
+    msgs = msgs.sparkSession.read.parquet(stored)
+    lo, hi = (int(x) if x is not None else 0 for x in msgs.agg(F.min("_at"), F.max("_at")).first())
     width = (hi - lo) // chunks + 1
     for i in range(chunks):
-        part = msgs.filter((F.col(order_col) >= lo + i * width) & (F.col(order_col) < lo + (i + 1) * width))
+        part = msgs.filter((F.col("_at") >= lo + i * width) & (F.col("_at") < lo + (i + 1) * width)).drop("_at")
         part.write.mode("append").parquet(f"{path}/chunk={i:05d}")
-    msgs.unpersist()
+    return width
 
 
 def read_topic(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
