@@ -1,136 +1,151 @@
-"""User-defined fold ``apply(state, event)`` over ordered events per key.
+"""User-defined fold of ordered events per key, for any fold written as a monoid.
 
-A generic fold cannot be split unless it is written as a monoid: each event
-becomes a *transform* of the state, and transforms compose associatively.
-The fold then runs in two bounded stages:
+A fold ``apply(state, event)`` cannot be split, but transforms of the state can:
+a :class:`Monoid` turns an event into a transform (``step`` from the transform
+so far) and composes transforms associatively.  The fold then runs in two
+bounded stages:
 
-1. ``repartitionByRange(key, order)`` + ``sortWithinPartitions``; one
-   ``mapInPandas`` pass folds each task's slice of every key into a single
-   transform (one row per key and block);
-2. the transforms are hash-partitioned by key, sorted by block and composed
-   in one ``mapInPandas`` pass - at most one per block and key, so a hot key
-   never lands in one task whole.
+1. ``repartitionByRange(key, order)`` and a sort; one ``mapInPandas`` pass folds
+   each task's slice of every key into one transform (a row per key and block);
+2. the transforms are hash-partitioned by key, sorted by block and composed in a
+   second pass: at most one per block and key, so a hot key never meets in one
+   task whole.
 
-:class:`ReplayFold` is the event-replay fold of the photo log written this way.
+:class:`ReplayFold` is the event replay of the photo log written this way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TRANSFORM_DDL = ("photo_id bigint, blk int, base string, b_user int, b_path string, touched boolean, "
-                 "s_path string, s_title string")
-STATE_DDL = "photo_id bigint, user int, path string, title string"
+ROWS_OUT = 10_000
 
 
-class ReplayFold:
-    """State transform of the photo replay: ``base`` in {same, absent, add} plus later sets."""
-
-    @staticmethod
-    def identity() -> dict:
-        return {"base": "same", "b_user": None, "b_path": None, "touched": False, "s_path": None, "s_title": None}
-
-    @staticmethod
-    def step(t: dict, typ: str, user, path, title) -> dict:
-        if typ == "addPhoto":
-            return {"base": "add", "b_user": user, "b_path": path, "touched": True, "s_path": None, "s_title": None}
-        if typ == "deletePhoto":
-            return {"base": "absent", "b_user": None, "b_path": None, "touched": False, "s_path": None,
-                    "s_title": None}
-        t = dict(t)
-        t["touched"] = True
-        if typ == "updatePhotoData":
-            t["s_title"] = title
-        elif typ == "replacePhoto":
-            t["s_path"] = path
-        return t
-
-    @staticmethod
-    def compose(a: dict, b: dict) -> dict:
-        if b["base"] != "same":
-            return dict(b)
-        return {"base": a["base"], "b_user": a["b_user"], "b_path": a["b_path"],
-                "touched": a["touched"] or b["touched"],
-                "s_path": b["s_path"] if b["s_path"] is not None else a["s_path"],
-                "s_title": b["s_title"] if b["s_title"] is not None else a["s_title"]}
-
-    @staticmethod
-    def final(t: dict):
-        """State row of a photo that had no row before the first event, or None (absent)."""
-        if t["base"] == "add":
-            return (t["b_user"], t["s_path"] if t["s_path"] is not None else t["b_path"],
-                    t["s_title"] if t["s_title"] is not None else "")
-        if t["touched"]:
-            return (None, t["s_path"], t["s_title"])
-        return None
-
-
-def _none(v):
-    return None if v is None or (isinstance(v, float) and v != v) else v
-
-
-def _fold_partition(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    out, key, blk, t = [], None, None, None
-
-    def emit():
-        if key is not None:
-            out.append({"photo_id": key, "blk": blk, **t})
-
-    for pdf in it:
-        for rec in pdf.itertuples(index=False):
-            if rec.photo_id != key:
-                emit()
-                key, blk, t = rec.photo_id, rec.blk, ReplayFold.identity()
-            t = ReplayFold.step(t, rec.type, _none(rec.user), _none(rec.path), _none(rec.title))
-        if len(out) >= 10_000:
-            yield pd.DataFrame(out, columns=[f.split()[0] for f in TRANSFORM_DDL.split(", ")])
-            out = []
-    emit()
-    if out:
-        yield pd.DataFrame(out, columns=[f.split()[0] for f in TRANSFORM_DDL.split(", ")])
+class Monoid(Protocol):
+    """What a fold needs; transforms are dicts with the columns of ``transform_ddl``."""
 
+    transform_ddl: str
+    state_ddl: str
 
-_STATE_COLS = ["photo_id", "user", "path", "title"]
+    def identity(self) -> dict: ...
+    def step(self, transform: dict, event: dict) -> dict: ...
+    def compose(self, first: dict, then: dict) -> dict: ...
+    def final(self, transform: dict) -> dict | None: ...
 
 
-def _compose_partition(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Compose the per-block transforms of each key (rows sorted by key, block) into its final row."""
-    out, key, t = [], None, None
+def _records(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
+    for pdf in batches:
+        for row in pdf.astype(object).where(pdf.notna(), None).to_dict("records"):
+            yield row
 
-    def emit():
-        if key is not None:
-            row = ReplayFold.final(t)
-            if row is not None:
-                out.append((key, *row))
 
-    for pdf in it:
-        for rec in pdf.to_dict("records"):
-            if rec["photo_id"] != key:
-                emit()
-                key, t = rec["photo_id"], ReplayFold.identity()
-            r = {k: _none(v) for k, v in rec.items()}
-            r["touched"] = bool(r["touched"])
-            t = ReplayFold.compose(t, r)
-        if len(out) >= 10_000:
-            yield pd.DataFrame(out, columns=_STATE_COLS)
+def _frames(rows: Iterator[dict], columns: list[str]) -> Iterator[pd.DataFrame]:
+    out: list[dict] = []
+    for r in rows:
+        out.append(r)
+        if len(out) == ROWS_OUT:
+            yield pd.DataFrame(out, columns=columns)
             out = []
-    emit()
     if out:
-        yield pd.DataFrame(out, columns=_STATE_COLS)
+        yield pd.DataFrame(out, columns=columns)
 
 
-def replay_fold(events: DataFrame, n_blocks: int | None = None) -> DataFrame:
-    """Current state by folding ``apply`` over the events of each photo in ``seq`` order."""
+def _names(ddl: str) -> list[str]:
+    return [c.split()[0] for c in ddl.split(", ")]
+
+
+def fold(events: DataFrame, key: str, order: list[str], monoid: Monoid, n_blocks: int | None = None) -> DataFrame:
+    """``(key, state columns)`` of every key whose final state is not None; events in ``order`` per key."""
     n = n_blocks or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    e = (events.select("photo_id", "seq", "type", "user", "path", "title")
-         .repartitionByRange(n, "photo_id", "seq").sortWithinPartitions("photo_id", "seq")
-         .withColumn("blk", F.spark_partition_id()))
-    parts = e.mapInPandas(_fold_partition, TRANSFORM_DDL)
-    # at most one transform per (key, block): the merge input of a key is bounded by n
-    merged = (parts.repartition(n, "photo_id").sortWithinPartitions("photo_id", "blk")
-              .mapInPandas(_compose_partition, STATE_DDL))
-    return merged.withColumn("user", F.col("user").cast("int"))
+    kind = events.schema[key].dataType.simpleString()
+
+    def blocks(batches):
+        def rows():
+            for (k, b), own in groupby(_records(batches), lambda r: (r[key], r["_blk"])):
+                t = monoid.identity()
+                for event in own:
+                    t = monoid.step(t, event)
+                yield {key: k, "_blk": b, **t}
+
+        return _frames(rows(), [key, "_blk", *_names(monoid.transform_ddl)])
+
+    def merge(batches):
+        def rows():
+            for k, own in groupby(_records(batches), lambda r: r[key]):
+                t = monoid.identity()
+                for part in own:
+                    t = monoid.compose(t, part)
+                state = monoid.final(t)
+                if state is not None:
+                    yield {key: k, **state}
+
+        return _frames(rows(), [key, *_names(monoid.state_ddl)])
+
+    e = (events.repartitionByRange(n, key, *order).sortWithinPartitions(key, *order)
+         .withColumn("_blk", F.spark_partition_id()))
+    parts = e.mapInPandas(blocks, f"{key} {kind}, _blk int, {monoid.transform_ddl}")
+    return (parts.repartition(n, key).sortWithinPartitions(key, "_blk")
+            .mapInPandas(merge, f"{key} {kind}, {monoid.state_ddl}"))
+
+
+def reduce_sorted(rows: DataFrame, keys: list[str], reducer, schema: str) -> DataFrame:
+    """D2 hook: ``reducer(key values, iterator of row dicts)`` yields result dicts, one key after the other.
+
+    Rows of a key come as a stream, so the reducer's memory need not grow with a
+    group; a fold that should also be split within a key is a :class:`Monoid`.
+    """
+    def run(batches):
+        def out():
+            for k, own in groupby(_records(batches), lambda r: tuple(r[c] for c in keys)):
+                yield from reducer(k, own)
+
+        return _frames(out(), _names(schema))
+
+    return rows.repartition(*keys).sortWithinPartitions(*rows.columns).mapInPandas(run, schema)
+
+
+class ReplayFold:
+    """State of a photo: what the last addition or deletion left, then path and title set since."""
+
+    transform_ddl = "base string, b_user int, b_path string, touched boolean, s_path string, s_title string"
+    state_ddl = "user int, path string, title string"
+
+    def identity(self) -> dict:
+        return dict(base="same", b_user=None, b_path=None, touched=False, s_path=None, s_title=None)
+
+    def step(self, transform: dict, event: dict) -> dict:
+        fresh = self.identity()
+        kind = event["type"]
+        if kind == "addPhoto":
+            return fresh | dict(base="add", b_user=event["user"], b_path=event["path"], touched=True)
+        if kind == "deletePhoto":
+            return fresh | dict(base="absent")
+        sets = {"updatePhotoData": dict(s_title=event["title"]), "replacePhoto": dict(s_path=event["path"])}
+        return transform | dict(touched=True) | sets.get(kind, {})
+
+    def compose(self, first: dict, then: dict) -> dict:
+        if then["base"] != "same":
+            return then
+        kept = {c: then[c] if then[c] is not None else first[c] for c in ("s_path", "s_title")}
+        return first | kept | dict(touched=bool(first["touched"] or then["touched"]))
+
+    def final(self, transform: dict) -> dict | None:
+        t = transform
+        if not t["touched"]:
+            return None
+        added = t["base"] == "add"
+        path = t["s_path"] if t["s_path"] is not None else t["b_path"]
+        title = t["s_title"] if t["s_title"] is not None else "" if added else None
+        return {"user": int(t["b_user"]) if added and t["b_user"] is not None else None, "path": path, "title": title}
+
+
+def replay_fold(events: DataFrame, n_blocks: int | None = None) -> DataFrame:
+    """Current state by folding the events of each photo in ``seq`` order."""
+    e = events.select("photo_id", "seq", "type", "user", "path", "title")
+    return fold(e, "photo_id", ["seq"], ReplayFold(), n_blocks)

@@ -17,7 +17,7 @@ from quarry.sources.tables import Tables
 
 NODES = 4
 LAST_WEEK = "2001-07-25 00:00:00"
-STRATEGIES = ["hash of the user", "range of the month", "hash of the photo id"]
+STRATEGIES = ["user_hash", "month_range", "id_hash"]
 
 
 def assign_nodes(spark, sf):
@@ -39,15 +39,15 @@ def node_counts(spark, sf):
         F.struct(F.lit(STRATEGIES[1]).alias("strategy"), F.col("n_month").alias("node")),
         F.struct(F.lit(STRATEGIES[2]).alias("strategy"), F.col("n_id").alias("node")))).alias("s"), last.alias("lw"))
     long = long.select("s.strategy", "s.node", "lw")
-    whats = long.select(F.explode(F.when(F.col("lw"), F.array(F.lit("all photos"), F.lit("uploads of the last week")))
-                                  .otherwise(F.array(F.lit("all photos")))).alias("what"), "strategy", "node")
+    whats = long.select(F.explode(F.when(F.col("lw"), F.array(F.lit("everything"), F.lit("recent")))
+                                  .otherwise(F.array(F.lit("everything")))).alias("what"), "strategy", "node")
     counts = whats.groupBy("strategy", "what", "node").agg(F.count(F.lit(1)).alias("photos"))
     # the (strategy, what, node) grid has 3 x 2 x NODES rows: empty nodes appear with 0
     grid = (spark.range(NODES).select(F.col("id").cast("int").alias("node"))
             .crossJoin(spark.createDataFrame([(s,) for s in STRATEGIES], "strategy string"))
-            .crossJoin(spark.createDataFrame([("all photos",), ("uploads of the last week",)], "what string")))
+            .crossJoin(spark.createDataFrame([("everything",), ("recent",)], "what string")))
     return (grid.join(counts, ["strategy", "what", "node"], "left")
-            .select("strategy", "what", F.concat(F.lit("node "), (F.col("node") + 1).cast("string")).alias("node"),
+            .select("strategy", "what", F.concat(F.lit("n"), (F.col("node") + 1).cast("string")).alias("node"),
                     F.coalesce("photos", F.lit(0).cast("bigint")).alias("photos")))
 
 
@@ -61,12 +61,12 @@ a AS (SELECT o_orderkey, o_custkey, o_orderdate, strftime(o_orderdate, '%Y-%m')
 long AS (SELECT '{STRATEGIES[0]}' AS strategy, n_user AS node, o_orderdate FROM a
          UNION ALL SELECT '{STRATEGIES[1]}', n_month, o_orderdate FROM a
          UNION ALL SELECT '{STRATEGIES[2]}', n_id, o_orderdate FROM a),
-whats AS (SELECT strategy, node, 'all photos' AS what FROM long
-          UNION ALL SELECT strategy, node, 'uploads of the last week' FROM long WHERE o_orderdate >= TIMESTAMP '{LAST_WEEK}'),
+whats AS (SELECT strategy, node, 'everything' AS what FROM long
+          UNION ALL SELECT strategy, node, 'recent' FROM long WHERE o_orderdate >= TIMESTAMP '{LAST_WEEK}'),
 grid AS (SELECT CAST(n AS INTEGER) AS node, s AS strategy, w AS what FROM range({NODES}) t(n),
          (VALUES ('{STRATEGIES[0]}'), ('{STRATEGIES[1]}'), ('{STRATEGIES[2]}')) s(s),
-         (VALUES ('all photos'), ('uploads of the last week')) w(w)),
-counts AS (SELECT g.strategy, g.what, 'node ' || CAST(g.node + 1 AS VARCHAR) AS node,
+         (VALUES ('everything'), ('recent')) w(w)),
+counts AS (SELECT g.strategy, g.what, 'n' || CAST(g.node + 1 AS VARCHAR) AS node,
            (SELECT count(*) FROM whats x WHERE x.strategy = g.strategy AND x.what = g.what AND x.node = g.node) AS photos
            FROM grid g)"""
 
@@ -78,11 +78,11 @@ def h1(spark, sf):
 
 
 @register("A6_count_per_node_zero_fill", f"""
-WITH {NODES_SQL} SELECT node, photos FROM counts WHERE strategy = '{STRATEGIES[1]}' AND what = 'uploads of the last week'""")
+WITH {NODES_SQL} SELECT node, photos FROM counts WHERE strategy = '{STRATEGIES[1]}' AND what = 'recent'""")
 def a6(spark, sf):
     """Count per node with empty nodes shown as 0 (month ranges, last week: one hot node)."""
     c = node_counts(spark, sf)
-    return c.filter((F.col("strategy") == STRATEGIES[1]) & (F.col("what") == "uploads of the last week")).select(
+    return c.filter((F.col("strategy") == STRATEGIES[1]) & (F.col("what") == "recent")).select(
         "node", "photos")
 
 
@@ -112,18 +112,18 @@ Q_USER, Q_DAY, Q_PHOTO = 7, "1997-05-28", 42
 
 @register("A10_fan_out_per_query", f"""
 WITH {NODES_SQL},
-q AS (SELECT 'the photos of user {Q_USER}' AS query, * FROM a WHERE o_custkey = {Q_USER}
-      UNION ALL SELECT 'the photos uploaded on {Q_DAY}', * FROM a WHERE strftime(o_orderdate, '%Y-%m-%d') = '{Q_DAY}'
-      UNION ALL SELECT 'the photo {Q_PHOTO}', * FROM a WHERE o_orderkey = {Q_PHOTO})
+q AS (SELECT 'user {Q_USER}' AS query, * FROM a WHERE o_custkey = {Q_USER}
+      UNION ALL SELECT 'day {Q_DAY}', * FROM a WHERE strftime(o_orderdate, '%Y-%m-%d') = '{Q_DAY}'
+      UNION ALL SELECT 'photo {Q_PHOTO}', * FROM a WHERE o_orderkey = {Q_PHOTO})
 SELECT query, count(DISTINCT n_user) AS by_user, count(DISTINCT n_month) AS by_month, count(DISTINCT n_id) AS by_id
 FROM q GROUP BY query""")
 def a10(spark, sf):
     """Fan-out: number of distinct nodes each query must ask, per strategy."""
     a = assign_nodes(spark, sf)
     q = F.explode(F.array(
-        F.when(F.col("o_custkey") == Q_USER, F.lit(f"the photos of user {Q_USER}")),
-        F.when(F.date_format("o_orderdate", "yyyy-MM-dd") == Q_DAY, F.lit(f"the photos uploaded on {Q_DAY}")),
-        F.when(F.col("o_orderkey") == Q_PHOTO, F.lit(f"the photo {Q_PHOTO}"))))
+        F.when(F.col("o_custkey") == Q_USER, F.lit(f"user {Q_USER}")),
+        F.when(F.date_format("o_orderdate", "yyyy-MM-dd") == Q_DAY, F.lit(f"day {Q_DAY}")),
+        F.when(F.col("o_orderkey") == Q_PHOTO, F.lit(f"photo {Q_PHOTO}"))))
     x = a.select(q.alias("query"), "n_user", "n_month", "n_id").filter(F.col("query").isNotNull())
     return x.groupBy("query").agg(F.countDistinct("n_user").alias("by_user"),
                                   F.countDistinct("n_month").alias("by_month"),
