@@ -16,6 +16,7 @@ from quarry.session import scratch_path
 from quarry.sources.derived import redelivered
 from quarry.sources.tables import Tables
 from quarry.streaming.jobs import current_version, publish
+from quarry.streaming.topic import run_available
 
 CUT, LAKE_CUT, FINAL = "2024-01-20 13:30:00", "2024-01-20 12:45:00", "2100-01-01 00:00:00"
 START = "2024-01-01 00:00:00"
@@ -60,9 +61,18 @@ def a3(spark, sf):
 
 @register("X6_speed_layer_buckets", f"WITH {sql_layers()} SELECT * FROM speed")
 def x6(spark, sf):
-    """Speed layer: +1 per view in the bucket (hour, path) for the events seen so far."""
-    req, _, _ = _layers(spark, sf)
-    return la.speed_buckets(req, CUT)
+    """Speed layer as a stream: each micro-batch adds its views per (hour, path) under its own number, so a repeated
+    batch replaces itself; a bucket is the sum of its increments, whatever the batches were."""
+    topic, out = scratch_path(spark, "topic-x6"), scratch_path(spark, "x6-buckets")
+    req = la.requests(Tables(spark, sf).events)
+    req.repartition(4, "offset").write.parquet(topic)
+
+    def add(batch, batch_id):
+        la.speed_buckets(batch, CUT).write.mode("overwrite").parquet(f"{out}/batch={batch_id:08d}")
+
+    stream = spark.readStream.schema(req.schema).option("maxFilesPerTrigger", 1).parquet(topic)
+    run_available(stream.writeStream.foreachBatch(add), scratch_path(spark, "x6-ck"))
+    return spark.read.parquet(out).groupBy("hour", "path").agg(F.sum("views").alias("views"))
 
 
 @register("X6b_speed_latest_per_server", f"""

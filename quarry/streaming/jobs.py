@@ -16,6 +16,9 @@ from quarry.streaming.topic import to_messages
 
 EVENT_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
+# Event times in message values keep their microseconds.
+JSON_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def traceparent(offset: Column) -> Column:
     """W3C-style trace context of a message: ``00-<trace 32 hex>-<span 16 hex>-01``."""
@@ -26,14 +29,14 @@ def traceparent(offset: Column) -> Column:
 def events_messages(events: DataFrame, topic: str = "events") -> DataFrame:
     """Events as messages: key = user, value = JSON row, partition = h(user) % 6, offset = event id."""
     ex = events_x(events)
-    value = F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "value", "props"))
+    value = F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "value", "props"), JSON_TIMES)
     hdr = F.array(F.struct(F.lit("traceparent").alias("key"), traceparent(F.col("event_id")).alias("value")))
     return to_messages(ex, topic, F.col("user_id"), value, F.col("kpart"), F.col("event_id"), F.col("ts"), hdr)
 
 
 def parse_events(msgs: DataFrame) -> DataFrame:
     """Message value -> typed event columns (+ partition, offset, broker time, headers)."""
-    return msgs.select(F.from_json("value", EVENT_DDL).alias("e"), "partition", "offset", "timestamp", "headers") \
+    return msgs.select(F.from_json("value", EVENT_DDL, JSON_TIMES).alias("e"), "partition", "offset", "timestamp", "headers") \
         .select("e.*", "partition", "offset", "timestamp", "headers")
 
 

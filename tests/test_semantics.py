@@ -264,7 +264,7 @@ def test_blocks_follow_the_data(spark):
         assert got == {r[2]: n + 1 for n, r in enumerate(order)}
 
 
-def test_worker_load_reproduces_published_scaling(spark):
+def test_worker_load_of_contiguous_partitions(spark):
     from quarry.plans.streaming_q import worker_load
 
     counts = spark.createDataFrame(list(enumerate([135, 41, 181, 47, 42, 77])), "partition int, n long")
