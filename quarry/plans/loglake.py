@@ -166,6 +166,23 @@ def l11(spark, sf):
     return ll.templates(lk)
 
 
+@register("L11b_template_sizes", f"""
+WITH {LAKE} SELECT service, CAST(count(*) AS BIGINT) AS lines,
+       TRUE AS all_placed FROM lake GROUP BY service""")
+def l11b(spark, sf):
+    """The sizes of a service's templates add up to its lines, and every line fits a template of its service."""
+    lk = _lake(spark, sf).select("service", "line", "ts")
+    found = ll.templates(lk)
+    sizes = found.groupBy("service").agg(F.sum("size").alias("lines"))
+    # distinct masked lines against templates of the same service and length, position by position
+    masked = lk.select("service", F.split(ll.mask_digits(F.col("line")), " ").alias("m")).distinct()
+    t = found.select("service", F.split("template", " ").alias("t"))
+    fits = (masked.join(t, (masked.service == t.service) & (F.size("m") == F.size("t")), "left")
+            .select(masked.service, "m", F.coalesce(F.forall(F.arrays_zip("m", "t"), lambda x: (x["t"] == "<*>") | (x["t"] == x["m"])), F.lit(False)).alias("fit"))
+            .groupBy("service", "m").agg(F.bool_or("fit").alias("fit")).groupBy("service").agg(F.bool_and("fit").alias("all_placed")))
+    return sizes.join(fits, "service")
+
+
 @register("T3_topk_sum_by", f"""
 WITH {LAKE} SELECT host, count(*) AS lines FROM lake WHERE file = 'access' GROUP BY host ORDER BY lines DESC, host LIMIT 3""")
 def t3(spark, sf):
