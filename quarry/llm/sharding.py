@@ -44,7 +44,9 @@ def propagate(rows: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
     spark = rows.sparkSession
     n = rows.count()
     quota = -(-n // shards)
-    linked = rows.join(rows.filter("group is not null").groupBy("group").agg(F.count("*").alias("members")).filter("members > 1"), "group", "left")
+    # grouped tables are written before they are joined back, so that Spark can split the join at a hot group
+    members = frozen(rows.filter("group is not null").groupBy("group").agg(F.count("*").alias("members")).filter("members > 1"), "members")
+    linked = rows.join(members, "group", "left")
     start = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
     state = frozen(linked.select("row", F.when(F.col("members").isNotNull(), F.col("group")).alias("group"), start.alias("shard")), "start")
     alone, live = state.filter("group is null"), state.filter("group is not null")
@@ -56,8 +58,8 @@ def propagate(rows: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
         sizes = {r.shard: r.n for r in held.groupBy("shard").agg(F.sum("held").alias("n")).collect()}  # one row per shard
         room = [s for s in range(shards) if sizes.get(s, 0) < quota]
         # the fullest shard with room; ties by a hash of group and shard, so that groups spread
-        best = (held.filter(F.col("shard").isin(room)).groupBy("group")
-                .agg(F.max(F.struct("held", F.xxhash64("group", "shard").alias("tie"), "shard")).alias("best")))
+        best = frozen(held.filter(F.col("shard").isin(room)).groupBy("group")
+                      .agg(F.max(F.struct("held", F.xxhash64("group", "shard").alias("tie"), "shard")).alias("best")), "best")
         wish = (live.join(held, ["group", "shard"]).join(best, "group", "left")
                 .select("row", "group", "shard", F.col("best.shard").alias("to"), (F.col("best.held") - F.col("held")).alias("gain")))
         wish = wish.withColumn("class", F.when((F.col("to") != F.col("shard")) & (F.col("gain") >= 0), F.floor(F.log2(F.col("gain") + 1)).cast("int")))
@@ -82,7 +84,7 @@ def propagate(rows: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
         live = moved.select("row", "group", "shard")
         if moves < SETTLED * total:
             break
-    held = live.groupBy("group", "shard").agg(F.count("*").alias("held"))
+    held = frozen(live.groupBy("group", "shard").agg(F.count("*").alias("held")), "held")
     return frozen(live.join(held, ["group", "shard"]).select("row", "group", "shard", "held")
                   .unionByName(alone.withColumn("held", F.lit(0).cast("long"))), "propagated")
 

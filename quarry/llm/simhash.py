@@ -214,7 +214,7 @@ def links(fps: DataFrame, radius: int, parts: list[list[int]], thresholds: list[
 
     # the star of each bucket
     members = fps.select("fp", F.explode(keys).alias("k"))
-    hubs = members.groupBy("k").agg(F.min("fp").alias("hub"))
+    hubs = frozen(members.groupBy("k").agg(F.min("fp").alias("hub")), "hubs")  # written: a join at a hot key can be split
     star = members.join(hubs, "k").filter(F.col("fp") != F.col("hub")).filter(near("fp", "hub"))
     first = components(star.select(F.col("hub").alias("a"), F.col("fp").alias("b")))
 
@@ -233,7 +233,7 @@ def links(fps: DataFrame, radius: int, parts: list[list[int]], thresholds: list[
 
     valued = rooted.select("fp", "root", *[part_value(F.col("fp"), bits).alias(f"v{i}") for i, bits, _ in used])
     sent = valued.select("fp", "root", F.explode(F.concat(*[probes(*u) for u in used])).alias("k"))
-    buckets = held.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    buckets = frozen(held.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi")), "buckets")
     # a probe matters unless all members of its bucket are of its own component
     asked = sent.join(buckets, "k").filter((F.col("lo") != F.col("root")) | (F.col("hi") != F.col("root"))).select("k", F.col("fp").alias("fa"), F.col("root").alias("ra"))
     there = held.select("k", F.col("fp").alias("fb"), F.col("root").alias("rb"))
@@ -259,7 +259,7 @@ def near_components(docs: DataFrame, words: int, radius: int, id_col: str = "doc
     else:
         roots = links(fps.select("fp"), radius, parts, thresholds)
     labelled = frozen(fps.join(roots, F.col("fp") == F.col("node")).select("fp", "root", "least"), "labelled")
-    ids = labelled.groupBy("root").agg(F.min("least").alias("least"))
+    ids = frozen(labelled.groupBy("root").agg(F.min("least").alias("least")), "component-ids")
     by_fp = labelled.select("fp", "root").join(ids, "root").select("fp", F.col("least.id").alias("component_id"), F.col("least.row").alias("keep_row"))
     return rows.join(by_fp, "fp").withColumn("kept", F.col("row") == F.col("keep_row")).drop("keep_row", "row")
 
