@@ -9,8 +9,8 @@ by all 128 bits.  The first occurrence of a run is the one with the smallest
 
 A run that occurs in a third of all documents costs one row per task in the
 counts; joins back onto the occurrences are plain equi joins, which Spark
-splits when skewed.  The units removed from one document are one array, bounded
-by that document.
+splits when skewed.  The repeated runs of one document are one array, bounded by
+that document.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ NO_ID_LAST = (1 << 63) - 1
 RUN = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()),
                     T.StructField("pos", T.IntegerType()), T.StructField("len", T.IntegerType())])
 CUT = T.StructType([T.StructField("text", T.StringType()),
-                    T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))])
+                    T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))),
+                    T.StructField("n_removed", T.IntegerType())])
 
 
 class Runs(NamedTuple):
@@ -55,6 +56,7 @@ def _hasher(cutter: Cutter):
     @F.arrow_udf(T.ArrayType(RUN))
     def run_hashes(text: pa.Array) -> pa.Array:
         parts = [hashed(part) for part in slices(text)]
+        pa.default_memory_pool().release_unused()
         return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(hashed(text).type.value_type))
 
     def hashed(text: pa.Array) -> pa.ListArray:
@@ -73,18 +75,28 @@ def _hasher(cutter: Cutter):
     return run_hashes
 
 
+def uncovered(runs: list[dict]) -> set[int]:
+    """Units of runs (pos, len) without those from ``spare`` on, as many as the run has."""
+    gone: set[int] = set()
+    for r in runs:
+        own = range(r["pos"], r["pos"] + r["len"])
+        gone.update(own if r["spare"] is None else (u for u in own if not r["spare"] <= u < r["spare"] + r["len"]))
+    return gone
+
+
 def _remover(cutter: Cutter):
     @F.arrow_udf(CUT)
     def without(text: pa.Array, removed: pa.Array) -> pa.Array:
-        texts, spans = [], []
+        texts, spans, counts = [], [], []
         for t, gone in zip(text, removed, strict=True):
             t = t.as_py()
             gone = gone.as_py()
             if not gone or t is None:
                 texts.append(t)
                 spans.append([])
+                counts.append(0)
                 continue
-            at, gone = cutter.units(t), set(gone)
+            at, gone = cutter.units(t), uncovered(gone)
             merged: list[list[int]] = []
             for u in sorted(gone):
                 if merged and merged[-1][1] == at[u]:
@@ -93,13 +105,14 @@ def _remover(cutter: Cutter):
                     merged.append([at[u], at[u + 1]])
             texts.append("".join(t[at[u]:at[u + 1]] for u in range(len(at) - 1) if u not in gone))
             spans.append([{"start": a, "end": b} for a, b in merged])
-        return pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], ["text", "spans"])
+            counts.append(len(gone))
+        return pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(counts, pa.int32())], ["text", "spans", "n_removed"])
 
     return without
 
 
-def covered_units(runs: DataFrame, spare_first: bool) -> DataFrame:
-    """``(id, tk, removed)``: units covered by a non-first occurrence of a run, per document that has any.
+def repeated_runs(runs: DataFrame, spare_first: bool) -> DataFrame:
+    """``(id, tk, removed)``: the runs (pos, len, spare) of a document that occurred before, if it has any.
 
     ``runs`` has (id, tk, runs) with one row per document.  ``spare_first``: an
     occurrence that overlaps the first one in the same document doesn't cover
@@ -113,11 +126,9 @@ def covered_units(runs: DataFrame, spare_first: bool) -> DataFrame:
     groups = frozen(again.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last"))
                     .filter("first != last").select("h1", "h2", "first"), "runs-groups")
     later = again.join(groups, ["h1", "h2"]).filter(at != F.col("first"))
-    units = later.select("id", "tk", "first", "len", F.explode(F.sequence("pos", F.col("pos") + F.col("len") - 1)).alias("u"))
-    if spare_first:
-        own = (F.col("first.id") == F.col("id")) & (F.col("first.tk") == F.col("tk"))
-        units = units.filter(~(own & F.col("u").between(F.col("first.pos"), F.col("first.pos") + F.col("len") - 1)))
-    return units.groupBy("id", "tk").agg(F.collect_set("u").alias("removed"))
+    own = (F.col("first.id") == F.col("id")) & (F.col("first.tk") == F.col("tk")) if spare_first else F.lit(False)
+    run = F.struct("pos", "len", F.when(own, F.col("first.pos")).alias("spare"))
+    return later.groupBy("id", "tk").agg(F.collect_set(run).alias("removed"))
 
 
 def without_repeats(docs: DataFrame, cutter: Cutter, id_col: str, text_col: str, spare_first: bool) -> DataFrame:
@@ -125,9 +136,9 @@ def without_repeats(docs: DataFrame, cutter: Cutter, id_col: str, text_col: str,
     rows = payload(docs).select("payload", field(text_col).alias("t"), F.coalesce(field(id_col), F.lit(NO_ID_LAST)).alias("id"))
     rows = rows.withColumn("tk", text_key(F.col("t")))
     runs = frozen(rows.select("id", "tk", _hasher(cutter)("t").alias("runs")).filter(F.size("runs") > 0), "runs")
-    marked = rows.join(covered_units(runs, spare_first), ["id", "tk"], "left")
+    marked = rows.join(repeated_runs(runs, spare_first), ["id", "tk"], "left")
     return (marked.withColumn("cut", _remover(cutter)("t", "removed"))
-            .select("payload", field(id_col).alias("id"), "cut.text", "cut.spans", F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed")))
+            .select("payload", field(id_col).alias("id"), "cut.text", "cut.spans", F.coalesce("cut.n_removed", F.lit(0)).alias("n_removed")))
 
 
 def with_text(rows: DataFrame, columns: list[str], text_col: str, chars_col: str | None) -> DataFrame:

@@ -1,6 +1,5 @@
 import math
 import re
-from collections import defaultdict
 
 from quarry.llm import license_scan as L
 from quarry.llm.queries import QUERIES
