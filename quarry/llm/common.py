@@ -22,9 +22,9 @@ from quarry.sources.tables import table
 
 
 #: Rows of whole texts that Spark hands to a Python worker at a time, at most.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 #: Texts are worked on in slices of about so many bytes, whatever a batch holds.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

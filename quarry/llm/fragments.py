@@ -9,6 +9,7 @@ tokenizers library, and a bounded memory keeps the ids of known ones.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow as pa
 from quarry.llm.common import slices
 
 #: Fragments remembered by a worker; beyond that the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 _workers: dict = {}
 
@@ -38,7 +39,7 @@ class Fragments:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.word = word
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids as little-endian unsigned 32-bit integers
 
     @classmethod
     def of(cls, tokenizer_json: str, word: Callable[[str], str | None] = lambda fragment: None) -> Fragments:
@@ -48,7 +49,7 @@ class Fragments:
             _workers[key] = cls(tokenizer_json, word)
         return _workers[key]
 
-    def ids_of(self, texts: list[str]) -> list[list[int]]:
+    def ids_of(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new, model = [], self.tokenizer.model
@@ -57,10 +58,10 @@ class Fragments:
                 if (w := self.word(t)) is None:
                     new.append(t)
                 else:
-                    self.known[t] = [x.id for x in model.tokenize(w)]
+                    self.known[t] = array("I", [x.id for x in model.tokenize(w)]).tobytes()
         for at in range(0, len(new), 10_000):
             part = new[at:at + 10_000]
-            self.known.update(zip(part, (e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
+            self.known.update(zip(part, (array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
         return [self.known[t] for t in texts]
 
     def encode(self, text: pa.Array, cuts: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[list[np.ndarray]]:
@@ -79,12 +80,13 @@ class Fragments:
             at = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             words = pa.Array.from_buffers(pa.string(), len(size), [None, pa.py_buffer(at), pa.py_buffer(data[inside])]).dictionary_encode()
             known = self.ids_of(words.dictionary.to_pylist())
-            n = np.fromiter(map(len, known), np.int64, len(known))
-            table = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(np.fromiter((i for k in known for i in k), np.int32, int(n.sum()))))
-            ids = np.asarray(table.take(words.indices).flatten()).astype("<u4")
+            n = np.fromiter(map(len, known), np.int64, len(known)) // 4
+            table = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(np.frombuffer(b"".join(known), "<u4")))
+            ids = np.asarray(table.take(words.indices).flatten())
             per_word = n[np.asarray(words.indices)]
             upto = np.concatenate([[0], np.cumsum(per_word)])[np.searchsorted(starts, offsets)]
             yield [ids[a:b] for a, b in zip(upto, upto[1:])]
+            pa.default_memory_pool().release_unused()
 
 
 def utf8(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
