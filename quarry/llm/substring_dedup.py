@@ -1,8 +1,13 @@
 """Substring dedup: every run of consecutive sentences is hashed and matched globally.
 
 A sentence ends after . ! or ? (with closing quotes or brackets) before white
-space, or at a line end; one of more than 16 words is cut after every 16 words,
-so that a long passage without a full stop has several units too.  From each
+space, or at a line end; one of more than 16 words is cut where the words say so:
+of every 12 word boundaries in a row, the one whose two neighbouring words have
+the smallest hash (winnowing).  So its units have at most 12 words, and from the
+first 12 to the last 12 words of a passage the cuts are the same wherever the
+passage stands: one of 55 words without a full stop, spliced in at any place of
+a sentence, always has a run of its own (repeats inside 12 words may shift a
+cut).  From each
 unit starts the shortest run of at least two units with at least 20 words, and
 at each unit ends the shortest such run: short formulas that many clean texts
 share are no run, and no tail of a repeated passage is missed.  The key of a run
@@ -20,16 +25,36 @@ from __future__ import annotations
 import re
 from itertools import accumulate
 
+import xxhash
 from pyspark.sql import DataFrame
 
 from quarry.llm.runs import Cutter, Runs, with_text, without_repeats
 
 MIN_UNITS = 2
 MIN_WORDS = 20
+#: Sentences over so many words are cut, at one of every ``CUT_WORDS`` boundaries in a row at least.
 UNIT_WORDS = 16
+CUT_WORDS = 12
 
 _END = re.compile(r"""[.!?]["'”’)\]]*\s+|\n\s*""")
-_WORDS = re.compile(r"\s*(?:\S+\s+){%d}" % UNIT_WORDS)
+_WORD = re.compile(r"\S+")
+
+
+def word_cuts(words: list[str]) -> list[int]:
+    """Numbers of the words before which a long sentence is cut."""
+    h = [xxhash.xxh32_intdigest(w) for w in words]
+    keys = [(a * 0x9E3779B1 + b) & 0xFFFFFFFF for a, b in zip(h, h[1:])]  # the boundary before word i + 1
+    cuts, best = [], -1
+    for last in range(CUT_WORDS - 1, len(keys)):
+        if best <= last - CUT_WORDS:  # the last of the smallest; it stays while none is smaller
+            window = keys[last - CUT_WORDS + 1:last + 1]
+            best = last - window[::-1].index(min(window))
+        elif keys[last] < keys[best]:
+            best = last
+        else:
+            continue
+        cuts.append(best + 1)
+    return cuts
 
 
 def segments(text: str) -> tuple[list[int], list[int]]:
@@ -39,12 +64,14 @@ def segments(text: str) -> tuple[list[int], list[int]]:
     if not ends or ends[-1] < len(text):
         ends.append(len(text))
     for end in ends:
-        n = len(text[start:end].split())
-        while n > UNIT_WORDS:
-            start = _WORDS.match(text, start, end).end()
-            at.append(start)
-            words.append(UNIT_WORDS)
-            n -= UNIT_WORDS
+        here = text[start:end].split()
+        n = len(here)
+        if n > UNIT_WORDS:
+            starts = [m.start() for m in _WORD.finditer(text, start, end)]
+            cuts = word_cuts(here)
+            at += [starts[c] for c in cuts]
+            words += [b - a for a, b in zip([0, *cuts], cuts)]
+            n -= cuts[-1]
         at.append(end)
         words.append(n)
         start = end

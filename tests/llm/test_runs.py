@@ -94,3 +94,26 @@ def test_units_join_to_the_text(text):
     assert words == [len(text[a:b].split()) for a, b in zip(at, at[1:])]
     assert max(words, default=0) <= S.UNIT_WORDS
     S.sentence_runs(text)
+
+
+def test_a_passage_inside_sentences_is_found_at_every_offset(make_docs):
+    words = " ".join(f"p{k}" for k in range(55))  # no full stop
+    host = lambda i, n: " ".join(f"own{i}x{k}" for k in range(n))
+    docs = make_docs([(i, f"Start {i} here. {host(i, i)}, {words} {host(-i, 20 - i)}.") for i in range(1, 18)])
+    got = {r.id: r for r in S.substring_dedup(docs).collect()}
+    assert not got[1].spans
+    for i in range(2, 18):
+        (span,) = got[i].spans
+        cut = got[i].payload.text[span.start:span.end].split()
+        assert len(cut) >= S.MIN_WORDS and set(cut) <= set(words.split())
+        assert host(i, i) + "," in got[i].text and host(-i, 20 - i) in got[i].text
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(0, 10**6), st.lists(st.integers(0, 40), min_size=4, max_size=4))
+def test_a_passage_of_55_words_has_a_common_run(seed, sides):
+    rng = random.Random(seed)
+    new = lambda n: [f"w{rng.randint(0, 10**9)}" for _ in range(n)]
+    passage = new(55)
+    one, two = (set(S.sentence_runs(" ".join(new(a) + passage + new(b))).keys) for a, b in (sides[:2], sides[2:]))
+    assert one & two
