@@ -1,13 +1,15 @@
 """Line dedup: windows of three consecutive lines, hashed and matched globally.
 
-Lines end with a newline.  A window's key is its lines without surrounding
-white space; lines of white space only belong to no window and are never
-removed.  Every later occurrence of a window loses its lines: positions covered
-by any of them are merged and cut out, wherever they overlap.  The first
+Lines end with a newline.  A window is three lines that follow each other when
+lines of white space only are skipped, so paragraphs of one line with blank
+lines between them have windows too; its key is these lines without surrounding
+white space.  Every later occurrence of a window loses its lines: positions
+covered by any of them are merged and cut out, wherever they overlap, with the
+blank lines between covered lines; other blank lines stay.  The first
 occurrence (smallest id, then text key, then line) keeps its lines, also where
 a later one in the same document overlaps it.
 
-Defined results: null and empty texts and texts under three lines stay as they
+Defined results: null and empty texts and texts under three non-blank lines stay as they
 are (null stays null); rows that agree in id and text count as one document and
 get the same result; rows without id come after all others; an empty table
 gives an empty result.
@@ -31,9 +33,9 @@ def line_offsets(text: str) -> list[int]:
 
 def line_windows(text: str) -> Runs:
     at = line_offsets(text)
-    lines = [text[a:b].strip() for a, b in zip(at, at[1:])]
-    first = [i for i in range(len(lines) - LINES + 1) if all(lines[i:i + LINES])]
-    return Runs(["\n".join(lines[i:i + LINES]) for i in first], first, [LINES] * len(first))
+    lines = [(i, line) for i, (a, b) in enumerate(zip(at, at[1:])) if (line := text[a:b].strip())]
+    windows = [lines[k:k + LINES] for k in range(len(lines) - LINES + 1)]
+    return Runs(["\n".join(line for _, line in w) for w in windows], [w[0][0] for w in windows], [w[-1][0] - w[0][0] + 1 for w in windows])
 
 
 CUTTER = Cutter(line_offsets, line_windows)

@@ -76,11 +76,11 @@ def _hasher(cutter: Cutter):
 
 
 def uncovered(runs: list[dict]) -> set[int]:
-    """Units of runs (pos, len) without those from ``spare`` on, as many as the run has."""
+    """Units of runs (pos, len) without the ``spare_len`` ones from ``spare`` on."""
     gone: set[int] = set()
     for r in runs:
         own = range(r["pos"], r["pos"] + r["len"])
-        gone.update(own if r["spare"] is None else (u for u in own if not r["spare"] <= u < r["spare"] + r["len"]))
+        gone.update(own if r["spare"] is None else (u for u in own if not r["spare"] <= u < r["spare"] + r["spare_len"]))
     return gone
 
 
@@ -97,6 +97,10 @@ def _remover(cutter: Cutter):
                 counts.append(0)
                 continue
             at, gone = cutter.units(t), uncovered(gone)
+            covered = sorted(gone)
+            for a, b in zip(covered, covered[1:]):  # white space only between covered units
+                if b > a + 1 and not t[at[a + 1]:at[b]].strip():
+                    gone.update(range(a + 1, b))
             merged: list[list[int]] = []
             for u in sorted(gone):
                 if merged and merged[-1][1] == at[u]:
@@ -112,7 +116,7 @@ def _remover(cutter: Cutter):
 
 
 def repeated_runs(runs: DataFrame, spare_first: bool) -> DataFrame:
-    """``(id, tk, removed)``: the runs (pos, len, spare) of a document that occurred before, if it has any.
+    """``(id, tk, removed)``: the runs (pos, len, spare, spare_len) of a document that occurred before, if it has any.
 
     ``runs`` has (id, tk, runs) with one row per document.  ``spare_first``: an
     occurrence that overlaps the first one in the same document doesn't cover
@@ -122,12 +126,12 @@ def repeated_runs(runs: DataFrame, spare_first: bool) -> DataFrame:
     # written, so that the joins below deal both sides anew and Spark can split a hot key
     seen = frozen(each.groupBy("h1").count().filter("count > 1").select("h1"), "runs-seen")
     again = frozen(each.join(seen, "h1"), "runs-again")
-    at = F.struct("id", "tk", "pos")
+    at = F.struct("id", "tk", "pos", "len")
     groups = frozen(again.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last"))
                     .filter("first != last").select("h1", "h2", "first"), "runs-groups")
     later = again.join(groups, ["h1", "h2"]).filter(at != F.col("first"))
     own = (F.col("first.id") == F.col("id")) & (F.col("first.tk") == F.col("tk")) if spare_first else F.lit(False)
-    run = F.struct("pos", "len", F.when(own, F.col("first.pos")).alias("spare"))
+    run = F.struct("pos", "len", F.when(own, F.col("first.pos")).alias("spare"), F.when(own, F.col("first.len")).alias("spare_len"))
     return later.groupBy("id", "tk").agg(F.collect_set(run).alias("removed"))
 
 

@@ -117,3 +117,13 @@ def test_a_passage_of_55_words_has_a_common_run(seed, sides):
     passage = new(55)
     one, two = (set(S.sentence_runs(" ".join(new(a) + passage + new(b))).keys) for a, b in (sides[:2], sides[2:]))
     assert one & two
+
+
+def test_one_line_paragraphs_with_blank_lines_between(make_docs):
+    docs = make_docs([(1, "one\n\ntwo\n\nthree\n\nfour\n"), (2, "own\n\none\n\n\n \ntwo\n\nthree\n\nfour\n\nend"), (3, "one\n\ntwo\n\nmine\n"),
+                      (4, "u\n\nv\n\nw\n\nu\nv\nw\n\n\nz\n"), (5, "same\n\n" * 5), (6, "own 6\n\none\n\ntwo\n\nthree\n\nu\nv\nw\n\nlast")])
+    got = {r.id: r for r in L.line_dedup(docs).collect()}
+    assert {i: r.text for i, r in got.items()} == {
+        1: "one\n\ntwo\n\nthree\n\nfour\n", 2: "own\n\n\nend", 3: "one\n\ntwo\n\nmine\n",
+        4: "u\n\nv\n\nw\n\n\n\nz\n", 5: "same\n\n" * 3, 6: "own 6\n\n\nlast"}
+    assert got[2].n_removed == 9 and len(got[6].spans) == 1
