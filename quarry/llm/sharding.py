@@ -3,21 +3,25 @@
 Links join documents of the same group (for the registered query: equal texts);
 a group stands for the clique of its members, so pairs are never made.  Every
 document starts in a shard drawn by a hash.  In each round the members of a group
-are counted per shard; a document wants the shard, among those with room, that
-holds most of its group, if that is more than its own shard holds.  Requests are
+are counted per shard and its shards ordered, the one that holds most of it
+first; its targets are as many from the front as its members need, each with
+what it holds and has room for.  A document outside of them, or in the last of
+them, wants one with room further in front, drawn in proportion to the room and
+no more of it than documents ask, so that the front is filled first.  Requests are
 summed per (shard, strength of the gain) in the driver (shards times 64
 numbers); a shard admits the strongest ones up to its quota, where the last
 class that fits only in part is admitted by a hash of the document.  Rounds end
-when fewer than one in a thousand linked documents moves.
+when fewer than one in a thousand linked documents moves, and after as many
+rounds as there are shards at the latest (eight for fewer shards).
 
 Then counts are made exact: every shard has a quota of n/k rows, rounded up for
 the first n mod k; documents are numbered inside their shard, linked ones of
 large local groups first, and those beyond the quota (unlinked ones, as far as
 there are any) are numbered together and dealt to the shards with room.
 
-A group larger than a shard fills one shard and gathers its rest in others; no
-step holds a group in one place: counts are combined before the shuffle, and
-numbering is done in blocks.
+A group larger than a shard asks for all the shards that it needs at once; no
+step holds a group in one place: counts are combined before the shuffle, the
+windows are over the at most k counts of a group, and numbering is done in blocks.
 
 Defined results: a null text has size 16 and counts as an empty one; rows
 without id and repeated rows are placed like any other; fewer rows than shards
@@ -26,17 +30,18 @@ leave shards empty; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import frozen, numbered
 
+#: Rounds at most, where there are fewer shards.
 ROUNDS = 8
 #: Moves below this share of the linked documents end the rounds.
 SETTLED = 0.001
 
 
-def propagate(rows: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
+def propagate(rows: DataFrame, shards: int, rounds: int | None = None) -> DataFrame:
     """``(row, group, shard, held)``: a shard for every row, and how many of its group its shard holds.
 
     ``rows`` (row, group) is frozen; a null group means no links.
@@ -51,28 +56,39 @@ def propagate(rows: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
     state = frozen(linked.select("row", F.when(F.col("members").isNotNull(), F.col("group")).alias("group"), start.alias("shard")), "start")
     alone, live = state.filter("group is null"), state.filter("group is not null")
     total = live.count()
-    for turn in range(rounds):
+    for turn in range(rounds or max(ROUNDS, shards)):
         if not total:
             break
         held = frozen(live.groupBy("group", "shard").agg(F.count("*").alias("held")), "held")
         sizes = {r.shard: r.n for r in held.groupBy("shard").agg(F.sum("held").alias("n")).collect()}  # one row per shard
         room = [s for s in range(shards) if sizes.get(s, 0) < quota]
-        # the fullest shard with room; ties by a hash of group and shard, so that groups spread
-        best = frozen(held.filter(F.col("shard").isin(room)).groupBy("group")
-                      .agg(F.max(F.struct("held", F.xxhash64("group", "shard").alias("tie"), "shard")).alias("best")), "best")
-        wish = (live.join(held, ["group", "shard"]).join(best, "group", "left")
-                .select("row", "group", "shard", F.col("best.shard").alias("to"), (F.col("best.held") - F.col("held")).alias("gain")))
-        wish = wish.withColumn("class", F.when((F.col("to") != F.col("shard")) & (F.col("gain") >= 0), F.floor(F.log2(F.col("gain") + 1)).cast("int")))
-        # a tie moves only towards the smaller hash, or two halves would swap for ever
-        wish = frozen(wish.withColumn("class", F.when((F.col("gain") > 0) | (F.xxhash64("group", "to") > F.xxhash64("group", "shard")), F.col("class"))), "wish")
+        # a group's shards, the fullest first; ties by a hash of group and shard, so that groups spread and two halves don't swap for ever
+        left = F.broadcast(spark.createDataFrame([(s, max(0, quota - sizes.get(s, 0))) for s in range(shards)], "shard int, left long"))
+        group = Window.partitionBy("group")
+        order = group.orderBy(F.desc("held"), F.desc(F.xxhash64("group", "shard")), "shard").rowsBetween(Window.unboundedPreceding, -1)
+        before = lambda c: F.coalesce(F.sum(c).over(order), F.lit(0))
+        ranked = frozen(held.join(left, "shard").select("group", "shard", "held", "left", before(F.col("held") + F.col("left")).alias("place"), before("left").alias("lo"), F.sum("held").over(group).alias("members"))
+                        .withColumn("target", F.col("place") < F.col("members")).withColumn("last", F.col("target") & (F.col("place") + F.col("held") + F.col("left") >= F.col("members"))), "ranked")
+        door = F.struct("lo", "left", "shard", "held")  # one per shard and group at most
+        open_ = F.col("target") & (F.col("left") > 0)
+        aims = frozen(ranked.groupBy("group").agg(F.collect_list(F.when(open_, door)).alias("doors"), F.sum(F.when(open_, F.col("left"))).alias("room"),
+                                                  F.sum(F.when(F.col("target"), F.lit(0)).otherwise(F.col("held"))).alias("outside")).filter("room > 0"), "aims")
+        wish = live.join(ranked.select("group", "shard", "held", "target", "last", "lo"), ["group", "shard"]).join(aims, "group", "left")
+        # front shards are filled first: by the documents outside, then by those in the last target
+        drawn = lambda n: F.pmod(F.xxhash64("row", F.lit("door"), F.lit(turn)), F.greatest(n, F.lit(1)))
+        ahead = F.col("outside") + drawn(F.col("held"))
+        wish = wish.withColumn("pick", F.when(~F.col("target"), drawn(F.least("room", "outside"))).when(F.col("last") & (ahead < F.col("lo")), ahead))
+        wish = wish.withColumn("to", F.get(F.filter("doors", lambda d: (d["lo"] <= F.col("pick")) & (F.col("pick") < d["lo"] + d["left"])), F.lit(0)))
+        wish = wish.select("row", "group", "shard", F.col("to.shard").alias("to"), F.floor(F.log2(F.col("to.held") - F.col("held") + 1)).cast("int").alias("class"))
+        wish = frozen(wish, "wish")
         asked = {(r.to, r["class"]): r.n for r in wish.filter("class is not null").groupBy("to", "class").agg(F.count("*").alias("n")).collect()}
         admit = []  # (shard, class, share)
         for s in room:
-            left = quota - sizes.get(s, 0)
+            free = quota - sizes.get(s, 0)
             for c in sorted((c for t, c in asked if t == s), reverse=True):
-                admit.append((s, c, min(1.0, left / asked[s, c])))
-                left -= min(left, asked[s, c])
-                if not left:
+                admit.append((s, c, min(1.0, free / asked[s, c])))
+                free -= min(free, asked[s, c])
+                if not free:
                     break
         if not admit:
             break

@@ -39,3 +39,15 @@ def test_links_stay_together_unless_the_quota_forbids(spark):
     inside = sum(n * (n - 1) / 2 for c in where.values() for n in c.values())
     assert cut.cut == cut.edges - inside
     assert cut.cut < 0.75 * cut.edges  # a hash alone cuts nine tenths
+
+
+def test_a_third_of_the_rows_fills_its_shards_of_40(spark):
+    groups = ["hot"] * 2000 + [f"g{i // 4}" for i in range(800)] + [None] * 3200  # 6000 rows, 40 shards of 150
+    out, rows = run(spark, groups, 40)
+    where = defaultdict(Counter)
+    for r in rows:
+        where[groups[r.row]][r.shard] += 1
+    assert sum(c for c in sorted(where["hot"].values(), reverse=True)[:15]) >= 1900
+    small = [c for g, c in where.items() if g and g.startswith("g")]
+    assert sum(len(c) == 1 for c in small) >= 0.8 * len(small)
+    assert max(Counter(r.shard for r in rows).values()) == 150
