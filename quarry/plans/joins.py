@@ -175,6 +175,12 @@ def j13(spark, sf):
     return both.join(both.groupBy("node").agg(F.count(F.lit(1)).alias("degree")), "node")
 
 
+def incident_windows(ex, n: int):
+    """Fixture's incidents: the ``n`` hours with most errors, ``[start, start + 1 h]``; earlier hour first on ties."""
+    hours = ex.filter(F.col("event_type") == "error").groupBy(floor_hours("ts", 1).alias("start")).agg(F.count(F.lit(1)).alias("errors"))
+    return hours.orderBy(F.desc("errors"), "start").limit(n).select("start", (F.col("start") + F.expr("INTERVAL 1 HOUR")).alias("end"))
+
+
 @register("J15_events_in_incident_windows", f"""
 WITH {EX},
 h AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, count(*) AS errors FROM ex WHERE event_type = 'error' GROUP BY 1),
