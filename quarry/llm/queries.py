@@ -11,6 +11,7 @@ from quarry.llm import exact_dedup as _exact
 from quarry.llm import license_scan as _license
 from quarry.llm import line_dedup as _lines
 from quarry.llm import packing as _packing
+from quarry.llm import pieces as _pieces
 from quarry.llm import quality as _quality
 from quarry.llm import sharding as _sharding
 from quarry.llm import simhash as _simhash
@@ -145,6 +146,17 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op11_sentencepiece_round_trip")
+def op11_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by SentencePiece BPE and decoded again; digests of ids and text."""
+    rows = _pieces.decode(_pieces.encode(documents(spark, sf_dir), PIECE_BPE), PIECE_BPE)
+    return rows.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 HELD_OUT = "crc32(cast(id as string)) % 5 = 0"
 
 
