@@ -10,6 +10,7 @@ from quarry.llm import bpe as _bpe
 from quarry.llm import exact_dedup as _exact
 from quarry.llm import license_scan as _license
 from quarry.llm import line_dedup as _lines
+from quarry.llm import merkle as _merkle
 from quarry.llm import packing as _packing
 from quarry.llm import pieces as _pieces
 from quarry.llm import quality as _quality
@@ -168,6 +169,66 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), F.expr(HELD_OUT).alias("held_out"), "score", "predicted")
 
 
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+TAMPERED = "coalesce(crc32(cast(doc_id as string)) % 7 = 0, false)"
+
+
+def _merkle_sql() -> str:
+    """Trees level by level; each leaf's proof and folded root step by step up the levels."""
+    h = lambda x: f"sha256({x})"
+    cell = lambda c, x: f"coalesce(strlen({x}::VARCHAR)::VARCHAR || ':' || {x}::VARCHAR, '-')"
+    leaf = lambda n: h(" || ".join(cell(c, n if c == "n_chars" else c) for c in LEAF))
+    # DuckDB has no crc32: bitwise over the id's digits, with polynomial 0xEDB88320
+    bits = "list_reduce(range(9), lambda c, k: CASE WHEN k = 0 THEN c WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, {}::BIGINT)"
+    return f"""
+    WITH RECURSIVE
+    d AS (SELECT doc_id, lang, {leaf("n_chars")} AS leaf, {leaf("(n_chars + 1)")} AS other FROM documents),
+    crc(doc_id, rest, c) AS (
+      SELECT doc_id, doc_id::VARCHAR, 4294967295::BIGINT FROM d WHERE doc_id IS NOT NULL
+      UNION ALL SELECT doc_id, rest[2:], {bits.format("xor(c, ascii(rest[1])::BIGINT)")} FROM crc WHERE rest <> ''),
+    hit AS (SELECT DISTINCT doc_id FROM crc WHERE rest = '' AND xor(c, 4294967295) % 7 = 0),
+    l AS (SELECT doc_id, lang, leaf, CASE WHEN doc_id IN (SELECT doc_id FROM hit) THEN other ELSE leaf END AS claim,
+                 row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+    n(level, lang, pos, x, nodes) AS (
+      SELECT 0, lang, pos, leaf, count(*) OVER (PARTITION BY lang) FROM l
+      UNION ALL
+      SELECT any_value(level) + 1, lang, pos // 2, sha256(string_agg(x, '' ORDER BY pos)), (any_value(nodes) + 1) // 2 FROM n WHERE nodes > 1 GROUP BY lang, pos // 2),
+    s AS (SELECT lang, x AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS nodes FROM n WHERE nodes = 1),
+    u(level, pos, x, nodes) AS (
+      SELECT 0, pos, subroot, nodes FROM s
+      UNION ALL
+      SELECT any_value(level) + 1, pos // 2, sha256(string_agg(x, '' ORDER BY pos)), (any_value(nodes) + 1) // 2 FROM u WHERE nodes > 1 GROUP BY pos // 2),
+    walk(doc_id, lang, first, level, pos, proof, x) AS (
+      SELECT doc_id, lang, pos, 0, pos, '', claim FROM l
+      UNION ALL
+      SELECT w.doc_id, w.lang, w.first, w.level + 1, w.pos // 2, w.proof || coalesce(b.x, ''),
+             sha256(CASE WHEN w.pos % 2 = 1 THEN b.x || w.x ELSE w.x || coalesce(b.x, '') END)
+      FROM walk w JOIN n a ON a.lang IS NOT DISTINCT FROM w.lang AND a.level = w.level AND a.pos = w.pos AND a.nodes > 1
+      LEFT JOIN n b ON b.lang IS NOT DISTINCT FROM w.lang AND b.level = w.level AND b.pos = xor(w.pos, 1)),
+    inner_end AS (SELECT arg_max(w, w.level) AS w FROM walk w GROUP BY w.lang, w.first),
+    climb(doc_id, lang, first, level, pos, proof, x) AS (
+      SELECT w.doc_id, w.lang, w.first, 0, s.pos, w.proof, w.x FROM inner_end JOIN s ON s.lang IS NOT DISTINCT FROM w.lang
+      UNION ALL
+      SELECT c.doc_id, c.lang, c.first, c.level + 1, c.pos // 2, c.proof || coalesce(b.x, ''),
+             sha256(CASE WHEN c.pos % 2 = 1 THEN b.x || c.x ELSE c.x || coalesce(b.x, '') END)
+      FROM climb c JOIN u a ON a.level = c.level AND a.pos = c.pos AND a.nodes > 1 LEFT JOIN u b ON b.level = c.level AND b.pos = xor(c.pos, 1)),
+    ended AS (SELECT arg_max(c, c.level) AS c FROM climb c GROUP BY c.lang, c.first),
+    top AS (SELECT x AS root FROM u WHERE nodes = 1)
+    SELECT c.doc_id, l.leaf, s.subroot, root, sha256(c.proof) AS proof_sha256, c.x AS folded_root, c.x = root AS verified
+    FROM ended JOIN l ON l.lang IS NOT DISTINCT FROM c.lang AND l.pos = c.first JOIN s ON s.lang IS NOT DISTINCT FROM c.lang, top"""
+
+
+@query("op13_merkle_manifest", oracle=_merkle_sql())
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents, a tree per language; every document's proof, and the root that its (here and there tampered) row makes."""
+    tampered = F.when(F.expr(TAMPERED), F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    rows = _merkle.document_rows(documents(spark, sf_dir), LEAF, claims={"claim": {"n_chars": tampered}})
+    out = _merkle.proofs(_merkle.manifest(rows), "claim")
+    digest = lambda c, name=None: F.lower(F.hex(c)).alias(name or c)
+    return out.select(F.col("id").alias("doc_id"), digest("leaf"), digest("subroot"), digest("root"), digest("proof", "proof_sha256"),
+                      digest("folded", "folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
 @query("op4_exact_top_k", oracle="""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
