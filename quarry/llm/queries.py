@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import bpe as _bpe
+from quarry.llm import divergence as _divergence
 from quarry.llm import exact_dedup as _exact
 from quarry.llm import license_scan as _license
 from quarry.llm import line_dedup as _lines
@@ -169,6 +170,29 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), F.expr(HELD_OUT).alias("held_out"), "score", "predicted")
 
 
+@query("op12_source_divergence", oracle=f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_ASCII_LOWER} AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM w GROUP BY 1, 2 HAVING count(DISTINCT r) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY 1),
+g AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY 1, 2),
+lt AS (SELECT lang, sum(n)::HUGEINT AS total FROM c GROUP BY 1),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + v.v) AS p
+      FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n)::HUGEINT + 1)) // (any_value(lt.total) + any_value(v.v)) AS q FROM c JOIN lt USING (lang) JOIN v USING (lang) GROUP BY 1, 2),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 200
+""")
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source's divergence from the other sources of its language, and its 200 terms most above the language."""
+    return _divergence.audit(documents(spark, sf_dir), 3, 200)
+
+
 LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
 TAMPERED = "coalesce(crc32(cast(doc_id as string)) % 7 = 0, false)"
 
