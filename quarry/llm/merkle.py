@@ -122,7 +122,7 @@ def proof_digest(path: bytes) -> bytes:
 
 
 class Manifest(NamedTuple):
-    """``leaves``: (row, id, group, pos, digest, claims); ``levels``: blocks (group, block, size, height, top, nodes),
+    """``leaves``: (row, id, group, pos, total, digest, claims); ``levels``: blocks (group, block, size, total, height, top, nodes),
     those of the leaves first; ``tree``: the same over the groups' roots; ``names``: (group, pos) of that tree's leaves."""
 
     leaves: DataFrame
@@ -133,16 +133,17 @@ class Manifest(NamedTuple):
 
 
 def ranked(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``rows`` (group, ...) with ``pos``: their places from 0 in ``order`` within their group; nulls first.  ``rows`` must be frozen."""
+    """``rows`` (group, ...) with ``pos``, their places from 0 in ``order`` within their group (nulls first), and ``total``, the group's rows.  ``rows`` must be frozen."""
     sliced = frozen(rows.repartitionByRange("group", *order).withColumn("slice", F.spark_partition_id()), "merkle-slices")
     upto = Window.partitionBy("group").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = sliced.groupBy("group", "slice").count().select("group", "slice", F.coalesce(F.sum("count").over(upto), F.lit(0)).alias("before"))
+    before = sliced.groupBy("group", "slice").count().select("group", "slice", F.coalesce(F.sum("count").over(upto), F.lit(0)).alias("before"),
+                                                             F.sum("count").over(Window.partitionBy("group")).alias("total"))
     inside = Window.partitionBy("group", "slice").orderBy(*order)
     placed = sliced.withColumn("nth", F.row_number().over(inside) - 1).join(before, ["group", "slice"])
     return placed.withColumn("pos", F.col("nth") + F.col("before")).drop("nth", "before", "slice")
 
 
-_BLOCKS = "group string, block long, size long, height int, top boolean, nodes binary"
+_BLOCKS = "group string, block long, size long, total long, height int, top boolean, nodes binary"
 
 
 def _build(height: int):
@@ -153,21 +154,19 @@ def _build(height: int):
         levels = (total - 1).bit_length() if top else height
         leaves = np.frombuffer(b"".join(table["digest"].to_pylist()), np.uint8).reshape(-1, 32)
         block = Block.built(leaves, levels)
-        return pa.table({"group": table["group"][:1], "block": pa.array([table["pos"][0].as_py() >> height], pa.int64()), "size": pa.array([len(leaves)], pa.int64()),
+        return pa.table({"group": table["group"][:1], "block": pa.array([table["pos"][0].as_py() >> height], pa.int64()), "size": pa.array([len(leaves)], pa.int64()), "total": pa.array([total], pa.int64()),
                          "height": pa.array([levels], pa.int32()), "top": pa.array([top]), "nodes": pa.array([block.nodes.tobytes()], pa.binary())})
 
     return build
 
 
 def forest(leaves: DataFrame, height: int) -> list[DataFrame]:
-    """Levels of blocks over ``leaves`` (group, pos, digest), until every group has one block."""
+    """Levels of blocks over ``leaves`` (group, pos, digest, total), until every group has one block."""
     levels: list[DataFrame] = []
     while not levels or not levels[-1].filter("not top").isEmpty():
-        totals = leaves.groupBy(F.col("group").alias("of")).agg(F.count("*").alias("total"))
-        rows = leaves.select("group", "pos", "digest").join(totals, F.col("group") == F.col("of")).drop("of")
-        made = rows.groupBy("group", F.floor(F.col("pos") / (1 << height)).alias("number")).applyInArrow(_build(height), _BLOCKS)
+        made = leaves.select("group", "pos", "digest", "total").groupBy("group", F.floor(F.col("pos") / (1 << height)).alias("number")).applyInArrow(_build(height), _BLOCKS)
         levels.append(frozen(made, "merkle-blocks"))
-        leaves = levels[-1].filter("not top").select("group", F.col("block").alias("pos"), F.substring("nodes", 1, 32).alias("digest"))
+        leaves = levels[-1].filter("not top").select("group", F.col("block").alias("pos"), F.substring("nodes", 1, 32).alias("digest"), F.ceil(F.col("total") / (1 << height)).alias("total"))
     return levels
 
 
