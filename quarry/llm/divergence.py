@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import field, frozen, payload
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 SCALE = 1_000_000_000
 #: Sources per block, and terms whose differences are worked on at a time.
 WIDTH, TERMS = 32, 512
