@@ -17,7 +17,7 @@ import pyarrow as pa
 
 from quarry.llm.common import slices
 
-#: Fragments remembered by a worker; beyond that the memory starts anew.
+#: Fragments a worker remembers as used lately, and as many from before; those not used again are forgotten.
 REMEMBERED = 200_000
 
 _workers: dict = {}
@@ -40,6 +40,7 @@ class Fragments:
         self.tokenizer.no_padding()
         self.word = word
         self.known: dict[str, bytes] = {}  # ids as little-endian unsigned 32-bit integers
+        self.before: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, tokenizer_json: str, word: Callable[[str], str | None] = lambda fragment: None) -> Fragments:
@@ -51,14 +52,16 @@ class Fragments:
 
     def ids_of(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new, model = [], self.tokenizer.model
+            self.before, self.known = self.known, {}
+        new, known, before, word, tokenize = [], self.known, self.before, self.word, self.tokenizer.model.tokenize
         for t in texts:
-            if t not in self.known:
-                if (w := self.word(t)) is None:
+            if t not in known:
+                if t in before:
+                    known[t] = before[t]
+                elif (w := word(t)) is None:
                     new.append(t)
                 else:
-                    self.known[t] = array("I", [x.id for x in model.tokenize(w)]).tobytes()
+                    known[t] = array("I", [x.id for x in tokenize(w)]).tobytes()
         for at in range(0, len(new), 10_000):
             part = new[at:at + 10_000]
             self.known.update(zip(part, (array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
@@ -79,7 +82,7 @@ class Fragments:
             inside = np.cumsum(edge[:-1], dtype=np.int8) > 0
             at = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             words = pa.Array.from_buffers(pa.string(), len(size), [None, pa.py_buffer(at), pa.py_buffer(data[inside])]).dictionary_encode()
-            known = self.ids_of(words.dictionary.to_pylist())
+            known = self.ids_of(words.dictionary.to_numpy(zero_copy_only=False).tolist())
             n = np.fromiter(map(len, known), np.int64, len(known)) // 4
             table = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(np.frombuffer(b"".join(known), "<u4")))
             ids = np.asarray(table.take(words.indices).flatten())
