@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from math import isqrt
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.session import scratch_path
+from quarry.session import delete_path, scratch_path
 from quarry.sources.tables import table
 
 
@@ -39,7 +40,18 @@ def frozen(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    _frozen_at[back] = path
+    return back
+
+
+_frozen_at: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of frozen tables that nothing unwritten depends on any more."""
+    for df in tables:
+        delete_path(df.sparkSession, _frozen_at.pop(df))
 
 
 def payload(df: DataFrame) -> DataFrame:

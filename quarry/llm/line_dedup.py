@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from quarry.llm.runs import Cutter, Runs, with_text, without_repeats
+from quarry.llm.runs import Cutter, Runs, hasher_of, remover_of, with_text, without_repeats
 
 LINES = 3
 
@@ -43,7 +43,7 @@ CUTTER = Cutter(line_offsets, line_windows)
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row: payload, id, text without repeated lines, spans cut out (characters), n_removed (lines)."""
-    return without_repeats(docs, CUTTER, id_col, text_col, spare_first=True)
+    return without_repeats(docs, hasher_of(CUTTER), remover_of(CUTTER), id_col, text_col, spare_first=True)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:

@@ -1,8 +1,8 @@
 """Repeated runs of consecutive text units (lines or sentences), found globally.
 
-Used by the line and the substring dedup.  A *cutter* splits a text into units
-that join back to it, and names its runs.  Runs
-are hashed to 128 bits; a first pass counts 64 bits of them (combined before
+Used by the line and the substring dedup, which say how runs are hashed (to 128
+bits) and cut out; for lines a *cutter* splits a text into units that join back
+to it, and names its runs.  A first pass counts 64 bits of them (combined before
 the shuffle), only runs whose 64 bits occur twice go on, and those are grouped
 by all 128 bits.  The first occurrence of a run is the one with the smallest
 (id, 64 bits of the text, first unit); rows without id come last.
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import field, frozen, payload, slices, text_key
+from quarry.llm.common import discard, field, frozen, payload, slices, text_key
 
 NO_ID_LAST = (1 << 63) - 1
 
@@ -52,7 +52,7 @@ class Cutter(NamedTuple):
     runs: Callable[[str], Runs]
 
 
-def _hasher(cutter: Cutter):
+def hasher_of(cutter: Cutter):
     @F.arrow_udf(T.ArrayType(RUN))
     def run_hashes(text: pa.Array) -> pa.Array:
         parts = [hashed(part) for part in slices(text)]
@@ -84,7 +84,7 @@ def uncovered(runs: list[dict]) -> set[int]:
     return gone
 
 
-def _remover(cutter: Cutter):
+def remover_of(cutter: Cutter):
     @F.arrow_udf(CUT)
     def without(text: pa.Array, removed: pa.Array) -> pa.Array:
         texts, spans, counts = [], [], []
@@ -132,16 +132,22 @@ def repeated_runs(runs: DataFrame, spare_first: bool) -> DataFrame:
     later = again.join(groups, ["h1", "h2"]).filter(at != F.col("first"))
     own = (F.col("first.id") == F.col("id")) & (F.col("first.tk") == F.col("tk")) if spare_first else F.lit(False)
     run = F.struct("pos", "len", F.when(own, F.col("first.pos")).alias("spare"), F.when(own, F.col("first.len")).alias("spare_len"))
-    return later.groupBy("id", "tk").agg(F.collect_set(run).alias("removed"))
+    removed = frozen(later.groupBy("id", "tk").agg(F.collect_set(run).alias("removed")), "runs-removed")
+    discard(seen, again, groups)
+    return removed
 
 
-def without_repeats(docs: DataFrame, cutter: Cutter, id_col: str, text_col: str, spare_first: bool) -> DataFrame:
-    """``(payload, id, text, spans, n_removed)`` of every row: the text without the covered units."""
+def without_repeats(docs: DataFrame, hasher, remover, id_col: str, text_col: str, spare_first: bool) -> DataFrame:
+    """``(payload, id, text, spans, n_removed)`` of every row: the text without what repeated runs cover.
+
+    ``hasher(text)``: an array of ``RUN``; ``remover(text, runs)``: a ``CUT``.
+    """
     rows = payload(docs).select("payload", field(text_col).alias("t"), F.coalesce(field(id_col), F.lit(NO_ID_LAST)).alias("id"))
     rows = rows.withColumn("tk", text_key(F.col("t")))
-    runs = frozen(rows.select("id", "tk", _hasher(cutter)("t").alias("runs")).filter(F.size("runs") > 0), "runs")
-    marked = rows.join(repeated_runs(runs, spare_first), ["id", "tk"], "left")
-    return (marked.withColumn("cut", _remover(cutter)("t", "removed"))
+    runs = frozen(rows.select("id", "tk", hasher("t").alias("runs")).filter(F.size("runs") > 0), "runs")
+    removed = repeated_runs(runs, spare_first)
+    discard(runs)
+    return (rows.join(removed, ["id", "tk"], "left").withColumn("cut", remover("t", "removed"))
             .select("payload", field(id_col).alias("id"), "cut.text", "cut.spans", F.coalesce("cut.n_removed", F.lit(0)).alias("n_removed")))
 
 

@@ -12,7 +12,7 @@ import corpus_pipeline
 from quarry.llm.common import text_key
 from quarry.llm import quality as Q
 from quarry.llm import substring_dedup as S
-from tests.llm.test_runs import brute
+from tests.llm.test_runs import brute, char_cut, plain_runs
 from tests.llm.test_simhash import fingerprint, roots
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -76,7 +76,7 @@ def test_stages(spark, folder):
 
     keyed = [tuple(r) for r in out.select("doc_id", text_key(out.text), "text").collect()]
     out, got = step("substring_dedup", out)
-    assert got == dict(brute(keyed, *S.CUTTER, False))
+    assert got == dict(brute(keyed, plain_runs(S.MIN_WORDS), char_cut, False))
     assert sum(len(t or "") for t in got.values()) < sum(len(t or "") for t in kept.values())
 
     plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
