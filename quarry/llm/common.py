@@ -70,13 +70,13 @@ def field(name: str):
     return F.col("payload")[name]
 
 
-def slices(text: pa.Array) -> Iterator[pa.Array]:
+def slices(text: pa.Array, slice_bytes: int = SLICE_BYTES) -> Iterator[pa.Array]:
     if not len(text):
         return
     size = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
     upto, start = np.cumsum(size), 0
     while start < len(text):
-        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + SLICE_BYTES, side="right")))
+        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + slice_bytes, side="right")))
         yield text.slice(start, end - start)
         start = end
 

@@ -47,6 +47,8 @@ MIN_WORDS = 20
 #: Sentences over so many words are cut, at one of every ``CUT_WORDS`` boundaries in a row at least.
 UNIT_WORDS = 16
 CUT_WORDS = 12
+#: Bytes of text worked on at a time; the arrays beside it take some hundred bytes for each.
+SLICE_BYTES = 1 << 18
 
 #: Characters that are words: Thai and Lao, Burmese, Khmer, kana, ideographs.
 UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)]
@@ -186,7 +188,7 @@ def hasher(min_words: int):
     @F.arrow_udf(T.ArrayType(RUN))
     def run_hashes(text: pa.Array) -> pa.Array:
         parts, ends = [[] for _ in range(4)], [np.zeros(1, np.int64)]
-        for part in slices(text):
+        for part in slices(text, SLICE_BYTES):
             u = segmented([t or "" for t in part.to_numpy(zero_copy_only=False).tolist()])
             first, behind = runs_of(u, min_words)
             keys = [spans_hash(u.words, base, u.word[first], u.word[behind]).view(np.int64) for base in _BASES[1:]]
