@@ -1,13 +1,17 @@
 """License scans: exact set-similarity join of text blocks with license templates, in DataFrame operations only.
 
 Words are runs of digits, letters and all characters beyond ASCII, with A-Z
-lower-cased.  Base places are found by phrase.  Beside them, every block (a
-paragraph: lines up to a blank one) is compared with every template as a set of
-words: it matches if it holds at least ``threshold`` of the template's words.
+lower-cased.  Base places are found by phrase.  Beside them, blocks of text are
+compared with templates as sets of words.  A template of n words is compared
+with blocks of 2n words or a little more (a power of two), each beginning half a
+block after the last: so words far apart never meet in a block, and a notice
+that stands in a text as it stands in the template lies whole in one of them.
+A block matches if it holds at least ``threshold`` of the template's words, and
+all its *names*, the words without which it would be another licence.
 
 The join is exact and filtered: only template words matter to the overlap, so a
-block keeps those of its words that occur in some template, ordered by their
-frequency over all blocks, rarest first.  With o = ceil(threshold * |T|):
+block keeps those of its words that occur in a template of its size, ordered by
+their frequency over all texts, rarest first.  With o = ceil(threshold * |T|):
 
 * length: a block of fewer than o such words can't match T;
 * prefix: a match shares a word among the first |T| - o + 1 of T and the first
@@ -17,8 +21,9 @@ frequency over all blocks, rarest first.  With o = ceil(threshold * |T|):
 * the survivors are verified on their whole sets.
 
 Templates are a parameter; their words are the only thing that is broadcast, and
-as many counts reach the driver.  A document's blocks stay within its row up to
-the join; a word that is in every block is joined only where it is in a prefix.
+as many counts reach the driver.  Texts with enough words of some template are dealt out in chunks of ``CHUNK``
+words (and what the last block needs beyond), so no row grows with a text; a
+word that is in every block is joined only where it is in a prefix.
 
 Defined results: a null text counts as empty (no words, no places, score 0);
 repeated rows and rows without id are scanned like any other; an empty table
@@ -39,25 +44,24 @@ from quarry.llm.common import field, frozen, payload
 #: Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Opening sentences of well-known licences and usual notices, by label.
+#: Opening sentences of well-known licences and usual notices: label, names, text.  Notices as short as
+#: a licence's own name are phrases (above), not templates: four of five words would be those of any other licence.
 TEMPLATES = [
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
-            "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
-    ("apache", "licensed under the apache license version 2 0"),
-    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0"),
-    ("gpl", "licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("cc", "licensed under cc by nc 4 0"),
-    ("cc", "this work is licensed under a creative commons attribution international license"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mit", "", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+                "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("apache", "apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0"),
+    ("gpl", "gnu general public", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
+    ("bsd", "", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("cc", "licensed cc by nc 4 0", "licensed under cc by nc 4 0"),
+    ("cc", "creative commons", "this work is licensed under a creative commons attribution international license"),
+    ("mpl", "mozilla", "this source code form is subject to the terms of the mozilla public license v 2 0"),
 ]
 THRESHOLD = 0.8
+#: Words of a text in one row.
+CHUNK = 1024
 
 _NOT_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_BLANK_LINE = "\\n[ \\t\\r\\x0b\\x0c]*\\n"
 
 
 def words_of(text):
@@ -81,55 +85,86 @@ def phrase_places(words, phrases: list[str]):
     return F.when(F.size(words) > 0, F.concat(*[_places(words, n, p) for n, p in enumerate(phrases)]))
 
 
+def span_of(template: str) -> int:
+    """Words in the blocks that a template is compared with."""
+    return 1 << (2 * len(template.split()) - 1).bit_length()
+
+
 def scan(docs: DataFrame, templates=None, threshold: float = THRESHOLD, phrases=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_words, places (start, phrase), base (labels), found (labels of matched templates), score."""
     spark = docs.sparkSession
     templates = templates or TEMPLATES
     phrases = phrases or PHRASES
-    sets = [sorted(set(t.split())) for _, t in templates]
+    sets = [sorted(set(t.split())) for _, _, t in templates]
     need = [max(1, math.ceil(threshold * len(s) - 1e-9)) for s in sets]
-    vocabulary = F.array(*[F.lit(w) for w in sorted({w for s in sets for w in s})])
+    span = [span_of(t) for _, _, t in templates]
+    vocabulary = sorted({w for s in sets for w in s})
 
     text = F.coalesce(field(text_col), F.lit(""))
-    rows = payload(docs).select(field(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), text.alias("t"))
-    # words are split once per block; the blocks' words in order are the document's, a blank line being no word
-    rows = rows.select("id", "row", F.transform(F.split("t", _BLANK_LINE), words_of).alias("blocks"))
-    rows = rows.select("id", "row", F.flatten("blocks").alias("words"), F.transform("blocks", lambda b: F.array_intersect(b, vocabulary)).alias("sets"))
+    rows = payload(docs).select(field(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), words_of(text).alias("words"))
     keys = list(phrases)
     some = F.lit(False)
     for p in keys:
         some = some | F.array_contains("words", p.split()[0])
+    known = F.array(*[F.lit(w) for w in vocabulary])
+    rows = rows.withColumn("present", F.array_intersect("words", known))
+    # a text with too few words of every template has no block with enough; the others go on with their words
+    alike = F.lit(False)
+    for s, n in zip(sets, need):
+        alike = alike | (F.size(F.array_intersect("present", F.array(*[F.lit(w) for w in s]))) >= n)
     scanned = frozen(rows.select(
-        "id", "row", F.size("words").cast("long").alias("n_words"),
+        "id", "row", F.size("words").cast("long").alias("n_words"), "present",
         F.coalesce(F.when(some, phrase_places(F.col("words"), keys)), F.array().cast("array<struct<start:int,phrase:int>>")).alias("places"),
-        F.filter("sets", lambda s: F.size(s) >= min(need)).alias("sets"),
+        F.when(alike, F.col("words")).alias("words"),
     ), "license-scan")
 
-    blocks = scanned.select("row", F.posexplode("sets").alias("block", "has"))
-    counts = {r.w: r.n for r in blocks.select(F.explode("has").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}  # the templates' words
-    rank = {w: k for k, w in enumerate(sorted({w for s in sets for w in s}, key=lambda w: (counts.get(w, 0), w)))}
-    ranks = F.create_map(*[F.lit(x) for w, k in rank.items() for x in (w, k)])
-    ordered = blocks.select("row", "block", F.array_sort(F.transform("has", lambda w: ranks[w])).alias("has"))
+    counts = {r.w: r.n for r in scanned.select(F.explode("present").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}  # the templates' words
+    order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
+    rank = {w: k for k, w in enumerate(order)}
+    ranked = F.array(*[F.lit(w) for w in order])
+    chunk = lambda c: F.slice("words", c * CHUNK + 1, CHUNK + max(span))
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size("words") - 1) / CHUNK).cast("int")), chunk)
+    dealt = scanned.filter("words is not null").select("row", F.posexplode(chunks).alias("chunk", "words"))
+    # the template words of a chunk with their places, by rank
+    hits = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("at"), (F.array_position(ranked, w) - 1).cast("int").alias("w"))), lambda h: h["w"] >= 0)
+    dealt = dealt.select("row", "chunk", hits.alias("hits"))
+
+    blocks = []
+    for size in sorted(set(span)):
+        own = [(sorted(rank[w] for w in s), n) for s, n, z in zip(sets, need, span) if z == size]
+        words = sorted({w for s, _ in own for w in s})
+        prefix = sorted({w for s, n in own for w in s[:len(s) - n + 1]})
+        least, half = min(n for _, n in own), size // 2
+        few = dealt.select("row", "chunk", F.filter("hits", lambda h: h["w"].isin(words)).alias("mine"))
+        # blocks with a word of some template's prefix; two hold each place
+        at = F.transform(F.filter("mine", lambda h: h["w"].isin(prefix)), lambda h: F.floor(h["at"] / half).cast("int"))
+        near = F.filter(F.array_distinct(F.concat(at, F.transform(at, lambda b: b - 1))), lambda b: (b >= 0) & (b < CHUNK // half))
+        few = few.select("row", "chunk", "mine", F.explode(near).alias("b"))
+        held = F.filter("mine", lambda h: (h["at"] >= F.col("b") * half) & (h["at"] < F.col("b") * half + size))
+        few = few.select("row", (F.col("chunk") * (CHUNK // half) + F.col("b")).alias("block"), F.array_sort(F.array_distinct(F.transform(held, lambda h: h["w"]))).alias("has"))
+        blocks.append(few.filter(F.size("has") >= least).select("row", F.lit(size).alias("span"), "block", "has", F.posexplode(F.slice("has", F.lit(1), F.size("has") - least + 1)).alias("j", "w")))
+    probes = blocks[0]
+    for more in blocks[1:]:
+        probes = probes.union(more)
 
-    short = min(need)
-    prefix = F.posexplode(F.slice("has", F.lit(1), F.size("has") - short + 1))
-    probes = ordered.select("row", "block", "has", prefix.alias("j", "w"))
     table = []
-    for number, s in enumerate(sets):
+    for t, s in enumerate(sets):
         own = sorted(rank[w] for w in s)
-        table += [(number, i, w, need[number], own) for i, w in enumerate(own[:len(own) - need[number] + 1])]
-    index = F.broadcast(spark.createDataFrame(table, "template int, i int, w int, need int, own array<int>"))
+        names = [rank[w] for w in templates[t][1].split()]
+        table += [(t, span[t], i, w, need[t], own, names) for i, w in enumerate(own[:len(own) - need[t] + 1])]
+    index = F.broadcast(spark.createDataFrame(table, "template int, span int, i int, w int, need int, own array<int>, names array<int>"))
     size_t, size_b = F.size("own"), F.size("has")
     fits = (size_b >= F.col("need")) & (F.col("j") <= size_b - F.col("need")) & (1 + F.least(size_t - 1 - F.col("i"), size_b - 1 - F.col("j")) >= F.col("need"))
     # the first common word only: earlier ones of both prefixes must differ
     first = ~F.arrays_overlap(F.slice("has", F.lit(1), F.col("j")), F.slice("own", F.lit(1), F.col("i")))
     common = F.size(F.array_intersect("has", "own"))
-    matches = (probes.join(index, "w").filter(fits & first).select("row", "template", common.alias("common"), "need", size_t.alias("size"))
+    named = F.size(F.array_except("names", "has")) == 0
+    matches = (probes.join(index, ["span", "w"]).filter(fits & first).filter(named).select("row", "template", common.alias("common"), "need", size_t.alias("size"))
                .filter(F.col("common") >= F.col("need")))
-    labels = F.array(*[F.lit(label) for label, _ in templates])
+    labels = F.array(*[F.lit(label) for label, _, _ in templates])
     per_row = matches.groupBy("row").agg(F.collect_set(labels[F.col("template")]).alias("found"), F.max(F.col("common") / F.col("size")).alias("best"))
     base_labels = F.array(*[F.lit(phrases[p]) for p in keys])
     base = F.array_sort(F.array_distinct(F.transform("places", lambda p: base_labels[p["phrase"]])))
-    joined = scanned.drop("sets").join(per_row, "row", "left")
+    joined = scanned.drop("present", "words").join(per_row, "row", "left")
     return joined.select("id", "n_words", "places", base.alias("base"), F.coalesce("found", F.array().cast("array<string>")).alias("found"),
                          F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"))

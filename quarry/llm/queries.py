@@ -105,7 +105,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _license_sql() -> str:
     """Brute force: phrases by position, and every block against every template without filters."""
     phrases = " UNION ALL ".join(f"SELECT {p.split()!r} AS ws, '{label}' AS label" for p, label in _license.PHRASES.items())
-    templates = ", ".join(f"({n}, '{label}', {sorted(set(t.split()))!r})" for n, (label, t) in enumerate(_license.TEMPLATES))
+    templates = ", ".join(f"('{label}', {names.split()!r}::VARCHAR[], {sorted(set(t.split()))!r}, {_license.span_of(t)})" for label, names, t in _license.TEMPLATES)
     split = "list_filter(regexp_split_to_array({}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
     return f"""
     WITH d AS (SELECT doc_id, {_ASCII_LOWER} AS t FROM documents),
@@ -114,10 +114,11 @@ def _license_sql() -> str:
     places AS (SELECT doc_id, label, i FROM (SELECT w.doc_id, p.label, p.ws AS ps, w.ws, unnest(range(len(w.ws))) AS i
                FROM w, p WHERE list_contains(w.ws, p.ws[1])) WHERE ws[i + 1:i + len(ps)] = ps),
     base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list_distinct(list(label)) AS ls FROM places GROUP BY 1),
-    b AS (SELECT doc_id, {split.format("block")} AS bw FROM (SELECT doc_id, unnest(regexp_split_to_array(t, '\n[ \t\r\x0b\x0c]*\n')) AS block FROM d)),
-    tm(n, label, ts) AS (VALUES {templates}),
-    m AS (SELECT doc_id, label, len(list_intersect(bw, ts)) / len(ts) AS share FROM b, tm
-          WHERE len(list_intersect(bw, ts)) >= ceil({_license.THRESHOLD} * len(ts) - 1e-9)),
+    tm(label, names, ts, span) AS (VALUES {templates}),
+    b AS (SELECT doc_id, span, ws[i * (span // 2) + 1:i * (span // 2) + span] AS bw FROM (
+          SELECT doc_id, ws, span, unnest(range(ceil(len(ws) / (span // 2))::BIGINT)) AS i FROM w, (SELECT DISTINCT span FROM tm))),
+    m AS (SELECT doc_id, label, len(list_intersect(bw, ts)) / len(ts) AS share FROM b JOIN tm USING (span)
+          WHERE len(list_intersect(bw, ts)) >= ceil({_license.THRESHOLD} * len(ts) - 1e-9) AND list_has_all(bw, names)),
     found AS (SELECT doc_id, list_distinct(list(label)) AS ls, max(share) AS best FROM m GROUP BY 1)
     SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
            coalesce(array_to_string(list_sort(base.ls), ','), '') AS base_labels,
