@@ -5,7 +5,7 @@ a :class:`Monoid` turns an event into a transform (``step`` from the transform
 so far) and composes transforms associatively.  The fold then runs in two
 bounded stages:
 
-1. ``repartitionByRange(key, order)`` and a sort; one ``mapInPandas`` pass folds
+1. ``repartitionByRange(key, order)`` and a sort; one ``mapInArrow`` pass folds
    each task's slice of every key into one transform (a row per key and block);
 2. the transforms are hash-partitioned by key, sorted by block and composed in a
    second pass: at most one per block and key, so a hot key never meets in one
@@ -17,12 +17,14 @@ bounded stages:
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, islice
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 ROWS_OUT = 10_000
 
@@ -39,31 +41,28 @@ class Monoid(Protocol):
     def final(self, transform: dict) -> dict | None: ...
 
 
-def _records(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
-    for pdf in batches:
-        for row in pdf.astype(object).where(pdf.notna(), None).to_dict("records"):
-            yield row
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows as dicts with the values Spark has: integers stay integers beside nulls."""
+    for batch in batches:
+        yield from batch.to_pylist()
 
 
-def _frames(rows: Iterator[dict], columns: list[str]) -> Iterator[pd.DataFrame]:
-    out: list[dict] = []
-    for r in rows:
-        out.append(r)
-        if len(out) == ROWS_OUT:
-            yield pd.DataFrame(out, columns=columns)
-            out = []
-    if out:
-        yield pd.DataFrame(out, columns=columns)
+def _batches(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    rows = iter(rows)
+    while out := list(islice(rows, ROWS_OUT)):
+        yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
-def _names(ddl: str) -> list[str]:
-    return [c.split()[0] for c in ddl.split(", ")]
+def _arrow(ddl: str) -> pa.Schema:
+    return to_arrow_schema(T.StructType.fromDDL(ddl))
 
 
 def fold(events: DataFrame, key: str, order: list[str], monoid: Monoid, n_blocks: int | None = None) -> DataFrame:
     """``(key, state columns)`` of every key whose final state is not None; events in ``order`` per key."""
     n = n_blocks or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     kind = events.schema[key].dataType.simpleString()
+    parts_ddl, out_ddl = f"{key} {kind}, _blk int, {monoid.transform_ddl}", f"{key} {kind}, {monoid.state_ddl}"
+    parts_schema, out_schema = _arrow(parts_ddl), _arrow(out_ddl)
 
     def blocks(batches):
         def rows():
@@ -73,7 +72,7 @@ def fold(events: DataFrame, key: str, order: list[str], monoid: Monoid, n_blocks
                     t = monoid.step(t, event)
                 yield {key: k, "_blk": b, **t}
 
-        return _frames(rows(), [key, "_blk", *_names(monoid.transform_ddl)])
+        return _batches(rows(), parts_schema)
 
     def merge(batches):
         def rows():
@@ -85,29 +84,50 @@ def fold(events: DataFrame, key: str, order: list[str], monoid: Monoid, n_blocks
                 if state is not None:
                     yield {key: k, **state}
 
-        return _frames(rows(), [key, *_names(monoid.state_ddl)])
+        return _batches(rows(), out_schema)
 
     e = (events.repartitionByRange(n, key, *order).sortWithinPartitions(key, *order)
          .withColumn("_blk", F.spark_partition_id()))
-    parts = e.mapInPandas(blocks, f"{key} {kind}, _blk int, {monoid.transform_ddl}")
-    return (parts.repartition(n, key).sortWithinPartitions(key, "_blk")
-            .mapInPandas(merge, f"{key} {kind}, {monoid.state_ddl}"))
+    parts = e.mapInArrow(blocks, parts_ddl)
+    return parts.repartition(n, key).sortWithinPartitions(key, "_blk").mapInArrow(merge, out_ddl)
 
 
 def reduce_sorted(rows: DataFrame, keys: list[str], reducer, schema: str) -> DataFrame:
     """D2 hook: ``reducer(key values, iterator of row dicts)`` yields result dicts, one key after the other.
 
     Rows of a key come as a stream, so the reducer's memory need not grow with a
-    group; a fold that should also be split within a key is a :class:`Monoid`.
+    group.  A key's rows go through one task in order; a reducer that can combine is a
+    :class:`Monoid`, and ``fold`` splits its hot keys over blocks.
     """
+    out_schema = _arrow(schema)
+
     def run(batches):
         def out():
             for k, own in groupby(_records(batches), lambda r: tuple(r[c] for c in keys)):
                 yield from reducer(k, own)
 
-        return _frames(out(), _names(schema))
+        return _batches(out(), out_schema)
+
+    return rows.repartition(*keys).sortWithinPartitions(*rows.columns).mapInArrow(run, schema)
+
+
+class SumFold:
+    """Sums of long columns: a reducer that can combine."""
+
+    def __init__(self, columns: list[str]):
+        self.columns = columns
+        self.transform_ddl = self.state_ddl = ", ".join(f"{c} bigint" for c in columns)
+
+    def identity(self) -> dict:
+        return dict.fromkeys(self.columns, 0)
+
+    def step(self, transform: dict, event: dict) -> dict:
+        return {c: transform[c] + (event[c] or 0) for c in self.columns}
+
+    compose = step
 
-    return rows.repartition(*keys).sortWithinPartitions(*rows.columns).mapInPandas(run, schema)
+    def final(self, transform: dict) -> dict:
+        return transform
 
 
 class ReplayFold:

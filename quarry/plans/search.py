@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from quarry.functions.core import stable_hash
-from quarry.operators.fold import reduce_sorted
+from quarry.operators.fold import SumFold, fold
 from quarry.operators.model import detect, vocabulary
 from quarry.plans.registry import register
 from quarry.plans.sqlx import EX, h
@@ -85,7 +85,7 @@ SELECT path, count(*) AS views, count(DISTINCT 'u' || CAST(user_id AS VARCHAR))
        round(100.0 * count(*) FILTER (WHERE user_id % 3 <> 2) / count(*)) / 100.0 AS app_share
 FROM ex WHERE status IN (200, 304) GROUP BY path""")
 def d2(spark, sf):
-    """Reduce over groups sorted by (path, user): the user's reducer sees one group after the other as a stream."""
+    """Reduce over groups sorted by (path, user) with a reducer that can combine: a hot path is split over tasks."""
     lines = access_lines(Tables(spark, sf).events).select("line")
     f = F.split(F.trim("line"), r"\s+")
     v = lines.filter((F.size(f) > 8) & (f.getItem(5) == '"GET') & f.getItem(6).startswith("/st/")
@@ -94,13 +94,7 @@ def d2(spark, sf):
     rows = (v.select(f.getItem(6).alias("path"), f.getItem(2).alias("user"), F.col("line").contains("PhotosApp").cast("int").alias("app"))
             .groupBy("path", "user").agg(F.count(F.lit(1)).alias("views"), F.sum("app").alias("app")))
 
-    def features(key, group):
-        views = viewers = app = 0
-        for r in group:
-            views, viewers, app = views + r["views"], viewers + 1, app + r["app"]
-        yield {"path": key[0], "views": views, "viewers": viewers, "app": app}
-
-    out = reduce_sorted(rows, ["path"], features, "path string, views bigint, viewers bigint, app bigint")
+    out = fold(rows.withColumn("viewers", F.lit(1).cast("bigint")), "path", ["user"], SumFold(["views", "viewers", "app"]))
     return out.select("path", "views", "viewers", (F.round(F.lit(100.0) * F.col("app") / F.col("views"), 0) / 100.0).alias("app_share"))
 
 
