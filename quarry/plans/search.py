@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quarry.functions.core import stable_hash
 from quarry.operators.fold import SumFold, fold
 from quarry.operators.model import detect, vocabulary
+from quarry.operators.postings import PostingIndex
 from quarry.plans.registry import register
 from quarry.plans.sqlx import EX, h
 from quarry.session import scratch_path
@@ -21,14 +22,16 @@ from quarry.sources.tables import Tables
 WORD_RX = r"[^\p{L}]+"
 
 
-def keyword_index(documents, only=None):
-    """Inverted index rows ``(keyword, doc_id, owner)`` (owner = source); ``doc_id`` is the key of ``documents``,
-    so words made distinct within their row need no shuffle.  ``only`` keeps these keywords."""
+def keyword_rows(documents):
+    """Postings ``(keyword, owner, id)`` (owner = source); ``doc_id`` is the key of ``documents``,
+    so words made distinct within their row need no shuffle."""
     words = F.array_distinct(F.split(F.lower("text"), WORD_RX))
-    if only:
-        words = F.array_intersect(words, F.array(*[F.lit(w) for w in only]))
-    rows = documents.select("doc_id", F.col("source").alias("owner"), F.explode(words).alias("keyword"))
-    return rows.filter(F.col("keyword") != "").select("keyword", "doc_id", "owner")
+    rows = documents.select(F.explode(words).alias("keyword"), F.col("source").alias("owner"), F.col("doc_id").alias("id"))
+    return rows.filter(F.col("keyword") != "")
+
+
+def keyword_index(spark, sf, name):
+    return PostingIndex.build(keyword_rows(Tables(spark, sf).documents), scratch_path(spark, name))
 
 
 IDX_SQL = r"""idx AS (SELECT DISTINCT keyword, doc_id, source AS owner FROM (
@@ -39,14 +42,15 @@ IDX_SQL = r"""idx AS (SELECT DISTINCT keyword, doc_id, source AS owner FROM (
 @register("R1_inverted_index", f"""
 WITH {IDX_SQL} SELECT keyword, count(*) AS docs, count(DISTINCT owner) AS owners FROM idx GROUP BY keyword""")
 def r1(spark, sf):
-    """Inverted index keyword -> (doc, owner), stored partitioned by keyword bucket; docs per keyword."""
-    idx = keyword_index(Tables(spark, sf).documents)
-    path = scratch_path(spark, "r1")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))  # the index is as wide as the cluster's shuffles
-    (idx.withColumn("bucket", (stable_hash("keyword") % buckets).cast("int"))
-     .write.mode("overwrite").partitionBy("bucket").parquet(path))
-    back = spark.read.parquet(path)
-    return back.groupBy("keyword").agg(F.count(F.lit(1)).alias("docs"), F.countDistinct("owner").alias("owners"))
+    """Inverted index keyword -> (doc, owner), stored as posting lists; documents and owners per keyword from its directory."""
+    lists = keyword_index(spark, sf, "r1").directory()
+    return lists.groupBy("keyword").agg(F.sum("n").alias("docs"), F.countDistinct("owner").alias("owners"))
+
+
+@register("R1b_posting_lists", f"WITH {IDX_SQL} SELECT keyword, owner, doc_id FROM idx")
+def r1b(spark, sf):
+    """The postings (keyword, owner, document) as the stored index gives them back."""
+    return keyword_index(spark, sf, "r1b").postings().withColumnRenamed("id", "doc_id")
 
 
 @register("R2_search_one_user_keyword", f"""
@@ -54,11 +58,20 @@ WITH {IDX_SQL}, q AS (SELECT DISTINCT source AS owner, kw AS keyword FROM docume
 SELECT q.owner, q.keyword, idx.doc_id FROM q LEFT JOIN idx ON q.owner = idx.owner AND q.keyword = idx.keyword""")
 def r2(spark, sf):
     """Search: ids for one keyword of one owner, exact keyword match; an unknown keyword gives no ids (null row)."""
-    d = Tables(spark, sf).documents
-    idx = keyword_index(d, ["the", "zzzz"])
-    q = d.select(F.col("source").alias("owner")).distinct().crossJoin(
-        spark.createDataFrame([("the",), ("zzzz",)], "keyword string"))
-    return q.join(idx, ["owner", "keyword"], "left").select("owner", "keyword", "doc_id")
+    owners = Tables(spark, sf).documents.select(F.col("source").alias("owner")).distinct()
+    requests = owners.select("owner", F.explode(F.array(F.lit("the"), F.lit("zzzz"))).alias("keyword"))
+    return keyword_index(spark, sf, "r2").search(requests).select("owner", "keyword", F.col("id").alias("doc_id"))
+
+
+@register("R2b_search_table_of_requests", f"""
+WITH {IDX_SQL}, q AS (SELECT DISTINCT conv_id, lower(w) AS keyword, 'src' || conv_id % 23 AS owner
+  FROM (SELECT conv_id, unnest(string_split(text, ' ')) AS w FROM conversations WHERE role = 'user') WHERE w <> '')
+SELECT q.conv_id, q.keyword, q.owner, idx.doc_id FROM q LEFT JOIN idx ON q.owner = idx.owner AND q.keyword = idx.keyword""")
+def r2b(spark, sf):
+    """Search for a table of requests: the words users say in conversations, each for one owner; unknown words and owners give a null row."""
+    said = Tables(spark, sf).conversations.filter("role = 'user'").select("conv_id", F.explode(F.split("text", " ")).alias("w")).filter("w <> ''")
+    requests = said.select("conv_id", F.lower("w").alias("keyword"), F.concat(F.lit("src"), (F.col("conv_id") % 23).cast("string")).alias("owner")).distinct()
+    return keyword_index(spark, sf, "r2b").search(requests).select("conv_id", "keyword", "owner", F.col("id").alias("doc_id"))
 
 
 def _mapper(batches):
