@@ -8,7 +8,6 @@ batch DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -23,7 +22,8 @@ from quarry.session import scratch_path
 from quarry.sources.derived import arrival_key, events_x, redelivered
 from quarry.sources.tables import Tables
 from quarry.streaming import jobs
-from quarry.streaming.topic import append_in_order, read_topic, run_available, to_messages, write_topic
+from quarry.streaming.closing import WindowReporter
+from quarry.streaming.topic import append_in_order, read_topic, release, run_available, stage_chunks, to_messages, write_topic
 
 
 def _events_topic(spark, sf, name="events", events=None, ordered_chunks=None, order_col="offset"):
@@ -182,6 +182,47 @@ def x5(spark, sf):
     return late_flags(archive, "ts", ["arrival", "event_id"]).agg(F.count(F.lit(1)).alias("messages"), F.count_if("late").alias("late"))
 
 
+def reported_windows(spark, sf, name, chunks=6):
+    """The event topic in order of arrival (up to 8 h late), consumed a chunk at a time by the window reporter."""
+    msgs = jobs.events_messages(Tables(spark, sf).events)
+    staged, n = stage_chunks(msgs, chunks, arrival_key("offset", "timestamp"))
+    topic, ck = scratch_path(spark, f"topic-{name}"), scratch_path(spark, f"{name}-ck")
+    reporter = WindowReporter(spark, scratch_path(spark, f"{name}-out"))
+    batches = 0
+    for chunk in range(n):
+        if release(spark, staged, chunk, topic):
+            s = jobs.parse_events(read_topic(spark, topic)).select("ts", F.col("event_type").alias("obj"), arrival_key().alias("arrival"), "event_id")
+            run_available(s.writeStream.foreachBatch(reporter), ck)
+            batches += 1
+    return reporter, batches
+
+
+LATE_SQL = f"""a AS (SELECT event_id, event_type AS obj, epoch_us(ts) AS t, (epoch_us(ts) // 21600000000) * 21600000000 AS w, {ARRIVAL} AS arrival FROM events),
+r AS (SELECT *, max(t) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max,
+             row_number() OVER (PARTITION BY w ORDER BY arrival, event_id) AS rn FROM a),
+f AS (SELECT *, rn > 1 AND w + 28800000000 < prev_max AS late FROM r)"""
+
+
+@register("X4b_window_reports_at_closing", f"""
+WITH {LATE_SQL},
+c AS (SELECT w, obj, count(*) AS n FROM f WHERE NOT late GROUP BY 1, 2),
+k AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY n DESC, obj) AS place FROM c)
+SELECT make_timestamp(w) AS window_start, CAST(sum(n) AS BIGINT) AS total, string_agg(obj || ' ' || n, ', ' ORDER BY place) FILTER (WHERE place <= 3) AS top
+FROM k GROUP BY w HAVING w + 28800000000 < (SELECT max(t) FROM a)""")
+def x4b(spark, sf):
+    """Each 6 h window of an unordered topic is reported once, when an event over 2 h past its end arrives: total and top 3."""
+    return reported_windows(spark, sf, "x4b")[0].reports().select("window_start", "total", "top")
+
+
+@register("X5b_late_events_in_the_stream", f"""
+WITH {LATE_SQL}
+SELECT make_timestamp(w) AS window_start, count(*) FILTER (WHERE NOT late) AS counted, count(*) FILTER (WHERE late) AS late FROM f GROUP BY w""")
+def x5b(spark, sf):
+    """Counted and late events per window, kept by the stream itself; equal to W3 whatever the micro-batches are."""
+    reporter, batches = reported_windows(spark, sf, "x5b")
+    return reporter.state(batches - 1).groupBy("window_start").agg(F.sum("n").alias("counted"), F.sum("late").alias("late"))
+
+
 CRASH_MOD = 1000
 
 

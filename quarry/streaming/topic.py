@@ -58,6 +58,25 @@ def append_in_order(msgs: DataFrame, path: str, chunks: int, order: Column | str
     return width
 
 
+def stage_chunks(msgs: DataFrame, chunks: int, order: Column) -> tuple[str, int]:
+    """The messages in ``chunks`` folders of equal widths of the (integer) order, written in one pass; the staging
+    folder and the number of chunks that hold messages.  :func:`release` hands them to consumers one by one."""
+    lo, hi = (int(x) if x is not None else 0 for x in msgs.select(order.alias("at")).agg(F.min("at"), F.max("at")).first())
+    width = (hi - lo) // chunks + 1
+    path = scratch_path(msgs.sparkSession, "staged")
+    msgs.withColumn("chunk", F.floor((order - lo) / width).cast("int")).write.partitionBy("chunk").parquet(path)
+    return path, chunks
+
+
+def release(spark: SparkSession, staged: str, chunk: int, path: str) -> bool:
+    """Append a staged chunk to the topic by renaming its folder; false if it is empty."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    source = folder(f"{staged}/chunk={chunk}")
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(folder(path))
+    return fs.exists(source) and fs.rename(source, folder(f"{path}/chunk={chunk}"))
+
+
 def read_topic(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.schema(MESSAGE_DDL).option("recursiveFileLookup", True)
     if max_files_per_trigger:
