@@ -18,7 +18,7 @@ import pyarrow as pa
 from quarry.llm.common import slices
 
 #: Fragments a worker remembers as used lately, and as many from before; those not used again are forgotten.
-REMEMBERED = 100_000
+REMEMBERED = 160_000
 
 _workers: dict = {}
 

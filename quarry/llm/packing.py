@@ -66,6 +66,13 @@ for _a, _b in ((_LETTER, _DIGIT), (_LETTER, _SIGN), (_DIGIT, _SIGN)):
 _SPLIT[_DIGIT, _DIGIT] = True
 
 
+_KINDS = _CLASS.tobytes()
+#: Whether to cut between bytes of two classes, by 6 * first + second; and the same for white space alone.
+_WHITE = np.arange(6) == _SPACE
+_CUT, _CUT_WHITE = (np.resize(np.append(t.ravel(), np.zeros(220, bool)), 256).astype(np.uint8).tobytes() for t in (_SPLIT, _WHITE[:, None] ^ _WHITE[None, :]))
+_UPPER = np.isin(np.arange(256), np.arange(65, 91)).astype(np.uint8).tobytes()
+
+
 def word_cuts(special: list[bytes]):
     """Cuts for a lower-casing tokenizer that drops white space.
 
@@ -77,15 +84,14 @@ def word_cuts(special: list[bytes]):
     def cuts(data: np.ndarray, offsets: np.ndarray):
         raw = data.tobytes()
         plain = not any(s in raw for s in special)
-        kind = _CLASS[data]
+        kind = np.frombuffer(raw.translate(_KINDS), np.uint8)
         if plain:
-            data = data.copy()
-            nxt = np.append(data[1:], 0)
-            data[(data >= 65) & (data <= 90) & (nxt < 128)] += 32
+            upper = np.frombuffer(raw.translate(_UPPER), np.uint8)
+            before_wide = np.append(kind[1:] == _WIDE, False)
+            data = data + (upper & ~before_wide) * np.uint8(32)
         cut = np.zeros(len(data) + 1, bool)
         if len(data):
-            split = _SPLIT if plain else (np.arange(6) == _SPACE)[:, None] ^ (np.arange(6) == _SPACE)[None, :]
-            cut[1:-1] = split[kind[:-1], kind[1:]]
+            cut[1:-1] = np.frombuffer((kind[:-1] * np.uint8(6) + kind[1:]).tobytes().translate(_CUT if plain else _CUT_WHITE), bool)
         cut[offsets] = True
         at = np.flatnonzero(cut)
         held = kind[at[:-1]] != _SPACE
