@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.core import floor_hours
 from quarry.operators.documents import album_documents, photo_documents
+from quarry.operators.intervals import overlaps
 from quarry.plans.registry import register
 from quarry.plans.sqlx import EX, PHOTO_DOC, positioned_sql
 from quarry.sources.derived import events_x, friendships
@@ -196,6 +197,20 @@ def j15(spark, sf):
         F.count(F.lit(1)).alias("events"), F.count_if(F.col("event_type") == "error").alias("errors"))
 
 
+@register("J15b_events_in_many_windows", f"""
+WITH {EX}, w AS (SELECT event_id AS window_id, ts AS start, ts + INTERVAL 1 HOUR * (1 + user_id % 5) AS "end" FROM ex WHERE event_type = 'error')
+SELECT w.window_id, count(*) AS events, count(*) FILTER (WHERE event_type = 'error') AS errors
+FROM ex JOIN w ON ex.ts >= w.start AND ex.ts <= w."end" GROUP BY 1""")
+def j15b(spark, sf):
+    """Events inside many overlapping windows (one for each error, 1 to 5 h long), both sides large: an interval join by time buckets."""
+    ex = events_x(Tables(spark, sf).events)
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    hour = 3_600_000_000
+    points = ex.select("event_type", at.alias("l_start"), at.alias("l_end"))
+    windows = ex.filter(F.col("event_type") == "error").select(F.col("event_id").alias("window_id"), at.alias("r_start"), (at + hour * (1 + F.col("user_id") % 5)).alias("r_end"))
+    return overlaps(points, windows, 2 * hour).groupBy("window_id").agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("event_type") == "error").alias("errors"))
+
+
 @register("J16_bundled_lookup_calls", """
 WITH idx AS (SELECT DISTINCT lower(w) AS word, doc_id FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '[^[:alpha:]]+')) AS w FROM documents) WHERE w <> ''),
 q AS (SELECT DISTINCT lower(p) AS word FROM (SELECT unnest(string_split(p_name, ' ')) AS p FROM part)),
