@@ -177,10 +177,11 @@ ACCESS_RE = r'^(\S+) - (\S+) \[([^\]]+)\] "(\S+) (\S+) [^"]*" (\d{3}) (\d+)'
 
 def parse_access(line) -> Column:
     """access-log fields ip, user, time, method, path, status (size parsed, not kept)."""
-    # the pattern runs once per line; a line that does not match stays in one part
-    marks = "\x01".join(f"${i}" for i in range(1, 8))
-    parts = F.split(F.regexp_replace(_c(line), "(?s)" + ACCESS_RE + ".*$", marks), "\x01")
-    ok = F.coalesce(F.size(parts) == 7, F.lit(False))
+    # the pattern runs once per line: its seven fields, or the whole line as the eighth; a field holds no " ]",
+    # as only the time may hold spaces and it ends before a "]", and the first one is never empty
+    either = f"(?s)^(?:{ACCESS_RE[1:]}.*|(.*))$"
+    parts = F.split(F.regexp_replace(_c(line), either, " ]".join(f"${i}" for i in range(1, 9))), " \\]")
+    ok = F.coalesce((F.size(parts) >= 8) & (F.get(parts, F.lit(0)) != ""), F.lit(False))
     g = lambda i: F.when(ok, F.get(parts, F.lit(i - 1))).otherwise(F.lit(""))
     return F.struct(
         g(1).alias("ip"), g(2).alias("user"), access_time(g(3)).alias("time"),

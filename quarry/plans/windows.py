@@ -184,10 +184,7 @@ def w12(spark, sf):
 @register("T5_global_stable_sort", f"""
 WITH {EX} SELECT event_id, server, row_number() OVER (ORDER BY ts, server, event_id) AS pos FROM ex""")
 def t5(spark, sf):
-    """Global stable sort by time of the union of 4 server sources (position by blockwise numbering)."""
+    """Global stable sort by time of 4 server sources, which one scan reads (position by blockwise numbering)."""
     ex = events_x(Tables(spark, sf).events).select("event_id", "ts", "server")
-    u = ex.filter("server = 0")
-    for s in range(1, 4):
-        u = u.unionByName(ex.filter(F.col("server") == s))
-    r = global_row_number(u, ["ts", "server", "event_id"], name="pos")
+    r = global_row_number(ex, ["ts", "server", "event_id"], name="pos")
     return r.select("event_id", "server", "pos")
