@@ -134,17 +134,18 @@ def l8(spark, sf):
 @register("L9_deploy_lines_in_time_order", f"""
 WITH {LAKE}, d AS (SELECT t AS ts, event_id, 'deployed' AS kind, 'deployed version 3.' || CAST(event_id % 9 AS VARCHAR) AS msg FROM lake
                    WHERE service = 'deploy' ORDER BY t, event_id LIMIT 10),
-u AS (SELECT t AS ts, event_id, 'served first' AS kind, event_type AS msg FROM lake WHERE service = 'upload' ORDER BY t, event_id LIMIT 1)
+u AS (SELECT t AS ts, event_id, 'served' AS kind, 'crash at Upload.swift:' || CAST(k % 5 * 10 AS VARCHAR) AS msg FROM lake
+      WHERE service = 'upload' ORDER BY t, event_id LIMIT 10)
 SELECT ts, kind, msg FROM d UNION ALL SELECT ts, kind, msg FROM u""")
 def l9(spark, sf):
-    """Lines about the upload service: its deployments (substring filter, logfmt), first 10 in time order, and the
-    first line that it wrote itself, which shows when it had started."""
+    """Lines about the upload service: its deployments (substring filter, logfmt), and the lines that it wrote itself
+    (JSON), of each the first 10 in time order."""
     lk = _lake(spark, sf)
     deploy = lk.filter((F.col("service") == "deploy") & F.col("line").contains("service=upload"))
     m = deploy.select("ts", "event_id", logfmt("line").alias("m")).orderBy("ts", "event_id").limit(10)
-    first = lk.filter(F.col("service") == "upload").orderBy("ts", "event_id").limit(1)
+    own = lk.filter(F.col("service") == "upload").orderBy("ts", "event_id").limit(10).select("ts", F.from_json("line", "event string, location string").alias("j"))
     return m.select("ts", F.lit("deployed").alias("kind"), m.m["msg"].alias("msg")).unionByName(
-        first.select("ts", F.lit("served first").alias("kind"), F.lit("purchase").alias("msg")))
+        own.select("ts", F.lit("served").alias("kind"), F.concat_ws(" at ", "j.event", "j.location").alias("msg")))
 
 
 @register("L10_failed_logins_by_address", f"""
