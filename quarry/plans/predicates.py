@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from quarry.functions.core import parse_access
 from quarry.operators.documents import photo_documents
+from quarry.operators.keyed_table import KeyedTable
 from quarry.operators.ordering import prefix_running
 from quarry.plans.registry import register
 from quarry.plans.sqlx import EX, PHOTO_DOC
+from quarry.session import scratch_path
 from quarry.sources.derived import access_lines, events_x, lake_lines
 from quarry.sources.tables import Tables
 
@@ -200,3 +202,21 @@ def p16(spark, sf):
     gone = t.customer.filter(F.col("c_nationkey") == 0).select(F.col("c_custkey").alias("o_custkey"))
     return t.orders.select("o_orderkey", "o_custkey").join(gone, "o_custkey", "left_anti").select("o_orderkey",
                                                                                                 "o_custkey")
+
+
+@register("P16b_delete_from_keyed_table", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 7 THEN 'reopened' ELSE o_orderstatus END AS status, o_totalprice FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey = 0) OR o_orderkey % 100 = 7""")
+def p16b(spark, sf):
+    """Delete by an id list, then store some rows anew, in a stored table: deletions mark positions, only the buckets
+    of the new rows are written."""
+    t = Tables(spark, sf)
+    rows = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"), "o_totalprice")
+    gone = t.customer.filter(F.col("c_nationkey") == 0).select(F.col("c_custkey").alias("o_custkey"))
+    doomed = t.orders.select("o_orderkey", "o_custkey").join(gone, "o_custkey", "left_semi").select("o_orderkey")
+    table = KeyedTable(spark, scratch_path(spark, "p16b-table"), ["o_orderkey"], rows.schema.simpleString()[7:-1].replace(":", " "), buckets=16).create()
+    newest = {c: F.max_by(c, F.col("status") == "reopened") for c in ("status", "o_totalprice")}
+    table.merge(rows, newest)
+    table.delete(doomed)
+    table.merge(rows.filter(F.col("o_orderkey") % 100 == 7).withColumn("status", F.lit("reopened")), newest)
+    return table.rows()

@@ -310,15 +310,16 @@ SELECT p_partkey, max(objects) AS objects, max(friends) AS friends, count(*) AS
 @register("X14_upsert_sink_with_writes", UPSERT_SQL)
 def x14(spark, sf):
     """Upsert sink: one row per photo merging both result kinds, with a ``writes`` counter; a repeated
-    result leaves the values unchanged (foreachBatch merge into a versioned table)."""
+    result leaves the values unchanged (foreachBatch merge into the buckets of the batch's keys)."""
     topic = _results_topic(spark, sf)
     s = read_topic(spark, topic, max_files_per_trigger=3).select(
         F.from_json("value", "p_partkey bigint, objects string, friends string").alias("m"), "offset").select(
         "m.*", "offset")
-    base = scratch_path(spark, "x14-table")
-    run_available(s.writeStream.foreachBatch(jobs.versioned_upsert(spark, base, "p_partkey", ["objects", "friends"])),
-                  scratch_path(spark, "x14-ck"))
-    return jobs.current_version(spark, base).select("p_partkey", "objects", "friends", "writes")
+    columns = ["objects", "friends"]
+    table = jobs.upsert_table(spark, scratch_path(spark, "x14-table"), "p_partkey", columns, buckets=16)
+    run_available(s.writeStream.foreachBatch(jobs.upsert(table, columns)), scratch_path(spark, "x14-ck"))
+    table.remove_old(keep=1)
+    return table.rows().select("p_partkey", *columns, "writes")
 
 
 @register("X15_ordering_with_and_without_key", """

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.core import stable_hash
+from quarry.operators.keyed_table import KeyedTable
 from quarry.sources.derived import events_x
 from quarry.streaming.topic import to_messages
 
@@ -58,35 +59,29 @@ def current_version(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(best.first()["current"])
 
 
-def versioned_upsert(spark: SparkSession, base: str, key: str, latest_cols: list[str]):
-    """``foreachBatch`` upsert into a versioned table with a ``writes`` counter.
+def upsert_table(spark: SparkSession, base: str, key: str, latest_cols: list[str], key_type: str = "bigint", buckets: int = 256) -> KeyedTable:
+    """An empty table for :func:`upsert`: per text column the offset it came from, and a ``writes`` counter."""
+    columns = ", ".join(f"{c} string, {c}_offset bigint" for c in latest_cols)
+    return KeyedTable(spark, base, [key], f"{key} {key_type}, {columns}, writes bigint", buckets).create()
 
-    A batch is pre-aggregated per key (per column the non-null value of the highest
-    offset, and that offset), merged with version ``batch_id - 1`` by a full outer
-    join, where the higher offset wins whatever order batches come in, and written
-    as version ``batch_id``; then its pointer is published.  Re-running a batch id
-    rebuilds the same version (idempotent).  Only batch 0 starts from nothing: a
-    previous version that cannot be read is an error.
+
+def upsert(table: KeyedTable, latest_cols: list[str]):
+    """``foreachBatch`` upsert with a ``writes`` counter into a table of buckets.
+
+    Per column the non-null value of the highest offset stays, whatever order
+    batches come in; only the buckets of a batch's keys are written.  Batch ``n``
+    makes version ``n + 1``; a batch that is run again changes nothing, and one
+    whose predecessor is missing is an error.
     """
+    combine = {"writes": F.sum("writes")}
+    for c in latest_cols:
+        combine |= {c: F.max_by(c, f"{c}_offset"), f"{c}_offset": F.max(f"{c}_offset")}
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        seen = lambda c: F.when(F.col(c).isNotNull(), F.col("offset"))
-        aggs = [x for c in latest_cols for x in (F.max_by(F.col(c), seen(c)).alias(c), F.max(seen(c)).alias(f"{c}_offset"))]
-        merged = batch.groupBy(key).agg(*aggs, F.count(F.lit(1)).alias("writes"))
-        if batch_id > 0:
-            old = spark.read.parquet(f"{base}/v={batch_id - 1}")
-            o = old.select(key, *[F.col(c).alias(f"_o_{c}") for c in old.columns if c != key])
-            j = o.join(merged, key, "full_outer")
-
-            def newest(c: str):
-                old_wins = F.col(f"{c}_offset").isNull() | (F.col(f"_o_{c}_offset") > F.col(f"{c}_offset"))
-                return [F.when(old_wins, F.col(f"_o_{c}")).otherwise(F.col(c)).alias(c),
-                        F.greatest(f"_o_{c}_offset", f"{c}_offset").alias(f"{c}_offset")]
-
-            merged = j.select(key, *[x for c in latest_cols for x in newest(c)],
-                              (F.coalesce("_o_writes", F.lit(0)) + F.coalesce("writes", F.lit(0))).alias("writes"))
-        merged.write.mode("overwrite").parquet(f"{base}/v={batch_id}")
-        publish(spark, base, batch_id, f"{base}/v={batch_id}")
+        if batch_id > table.version():
+            raise ValueError(f"batch {batch_id} comes after version {table.version()}")
+        offsets = {f"{c}_offset": F.when(F.col(c).isNotNull(), F.col("offset")) for c in latest_cols}
+        table.merge(batch.withColumns({**offsets, "writes": F.lit(1)}), combine, batch_id + 1)
 
     return fn
 

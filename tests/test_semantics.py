@@ -313,23 +313,6 @@ def test_parsers_survive_bad_lines(spark):
     assert one("not json", fn.int_fields("x")) is None
 
 
-def test_upsert_keeps_the_highest_offset_of_each_column(spark, tmp_path):
-    import pytest
-
-    from quarry.streaming import jobs
-
-    base = str(tmp_path / "t")
-    fn = jobs.versioned_upsert(spark, base, "k", ["a", "b"])
-    schema = "k long, a string, b string, offset long"
-    fn(spark.createDataFrame([(1, "new", None, 100), (2, "x", "y", 7)], schema), 0)
-    fn(spark.createDataFrame([(1, "old", "b1", 5), (3, "z", None, 8)], schema), 1)
-    fn(spark.createDataFrame([(1, "old", "b1", 5), (3, "z", None, 8)], schema), 1)  # the same batch again
-    got = {r["k"]: (r["a"], r["b"], r["writes"]) for r in jobs.current_version(spark, base).collect()}
-    assert got == {1: ("new", "b1", 2), 2: ("x", "y", 1), 3: ("z", None, 1)}
-    with pytest.raises(Exception):  # version 4 is missing: not a first version
-        fn(spark.createDataFrame([(1, "c", None, 200)], schema), 5)
-
-
 def test_a_replaced_table_gives_new_answers(spark, tmp_path):
     from quarry.plans.registry import load_all
 
