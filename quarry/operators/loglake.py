@@ -6,11 +6,11 @@ column expressions.  Range vectors are left-open, right-closed ``(t - r, t]``.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.core import log_time
+from quarry.session import scratch_path
 
 HOUR_US = 3600 * 1_000_000
 
@@ -44,55 +44,52 @@ def mask_digits(line: Column) -> Column:
     return F.array_join(F.transform(toks, lambda t: F.when(t.rlike(r"\d"), F.lit("<*>")).otherwise(t)), " ")
 
 
-SIM_THRESHOLD = 0.4
-
-
-def _similarity(template: list[str], tokens: list[str]) -> tuple[float, int]:
-    same = params = 0
-    for a, b in zip(template, tokens):
-        if a == "<*>":
-            params += 1
-        elif a == b:
-            same += 1
-    return same / len(tokens), params
-
-
-def _merge_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Online clustering of the distinct masked lines of one (service, length, first token) group,
-    in order of first appearance: join the most similar template if similarity >= 0.4, turning
-    differing positions into ``<*>``; otherwise start a new template."""
-    pdf = pdf.sort_values(["first_ts", "masked"])
-    clusters: list[list] = []  # [tokens, size]
-    for masked, n in zip(pdf["masked"], pdf["n"]):
-        toks = masked.split(" ")
-        best, best_key = None, None
-        for c in clusters:
-            sim, params = _similarity(c[0], toks)
-            if sim >= SIM_THRESHOLD and (best_key is None or (sim, params) > best_key):
-                best, best_key = c, (sim, params)
-        if best is None:
-            clusters.append([toks, int(n)])
-        else:
-            best[0] = [a if a == b else "<*>" for a, b in zip(best[0], toks)]
-            best[1] += int(n)
-    service = pdf["service"].iloc[0]
-    return pd.DataFrame({"service": [service] * len(clusters), "template": [" ".join(c[0]) for c in clusters],
-                         "size": [c[1] for c in clusters]})
-
-
-def templates(lines: DataFrame, service_col: str = "service", line_col: str = "line", ts_col: str = "ts") -> DataFrame:
-    """Log templates per service without a parser (Drain-style).
-
-    All rows go through SQL (mask + count per distinct masked line); only the
-    distinct masked lines reach Python, grouped like Drain's parse tree by
-    (service, token count, first token), so no group holds raw lines.
-    """
-    m = lines.select(F.col(service_col).alias("service"), mask_digits(F.col(line_col)).alias("masked"),
-                     F.col(ts_col).alias("ts"))
-    d = m.groupBy("service", "masked").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"))
-    d = (d.withColumn("n_tok", F.size(F.split("masked", " ")))
-         .withColumn("first_tok", F.split("masked", " ").getItem(0)))
-    out = d.groupBy("service", "n_tok", "first_tok").applyInPandas(
-        _merge_group, "service string, template string, size long")
-    return out.groupBy("service", "template").agg(F.sum("size").alias("size"))
+WILDCARD = "<*>"
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """Written and read again: each level is computed once, and hot nodes of the next join can be split."""
+    path = scratch_path(df.sparkSession, "templates")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
+def _same_node(a: str, b: str) -> Column:
+    return F.col(f"{a}.service").eqNullSafe(F.col(f"{b}.service")) & (F.col(f"{a}.n_tok") == F.col(f"{b}.n_tok")) & (F.col(f"{a}.prefix") == F.col(f"{b}.prefix"))
+
+
+def placed_lines(lines: DataFrame, service_col: str = "service", line_col: str = "line", depth: int = 4, fan_out: int = 16) -> DataFrame:
+    """The distinct masked lines (service, tokens, n) with the template of each, found without a parser.
+
+    A prefix tree per (service, number of tokens): on each of the first ``depth``
+    levels a node has a child per token, or, with more than ``fan_out`` different
+    ones, a single wildcard child.  In a leaf, a later position on which all lines
+    agree keeps its token, any other is a wildcard.  A level is a count of distinct
+    tokens per node, combined before the shuffle, and a join with the wide nodes, so
+    no node is ever one task.  Lines without text (null) are left out.
+    """
+    m = lines.filter(F.col(line_col).isNotNull()).select(F.col(service_col).alias("service"), mask_digits(F.col(line_col)).alias("masked"))
+    d = m.groupBy("service", "masked").agg(F.count(F.lit(1)).alias("n")).withColumn("tokens", F.split("masked", " "))
+    node = ["service", "n_tok", "prefix"]
+    rows = _stored(d.select("service", F.size("tokens").alias("n_tok"), "tokens", "n", F.array().cast("array<string>").alias("prefix")))
+    for level in range(depth):
+        token = F.get("tokens", F.lit(level))
+        children = rows.filter(F.col("n_tok") > level).select(*node, token.alias("token")).distinct()
+        wide = children.groupBy(*node).agg(F.count(F.lit(1)).alias("children")).filter(F.col("children") > fan_out)
+        marked = rows.alias("r").join(wide.alias("w"), _same_node("r", "w"), "left").select("r.*", "w.children")
+        step = F.array(F.when(F.col("children").isNull(), token).otherwise(F.lit(WILDCARD)))
+        longer = F.when(F.col("n_tok") > level, F.concat("prefix", step)).otherwise(F.col("prefix"))
+        rows = _stored(marked.select("service", "n_tok", "tokens", "n", longer.alias("prefix")))
+    rest = rows.filter(F.col("n_tok") > depth).select(*node, F.posexplode(F.slice("tokens", F.lit(depth + 1), F.col("n_tok"))).alias("at", "token"))
+    agreed = rest.groupBy(*node, "at").agg(F.min("token").alias("low"), F.max("token").alias("high"))
+    kept = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.lit(WILDCARD))
+    # one entry per position of a line
+    tails = agreed.groupBy(*node).agg(F.transform(F.sort_array(F.collect_list(F.struct("at", kept.alias("token")))), lambda x: x["token"]).alias("tail"))
+    out = rows.alias("r").join(tails.alias("t"), _same_node("r", "t"), "left")
+    return out.select("r.service", "tokens", "n", F.concat("r.prefix", F.coalesce("tail", F.array().cast("array<string>"))).alias("template"))
+
+
+def templates(lines: DataFrame, service_col: str = "service", line_col: str = "line", depth: int = 4, fan_out: int = 16) -> DataFrame:
+    """The templates of each service with their numbers of lines (see :func:`placed_lines`)."""
+    placed = placed_lines(lines, service_col, line_col, depth, fan_out)
+    return placed.groupBy("service", F.array_join("template", " ").alias("template")).agg(F.sum("n").alias("size"))

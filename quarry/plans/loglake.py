@@ -7,12 +7,17 @@ the original columns.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.functions.core import logfmt, parse_access
 from quarry.operators import loglake as ll
+from quarry.operators.lake_store import LakeStore
 from quarry.plans.registry import register
 from quarry.plans.sqlx import EX
+from quarry.session import scratch_path
 from quarry.sources.derived import access_lines, lake_lines, redelivered
 from quarry.sources.tables import Tables
 
@@ -39,6 +44,11 @@ def _lake(spark, sf, events=None):
     return ll.ingest(lake_lines(events if events is not None else Tables(spark, sf).events))
 
 
+def _store(spark, sf):
+    """The lake with its chunk directory, as the ingest stores it."""
+    return LakeStore.build(_lake(spark, sf), scratch_path(spark, "lake-store"))
+
+
 @register("L1_ingest_labels_time", f"""
 WITH {LAKE} SELECT service, file, host, count(*) AS lines, min(t) AS first_ts, max(t) AS last_ts FROM lake GROUP BY 1, 2, 3""")
 def l1(spark, sf):
@@ -66,10 +76,9 @@ def l2(spark, sf):
 WITH {LAKE} SELECT service, file, count(*) AS lines FROM lake
 WHERE t > TIMESTAMP '{END}' - INTERVAL 3 DAY AND t <= TIMESTAMP '{END}' GROUP BY 1, 2""")
 def l3(spark, sf):
-    """Lines per source in the range ``(END - 3d, END]`` (left-open, right-closed)."""
-    lk = _lake(spark, sf)
-    return lk.filter(ll.in_range(F.col("ts"), END, 3 * 86400)).groupBy("service", "file").agg(
-        F.count(F.lit(1)).alias("lines"))
+    """Lines per source in the range ``(END - 3d, END]`` (left-open, right-closed), from the chunks of a stored lake that meet it."""
+    after = str(datetime.fromisoformat(END) - timedelta(days=3))
+    return _store(spark, sf).between(after, END).groupBy("service", "file").agg(F.count(F.lit(1)).alias("lines"))
 
 
 @register("L4_server_errors_per_hour", f"""
@@ -101,12 +110,19 @@ def l5(spark, sf):
 WITH {LAKE} SELECT service, count(*) AS n FROM lake
 WHERE event_type IN ('error', 'purchase') AND t > TIMESTAMP '{DAY}' AND t <= TIMESTAMP '{DAY}' + INTERVAL 1 DAY GROUP BY 1""")
 def l6(spark, sf):
-    """Lines with error/fatal/critical per service within one day."""
-    lk = _lake(spark, sf)
-    day = F.lit(f"{DAY} 00:00:00").cast("timestamp_ntz")
-    rng = (F.col("ts") > day) & (F.col("ts") <= day + F.expr("INTERVAL 1 DAY"))
-    return lk.filter(rng & F.col("line").rlike("(?i)error|fatal|critical")).groupBy("service").agg(
-        F.count(F.lit(1)).alias("n"))
+    """Lines with error/fatal/critical per service within one day, from the chunks of that day that may hold such lines."""
+    day = datetime.fromisoformat(DAY)
+    found = _store(spark, sf).holding(["error", "fatal", "critical"], str(day), str(day + timedelta(days=1)))
+    return found.groupBy("service").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("P6b_rare_text_by_chunk_filter", f"""
+WITH {LAKE} SELECT file, count(*) AS lines, min(t) AS first_ts, max(t) AS last_ts FROM lake
+WHERE service = 'nginx' AND k = 42 GROUP BY file""")
+def p6b(spark, sf):
+    """Substring search over the whole lake: the chunks whose filters may hold ``"GET /st/42 `` are read, no others."""
+    found = _store(spark, sf).holding(['"GET /st/42 '])
+    return found.groupBy("file").agg(F.count(F.lit(1)).alias("lines"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
 @register("L7_errors_by_image_format", f"""
@@ -162,26 +178,25 @@ def l10(spark, sf):
 
 @register("L11_templates_without_parser")
 def l11(spark, sf):
-    """Log templates per service without a parser (mask + count in SQL, similarity merge per group)."""
-    lk = _lake(spark, sf)
-    return ll.templates(lk)
+    """Log templates per service without a parser (a prefix tree built level by level)."""
+    return ll.templates(_lake(spark, sf))
 
 
 @register("L11b_template_sizes", f"""
 WITH {LAKE} SELECT service, CAST(count(*) AS BIGINT) AS lines,
        TRUE AS all_placed FROM lake GROUP BY service""")
 def l11b(spark, sf):
-    """The sizes of a service's templates add up to its lines, and every line fits a template of its service."""
-    lk = _lake(spark, sf).select("service", "line", "ts")
-    found = ll.templates(lk)
-    sizes = found.groupBy("service").agg(F.sum("size").alias("lines"))
-    # distinct masked lines against templates of the same service and length, position by position
-    masked = lk.select("service", F.split(ll.mask_digits(F.col("line")), " ").alias("m")).distinct()
-    t = found.select("service", F.split("template", " ").alias("t"))
-    fits = (masked.join(t, (masked.service == t.service) & (F.size("m") == F.size("t")), "left")
-            .select(masked.service, "m", F.coalesce(F.forall(F.arrays_zip("m", "t"), lambda x: (x["t"] == "<*>") | (x["t"] == x["m"])), F.lit(False)).alias("fit"))
-            .groupBy("service", "m").agg(F.bool_or("fit").alias("fit")).groupBy("service").agg(F.bool_and("fit").alias("all_placed")))
-    return sizes.join(fits, "service")
+    """The sizes of a service's templates add up to its lines, and every line fits its template, position by position."""
+    fits = F.forall(F.arrays_zip("tokens", "template"), lambda x: x["template"].isin("<*>") | (x["template"] == x["tokens"]))
+    return ll.placed_lines(_lake(spark, sf)).groupBy("service").agg(F.sum("n").alias("lines"), F.bool_and(fits).alias("all_placed"))
+
+
+@register("L11c_top3_templates")
+def l11c(spark, sf):
+    """Number of templates of each service and its 3 most frequent ones (ties by text)."""
+    found = ll.templates(_lake(spark, sf))
+    first = found.withColumn("rank", F.row_number().over(Window.partitionBy("service").orderBy(F.desc("size"), "template"))).filter("rank <= 3")
+    return first.join(found.groupBy("service").agg(F.count(F.lit(1)).alias("templates")), "service")
 
 
 @register("T3_topk_sum_by", f"""
