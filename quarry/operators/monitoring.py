@@ -70,3 +70,37 @@ def flatten_otlp(doc: DataFrame) -> DataFrame:
         F.col("s.startTimeUnixNano").alias("start_ns"), F.col("s.endTimeUnixNano").alias("end_ns"),
         F.map_from_entries(F.transform("s.attributes", lambda a: F.struct(a["key"], a["value"]["stringValue"])))
         .alias("attrs"))
+
+
+def max_over_time(samples: DataFrame, labels: list[str], ts: str, value: Column, range_s: int, step_s: int) -> DataFrame:
+    """``max_over_time(<value> by (labels)[range:step])`` at every step that has a value.
+
+    ``value`` is an aggregate over the samples in ``(step - step_s, step]``; the
+    result has ``labels``, ``step``, ``total`` and ``max_over_time``, the largest
+    total of the steps in ``(step - range_s, step]``.  ``range_s`` is a multiple of
+    ``step_s``; a step without samples has no value, samples without a time have no step.
+
+    Time is cut into panes of one range, so a range is the end of one pane and the
+    start of the next.  Each pane gets its totals and those of the pane before, at
+    the step where they leave the range; the answer is the larger of a running
+    maximum forwards (own totals) and one backwards (totals that have not left).
+    A pane holds at most two ranges of steps, whatever the number of samples.
+    """
+    width = range_s // step_s
+    if width * step_s != range_s or width < 1:
+        raise ValueError(f"a range of {range_s} s is no multiple of {step_s} s")
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    stepped = samples.filter(F.col(ts).isNotNull()).withColumn("_step", F.ceil(us / F.lit(step_s * 1_000_000)).cast("bigint"))
+    totals = stepped.groupBy(*labels, "_step").agg(value.alias("total"))
+    pane = F.floor(F.col("_step") / width).cast("bigint")
+    own = F.struct(pane.alias("pane"), F.col("_step").alias("at"), F.lit(0).alias("left"))
+    later = F.struct((pane + 1).alias("pane"), (F.col("_step") + width).alias("at"), F.lit(1).alias("left"))
+    dealt = totals.select(*labels, "_step", "total", F.explode(F.array(own, later)).alias("_p")).select("*", "_p.*").drop("_p")
+    part = Window.partitionBy(*labels, "pane")
+    whole = (Window.unboundedPreceding, Window.currentRow)
+    before = F.max(F.when(F.col("left") == 0, F.col("total"))).over(part.orderBy("at", "left").rowsBetween(*whole))
+    # backwards, own totals come first among equals: a total that leaves at this step is out
+    after = F.max(F.when(F.col("left") == 1, F.col("total"))).over(part.orderBy(F.desc("at"), "left").rowsBetween(*whole))
+    best = dealt.select(*labels, "_step", "total", "left", F.greatest(before, after).alias("max_over_time")).filter(F.col("left") == 0)
+    step = F.timestamp_micros(F.col("_step") * F.lit(step_s * 1_000_000)).cast("timestamp_ntz").alias("step")
+    return best.select(*labels, step, "total", "max_over_time")

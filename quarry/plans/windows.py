@@ -12,6 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.operators.late import late_flags
+from quarry.operators.monitoring import max_over_time
 from quarry.operators.ordering import count_decreases, count_in_range, global_row_number, prefix_running, running_last
 from quarry.plans.registry import register
 from quarry.plans.sqlx import ARRIVAL, EX, ES
@@ -169,6 +170,16 @@ def w11(spark, sf):
     return s.groupBy("server").agg(F.max("total").alias("max_total"))
 
 
+@register("W11b_max_over_time_at_each_step", f"""
+WITH {EX}, s AS (SELECT server, CAST(ceil(epoch_us(ts) / 60000000) AS BIGINT) AS i, count(*) AS total FROM ex GROUP BY 1, 2)
+SELECT server, make_timestamp(i * 60000000) AS step, total,
+       max(total) OVER (PARTITION BY server ORDER BY i RANGE BETWEEN 359 PRECEDING AND CURRENT ROW) AS max_over_time FROM s""")
+def w11b(spark, sf):
+    """Max over time of a summed gauge, ``[6h:1m]`` at every step: the busiest minute of each server in the 6 hours before."""
+    ex = events_x(Tables(spark, sf).events)
+    return max_over_time(ex, ["server"], "ts", F.count(F.lit(1)), 6 * 3600, 60)
+
+
 ANCHOR = 133422131
 
 
