@@ -21,11 +21,13 @@ from itertools import groupby, islice
 from typing import Protocol
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from quarry.operators.keyed_table import KeyedTable
+
 ROWS_OUT = 10_000
 
 
@@ -57,12 +59,10 @@ def _arrow(ddl: str) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(ddl))
 
 
-def fold(events: DataFrame, key: str, order: list[str], monoid: Monoid, n_blocks: int | None = None) -> DataFrame:
-    """``(key, state columns)`` of every key whose final state is not None; events in ``order`` per key."""
-    n = n_blocks or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    kind = events.schema[key].dataType.simpleString()
-    parts_ddl, out_ddl = f"{key} {kind}, _blk int, {monoid.transform_ddl}", f"{key} {kind}, {monoid.state_ddl}"
-    parts_schema, out_schema = _arrow(parts_ddl), _arrow(out_ddl)
+def _block_transforms(events: DataFrame, key: str, order: list[str], monoid: Monoid, n: int) -> DataFrame:
+    """``(key, _blk, transform)``: one transform per key and block of the order, and blocks are ordered."""
+    ddl = f"{key} {events.schema[key].dataType.simpleString()}, _blk int, {monoid.transform_ddl}"
+    schema = _arrow(ddl)
 
     def blocks(batches):
         def rows():
@@ -72,24 +72,98 @@ def fold(events: DataFrame, key: str, order: list[str], monoid: Monoid, n_blocks
                     t = monoid.step(t, event)
                 yield {key: k, "_blk": b, **t}
 
-        return _batches(rows(), parts_schema)
+        return _batches(rows(), schema)
+
+    e = (events.repartitionByRange(n, key, *order).sortWithinPartitions(key, *order)
+         .withColumn("_blk", F.spark_partition_id()))
+    return e.mapInArrow(blocks, ddl)
+
 
-    def merge(batches):
+def _composer(keys: list[str], monoid: Monoid, finish, ddl: str):
+    """Composes the transforms of each key, which come in order; ``finish`` gives the key's result or None."""
+    schema = _arrow(ddl)
+
+    def run(batches):
         def rows():
-            for k, own in groupby(_records(batches), lambda r: r[key]):
+            for k, own in groupby(_records(batches), lambda r: tuple(r[c] for c in keys)):
                 t = monoid.identity()
                 for part in own:
                     t = monoid.compose(t, part)
-                state = monoid.final(t)
-                if state is not None:
-                    yield {key: k, **state}
+                result = finish(t)
+                if result is not None:
+                    yield {**dict(zip(keys, k, strict=True)), **result}
 
-        return _batches(rows(), out_schema)
+        return _batches(rows(), schema)
 
-    e = (events.repartitionByRange(n, key, *order).sortWithinPartitions(key, *order)
-         .withColumn("_blk", F.spark_partition_id()))
-    parts = e.mapInArrow(blocks, parts_ddl)
-    return parts.repartition(n, key).sortWithinPartitions(key, "_blk").mapInArrow(merge, out_ddl)
+    return run
+
+
+def fold(events: DataFrame, key: str, order: list[str], monoid: Monoid, n_blocks: int | None = None) -> DataFrame:
+    """``(key, state columns)`` of every key whose final state is not None; events in ``order`` per key."""
+    n = n_blocks or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    ddl = f"{key} {events.schema[key].dataType.simpleString()}, {monoid.state_ddl}"
+    parts = _block_transforms(events, key, order, monoid, n)
+    return parts.repartition(n, key).sortWithinPartitions(key, "_blk").mapInArrow(_composer([key], monoid, monoid.final, ddl), ddl)
+
+
+class StoredFold:
+    """A fold whose transforms are kept in a keyed table, so that a run reads new events only.
+
+    ``position`` is the highest value of the integer column ``order`` that has been
+    folded in.  ``advance`` takes the events after it, folds them by blocks and
+    composes the results onto the stored transforms, in the buckets of their keys
+    only; events up to the position are passed over, so a run may be repeated.
+    Events must come in order: one that arrives after its place was passed is not seen.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, key_type: str, order: str, monoid: Monoid, buckets: int = 256):
+        self.key, self.order, self.monoid = key, order, monoid
+        self.key_ddl = f"{key} {key_type}"
+        self.table = KeyedTable(spark, path, [key], f"{self.key_ddl}, _upto bigint, {monoid.transform_ddl}", buckets)
+
+    def create(self) -> StoredFold:
+        self.table.create()
+        return self
+
+    def position(self) -> int | None:
+        return self.table.rows().agg(F.max("_upto")).first()[0]
+
+    def advance(self, events: DataFrame, n_blocks: int | None = None) -> None:
+        at = self.position()
+        fresh = events if at is None else events.filter(F.col(self.order) > at)
+        n = n_blocks or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+        monoid = _Tracked(self.monoid, self.order)
+        parts = _block_transforms(fresh, self.key, [self.order], monoid, n)
+
+        def rewrite(old: DataFrame, new: DataFrame) -> DataFrame:
+            both = old.withColumn("_blk", F.lit(-1)).unionByName(new)
+            ddl = f"bucket int, {self.key_ddl}, {monoid.transform_ddl}"
+            dealt = both.repartition(F.col("bucket")).sortWithinPartitions("bucket", self.key, "_blk")
+            return dealt.mapInArrow(_composer(["bucket", self.key], monoid, lambda t: t, ddl), ddl)
+
+        self.table.update(parts, rewrite)
+
+    def state(self) -> DataFrame:
+        """``(key, state columns)`` as of the position."""
+        ddl = f"{self.key_ddl}, {self.monoid.state_ddl}"
+        return self.table.rows().mapInArrow(_composer([self.key], self.monoid, self.monoid.final, ddl), ddl)
+
+
+class _Tracked:
+    """A monoid that also keeps how far it has come."""
+
+    def __init__(self, monoid: Monoid, order: str):
+        self.monoid, self.order = monoid, order
+        self.transform_ddl = f"_upto bigint, {monoid.transform_ddl}"
+
+    def identity(self) -> dict:
+        return {"_upto": None, **self.monoid.identity()}
+
+    def step(self, transform: dict, event: dict) -> dict:
+        return {**self.monoid.step(transform, event), "_upto": event[self.order]}
+
+    def compose(self, first: dict, then: dict) -> dict:
+        return {**self.monoid.compose(first, then), "_upto": then["_upto"] if then["_upto"] is not None else first["_upto"]}
 
 
 def reduce_sorted(rows: DataFrame, keys: list[str], reducer, schema: str) -> DataFrame:

@@ -15,6 +15,8 @@ a stream that repeats a batch changes nothing.  Nulls are keys like any other.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -122,18 +124,31 @@ class KeyedTable:
 
         A hot key in ``changes`` is combined before the shuffle; the rows of a bucket are moved once.
         """
+        aggs = [combine[c].alias(c) for c in self.fields.names if c not in self.key]
+        group = ["bucket", *self.key]
+        new = self._typed(changes, self.fields.names).groupBy(*group).agg(*aggs)
+
+        def rewrite(old: DataFrame, new: DataFrame) -> DataFrame:
+            return old.unionByName(new).repartition(F.col("bucket")).groupBy(*group).agg(*aggs)  # no shuffle after the first
+
+        return self._change(new, rewrite, version)
+
+    def update(self, changes: DataFrame, rewrite: Callable[[DataFrame, DataFrame], DataFrame], version: int | None = None) -> int:
+        """Change the buckets of ``changes`` (with the key and any other columns): ``rewrite(rows, changes)``, both with
+        their ``bucket``, gives all rows of these buckets, with ``bucket``, and at least one of each."""
+        keys = {c: F.col(c).cast(self.fields[c].dataType) for c in self.key}
+        return self._change(changes.withColumns(keys).select("*", self._bucket()), rewrite, version)
+
+    def _change(self, changes: DataFrame, rewrite: Callable[[DataFrame, DataFrame], DataFrame], version: int | None) -> int:
         now = self.version()
         version = now + 1 if version is None else version
         if version <= now:
             return now
-        aggs = [combine[c].alias(c) for c in self.fields.names if c not in self.key]
-        group = ["bucket", *self.key]
-        new = self._staged(self._typed(changes, self.fields.names).groupBy(*group).agg(*aggs), version)
+        new = self._staged(changes, version)
         touched = self._buckets_of(new)
         manifest = self.manifest(now)
         old = self._rows({b: manifest[b] for b in touched if b in manifest})
-        dealt = old.unionByName(new).repartition(F.col("bucket"))  # also serves the grouping by (bucket, key)
-        (dealt.groupBy(*group).agg(*aggs).select("bucket", *self.fields.names)
+        (rewrite(old, new).select("bucket", *self.fields.names)
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/rows/v={version}"))
         self._publish(version, manifest | {b: (version, None) for b in touched})
         delete_path(self.spark, f"{self.path}/staged/v={version}")

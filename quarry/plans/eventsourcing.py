@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from quarry.operators import replay as rp
 from quarry.operators.documents import photo_documents
-from quarry.operators.fold import replay_fold
+from quarry.operators.fold import ReplayFold, StoredFold, replay_fold
 from quarry.operators.ordering import running_last
 from quarry.plans.registry import register
 from quarry.plans.sqlx import ESLOG, EX
+from quarry.session import scratch_path
 from quarry.sources.derived import es_log
 from quarry.sources.tables import Tables
 
@@ -214,3 +215,13 @@ def w6(spark, sf):
 def d4(spark, sf):
     """User-defined fold ``apply(state, event)`` (monoid form, mapInPandas + bounded merge)."""
     return replay_fold(_log(spark, sf))
+
+
+@register("D4b_fold_kept_across_runs", replay_sql() + " SELECT * FROM state")
+def d4b(spark, sf):
+    """User-defined fold kept in a table: a first run over the older events, a second one that reads the newer events only."""
+    log = _log(spark, sf).select("photo_id", "seq", "type", "user", "path", "title")
+    kept = StoredFold(spark, scratch_path(spark, "d4b-state"), "photo_id", log.schema["photo_id"].dataType.simpleString(), "seq", ReplayFold(), buckets=16).create()
+    kept.advance(log.filter(F.col("seq") <= SNAPSHOT_SEQ))
+    kept.advance(log)
+    return kept.state()
