@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.core import n_fields, parse_access
+from quarry.operators.audit import AuditedLog
 from quarry.operators.documents import photo_documents
 from quarry.operators.ordering import count_decreases
 from quarry.plans.registry import register
@@ -282,15 +283,42 @@ UNION ALL SELECT 'tampered', count(*) FROM events WHERE event_id % 1000 = 7 AND
 def q13(spark, sf):
     """Append-only audit: old rows missing from a new log version (must be 0 when only appended)."""
     ev = Tables(spark, sf).events.select("event_id", "ts", "event_type", "value")
-    half = ev.agg((F.max("event_id") + 1).alias("m")).select((F.col("m") / 2).alias("half"))
-    old = ev.crossJoin(half).filter(F.col("event_id") < F.col("half")).drop("half")
-    appended = ev
     tampered = ev.withColumn("value", F.when(F.col("event_id") % 1000 == 7, F.col("value") + 1).otherwise(F.col("value")))
-    a = old.exceptAll(appended).agg(F.count(F.lit(1)).alias("changed_or_removed")).select(
-        F.lit("appended").alias("version"), "changed_or_removed")
-    b = old.exceptAll(tampered).agg(F.count(F.lit(1)).alias("changed_or_removed")).select(
-        F.lit("tampered").alias("version"), "changed_or_removed")
-    return a.unionByName(b)
+    log = _audited(spark, ev, tampered)
+
+    def count(version, number):
+        return log.lost(1, number).agg(F.count(F.lit(1)).alias("changed_or_removed")).select(
+            F.lit(version).alias("version"), "changed_or_removed")
+
+    return count("appended", 2).unionByName(count("tampered", 3))
+
+
+@register("Q13b_rows_lost_between_versions", """
+WITH m AS (SELECT max(event_id) + 1 AS n FROM events)
+SELECT event_id, ts, event_type, value FROM events, m
+WHERE event_id >= n // 4 AND event_id < n // 4 + n // 50 AND event_id % 5 IN (1, 2)""")
+def q13b(spark, sf):
+    """The rows that a tampered version of the log lost: some changed, some removed, within a fiftieth of the log; digests
+    name the blocks, rows are read from these only."""
+    ev = Tables(spark, sf).events.select("event_id", "ts", "event_type", "value")
+    n = (ev.agg(F.max("event_id")).first()[0] or 0) + 1
+    at = F.col("event_id")
+    hit = (at >= n // 4) & (at < n // 4 + n // 50)
+    tampered = (ev.filter(~(hit & (at % 5 == 2)))
+                .withColumn("value", F.when(hit & (at % 5 == 1), F.coalesce(F.col("value"), F.lit(0.0)) + 1).otherwise(F.col("value"))))
+    return _audited(spark, ev, tampered).lost(1, 3)
+
+
+def _audited(spark, ev, tampered):
+    """Versions of the event log: 1 the older half, 2 the rest appended to it, 3 the tampered log."""
+    n = (ev.agg(F.max("event_id")).first()[0] or 0) + 1
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ev.schema)
+    log = AuditedLog(spark, scratch_path(spark, "audit"), schema, "event_id", block_rows=n // 64 + 1)
+    older = F.col("event_id") < n / 2
+    log.store(ev.filter(older), 1)
+    log.store(ev.filter(~older), 2, base=1)
+    log.store(tampered, 3)
+    return log
 
 
 @register("Q14_served_equals_exact", f"""
