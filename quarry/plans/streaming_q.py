@@ -8,7 +8,9 @@ batch DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.core import stable_hash
@@ -23,6 +25,7 @@ from quarry.sources.derived import arrival_key, events_x, redelivered
 from quarry.sources.tables import Tables
 from quarry.streaming import jobs
 from quarry.streaming.closing import WindowReporter
+from quarry.streaming.groups import GroupTopic
 from quarry.streaming.topic import append_in_order, read_topic, release, run_available, stage_chunks, to_messages, write_topic
 
 
@@ -535,3 +538,30 @@ def j12(spark, sf):
     return m.groupBy("p_partkey").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("offset"))).alias(c) for c in ("objects", "friends")],
         F.count(F.lit(1)).alias("writes"))
+
+
+@register("X16b_lag_from_stored_commits", f"""
+WITH {EX}, c AS (SELECT (max(event_id) + 1) * 3 // 4 AS cut FROM ex),
+p AS (SELECT kpart, max(event_id) + 1 AS high, coalesce(max(event_id) FILTER (WHERE event_id < cut) + 1, -1) AS older,
+        count(*) FILTER (WHERE event_id >= cut) AS newer, count(*) AS n FROM ex, c GROUP BY kpart),
+g AS (SELECT 'behind' AS consumer_group, kpart, high, older AS committed, newer AS waiting FROM p
+      UNION ALL SELECT 'new', kpart, high, -1, n FROM p UNION ALL SELECT 'up to date', kpart, high, high, 0 FROM p)
+SELECT consumer_group, kpart, high AS high_watermark, committed, high - greatest(committed, 0) AS lag, waiting FROM g""")
+def x16b(spark, sf):
+    """Lag per partition from the commits of three groups: one stopped before the last append, one read all, one is new."""
+    msgs = jobs.events_messages(Tables(spark, sf).events)
+    cut = ((msgs.agg(F.max("offset")).first()[0] or 0) + 1) * 3 // 4
+    topic = GroupTopic(spark, scratch_path(spark, "topic-x16b"))
+    stored = scratch_path(spark, "x16b")
+
+    def archive(group):
+        return lambda batch, number: batch.write.mode("overwrite").parquet(f"{stored}/{group}/batch={number}")
+
+    topic.append(msgs.filter(F.col("offset") < cut), 0)
+    topic.consume("behind", archive("behind"), files_per_batch=8)
+    topic.append(msgs.filter(F.col("offset") >= cut), 1)
+    topic.consume("up-to-date", archive("up-to-date"), files_per_batch=8)
+    groups = {"behind": "behind", "up-to-date": "up to date", "new": "new"}
+    return reduce(DataFrame.unionByName, [
+        topic.positions(g).select(F.lit(name).alias("consumer_group"), F.col("partition").alias("kpart"), "high_watermark",
+                                  "committed", "lag", "waiting") for g, name in groups.items()])
