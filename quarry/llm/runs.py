@@ -147,7 +147,8 @@ def without_repeats(docs: DataFrame, hasher, remover, id_col: str, text_col: str
     runs = frozen(rows.select("id", "tk", hasher("t").alias("runs")).filter(F.size("runs") > 0), "runs")
     removed = repeated_runs(runs, spare_first)
     discard(runs)
-    return (rows.join(removed, ["id", "tk"], "left").withColumn("cut", remover("t", "removed"))
+    # the runs to remove grow with the rows, so they are merged with them at any size and never broadcast
+    return (rows.join(removed.hint("merge"), ["id", "tk"], "left").withColumn("cut", remover("t", "removed"))
             .select("payload", field(id_col).alias("id"), "cut.text", "cut.spans", F.coalesce("cut.n_removed", F.lit(0)).alias("n_removed")))
 
 
