@@ -151,15 +151,21 @@ def running_last(df: DataFrame, part_cols: list, order_cols: list, value_cols: l
 def running_sum(df: DataFrame, part_cols: list, order_cols: list, value_col: str, n_blocks: int | None = None,
                 name: str = "_run_sum") -> DataFrame:
     """Add ``name``: running sum of ``value_col`` up to and including the row, per part in order."""
+    return running_sums(df, part_cols, order_cols, [value_col], n_blocks, "_lsum").withColumnRenamed(f"{value_col}_lsum", name)
+
+
+def running_sums(df: DataFrame, part_cols: list, order_cols: list, value_cols: list[str], n_blocks: int | None = None,
+                 suffix: str = "_run") -> DataFrame:
+    """Add ``<c><suffix>``: running sum of each of ``value_cols`` up to and including the row, per part in order."""
     pc = list(part_cols)
     b = with_blocks(df, order_cols, n_blocks)
     w_local = Window.partitionBy("_blk", *pc).orderBy(*_cols(order_cols)).rowsBetween(Window.unboundedPreceding, 0)
-    b = b.withColumn("_lsum", F.sum(value_col).over(w_local))
-    blocks = b.groupBy(*pc, "_blk").agg(F.sum(value_col).alias("_bsum"))
+    blocks = b.groupBy(*pc, "_blk").agg(*[F.sum(c).alias(f"_b_{c}") for c in value_cols])
+    b = b.withColumns({f"_l_{c}": F.sum(c).over(w_local) for c in value_cols})
     w_blk = Window.partitionBy(*pc).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    off = blocks.withColumn("_off", F.coalesce(F.sum("_bsum").over(w_blk), F.lit(0)))
-    j = b.join(off.select(*pc, "_blk", "_off"), [*pc, "_blk"])
-    return j.withColumn(name, F.col("_lsum") + F.col("_off")).drop("_lsum", "_off", "_blk")
+    off = blocks.select(*pc, "_blk", *[F.coalesce(F.sum(f"_b_{c}").over(w_blk), F.lit(0)).alias(f"_o_{c}") for c in value_cols])
+    j = b.join(off, [*pc, "_blk"])
+    return j.withColumns({f"{c}{suffix}": F.col(f"_l_{c}") + F.col(f"_o_{c}") for c in value_cols}).drop("_blk", *[f"{x}_{c}" for x in ("_l", "_o") for c in value_cols])
 
 
 def count_in_range(df: DataFrame, part_cols: list, ts_col: str, id_col: str, width: int,
