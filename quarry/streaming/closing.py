@@ -34,20 +34,26 @@ class WindowReporter:
 
     def state(self, batch_id: int) -> DataFrame:
         if batch_id < 0:
-            return self.spark.createDataFrame([], STATE)
+            return self.spark.range(0).select(F.from_json(F.lit("{}"), STATE).alias("s")).select("s.*")
         return self.spark.read.schema(STATE).parquet(f"{self.base}/state/v={batch_id}")
 
     def reports(self) -> DataFrame:
         return self.spark.read.schema(REPORT).parquet(f"{self.base}/reports")
 
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self.base}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}")
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         before = self.state(batch_id - 1)
         # what was seen before comes first: every window that had an event, and the latest time
         seen = before.select(F.explode(F.array_distinct(F.array("window_start", "latest"))).alias("ts")).distinct()
         first = seen.select("ts", F.lit(None).cast("string").alias("obj"), F.lit(-1 << 63).alias("arrival"), F.lit(-1).cast("bigint").alias("event_id"), F.lit(True).alias("known"))
-        rows = batch.select("ts", "obj", "arrival", "event_id", F.lit(False).alias("known")).union(first)
+        # messages are read and parsed once, and the order of arrival is gone through once
+        rows = self.stored(batch.select("ts", "obj", "arrival", "event_id", F.lit(False).alias("known")).union(first), f"rows-{batch_id}")
         flags = late_flags(rows, "ts", ["arrival", "event_id"], self.window_h, self.allowed_h).filter("not known")
         now = flags.groupBy("window_start", "obj").agg(F.count_if(~F.col("late")).alias("n"), F.count_if(F.col("late")).alias("late"), F.max("ts").alias("latest"))
+        now = self.stored(now, f"now-{batch_id}")
         both = before.select("window_start", "obj", "n", "late", "reported", "latest").union(now.select("window_start", "obj", "n", "late", F.lit(False), "latest"))
         # one row per (window, object); the latest time and the windows' marks belong to all their rows
         latest = both.agg(F.max("latest")).first()[0]
@@ -55,9 +61,7 @@ class WindowReporter:
         counts = both.groupBy("window_start", "obj").agg(F.sum("n").alias("n"), F.sum("late").alias("late")).join(marks, "window_start")
         counts = counts.withColumn("latest", F.lit(latest).cast("timestamp_ntz"))
         closed = F.col("window_start") + F.expr(f"interval {self.window_h + self.allowed_h} hours") < F.col("latest")
-        path = f"{self.base}/counts-{batch_id}"
-        counts.withColumn("closed", closed).write.mode("overwrite").parquet(path)
-        counts = self.spark.read.parquet(path)
+        counts = self.stored(counts.withColumn("closed", closed), f"counts-{batch_id}")
 
         ranked = counts.filter("closed and not was and n > 0").withColumn("rn", F.row_number().over(Window.partitionBy("window_start").orderBy(F.desc("n"), "obj")))
         best = F.array_sort(F.collect_list(F.when(F.col("rn") <= self.top, F.struct("rn", F.concat_ws(" ", "obj", "n").alias("text")))))
@@ -67,6 +71,7 @@ class WindowReporter:
         kept = counts.groupBy("window_start", F.when(~F.col("closed"), F.col("obj")).alias("obj")).agg(
             F.sum("n").alias("n"), F.sum("late").alias("late"), F.first("closed").alias("reported"), F.first("latest").alias("latest"))
         kept.write.mode("overwrite").parquet(f"{self.base}/state/v={batch_id}")
-        delete_path(self.spark, path)
+        for name in ("rows", "now", "counts"):
+            delete_path(self.spark, f"{self.base}/{name}-{batch_id}")
         if batch_id > 1:  # the state before the last one is needed no more
             delete_path(self.spark, f"{self.base}/state/v={batch_id - 2}")

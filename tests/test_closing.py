@@ -58,3 +58,17 @@ def test_any_micro_batches_give_the_same(spark, tmp_path, arrivals, cuts):
     state = reporter.state(len(edges) - 2)
     assert {r.window_start: (r.n, r.late) for r in state.groupBy("window_start").agg(F.sum("n").alias("n"), F.sum("late").alias("late")).collect()} == totals
     assert state.filter("reported").count() == len(reports)  # one row per closed window
+
+
+def test_a_batch_is_read_once(spark, tmp_path, arrivals):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    ddl = "ts timestamp_ntz, obj string, arrival bigint, event_id bigint"
+    batch = spark.createDataFrame([(t, obj, n, i) for n, (i, t, obj) in enumerate(arrivals)], ddl).mapInArrow(counted, ddl)
+    WindowReporter(spark, str(tmp_path))(batch, 0)
+    assert read.value == len(arrivals)
