@@ -26,7 +26,7 @@ from quarry.sources.tables import Tables
 from quarry.streaming import jobs
 from quarry.streaming.closing import WindowReporter
 from quarry.streaming.groups import GroupTopic
-from quarry.streaming.topic import append_in_order, read_topic, release, run_available, stage_chunks, to_messages, write_topic
+from quarry.streaming.topic import append_in_order, files_per_chunk, read_topic, release, run_available, stage_chunks, to_messages, write_topic
 
 
 def _events_topic(spark, sf, name="events", events=None, ordered_chunks=None, order_col="offset"):
@@ -149,7 +149,7 @@ def x4(spark, sf):
     """
     path = scratch_path(spark, "topic-x4")
     width = append_in_order(jobs.events_messages(Tables(spark, sf).events), path, 6, F.unix_micros("timestamp"))
-    s = jobs.parse_events(read_topic(spark, path, max_files_per_trigger=1)).withColumn("t", F.col("ts").cast("timestamp"))
+    s = jobs.parse_events(read_topic(spark, path, files_per_chunk(spark, path, 6))).withColumn("t", F.col("ts").cast("timestamp"))
     delay = f"{width // 1_000_000 + 1 + 2 * 3600} seconds"
     counts = s.withWatermark("t", delay).groupBy(F.window("t", "6 hours").alias("w"), F.col("event_type").alias("obj")).agg(
         F.count(F.lit(1)).alias("n"), F.max("t").alias("latest"))
@@ -272,7 +272,7 @@ def x13(spark, sf):
     the first one, so state is needed for the producer's disorder only."""
     path = scratch_path(spark, "topic-x13")
     width = append_in_order(jobs.events_messages(redelivered(Tables(spark, sf).events)), path, 6, F.unix_micros("timestamp"))
-    s = jobs.parse_events(read_topic(spark, path, max_files_per_trigger=1)).withColumn("t", F.col("timestamp").cast("timestamp"))
+    s = jobs.parse_events(read_topic(spark, path, files_per_chunk(spark, path, 6))).withColumn("t", F.col("timestamp").cast("timestamp"))
     d = s.withWatermark("t", f"{width // 1_000_000 + 1} seconds").dropDuplicatesWithinWatermark(["offset"])
     got = _sink(spark, d.select("event_type", "offset"), "x13")
     return got.groupBy("event_type").agg(F.count(F.lit(1)).alias("messages"))

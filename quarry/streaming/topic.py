@@ -47,17 +47,23 @@ def append_in_order(msgs: DataFrame, path: str, chunks: int, order: Column | str
     over time (a broker source needs none of it).
     """
     at = F.col(order) if isinstance(order, str) else order
-    stored = scratch_path(msgs.sparkSession, "to-append")
-    msgs.withColumn("_at", at).write.parquet(stored)
-    msgs = msgs.sparkSession.read.parquet(stored)
-    lo, hi = (int(x) if x is not None else 0 for x in msgs.agg(F.min("_at"), F.max("_at")).first())
+    spark, stored = msgs.sparkSession, scratch_path(msgs.sparkSession, "to-append")
+    lo, hi = (int(x) if x is not None else 0 for x in msgs.select(at.alias("at")).agg(F.min("at"), F.max("at")).first())
     width = (hi - lo) // chunks + 1
+    dealt = msgs.withColumn("_chunk", F.floor((at - lo) / width).cast("int"))
+    dealt.filter("_chunk is not null").write.partitionBy("_chunk").parquet(stored)  # a chunk is then read alone
+    back = spark.read.schema(dealt.schema).parquet(stored)
     for i in range(chunks):
-        part = msgs.filter((F.col("_at") >= lo + i * width) & (F.col("_at") < lo + (i + 1) * width)).drop("_at")
-        part.write.mode("append").parquet(f"{path}/chunk={i:05d}")
+        back.filter(F.col("_chunk") == i).drop("_chunk").write.mode("append").parquet(f"{path}/chunk={i:05d}")
     return width
 
 
+def files_per_chunk(spark: SparkSession, path: str, chunks: int) -> int:
+    """Files of a topic of ``chunks`` appends that a consumer takes at a time to have about one batch per chunk, whatever
+    number of files the chunks have: every batch costs a pass over the state, so their number should not grow with the topic."""
+    return max(1, -(-len(spark.read.schema(MESSAGE_DDL).option("recursiveFileLookup", True).parquet(path).inputFiles()) // chunks))
+
+
 def stage_chunks(msgs: DataFrame, chunks: int, order: Column) -> tuple[str, int]:
     """The messages in ``chunks`` folders of equal widths of the (integer) order, written in one pass; the staging
     folder and the number of chunks that hold messages.  :func:`release` hands them to consumers one by one."""
