@@ -55,3 +55,35 @@ def test_held_out_accuracy(spark):
     assert len(rows) == 1000 and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     held = [r for r in rows if r.held_out and r.doc_id in truth]
     assert np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.95
+
+
+def some_rows(n, seed):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, len(Q.NAMES))).astype(np.float32).astype(float)
+    return x, (x[:, 0] - x[:, 1] ** 2 + rng.normal(size=n) > 0.5).astype(int)
+
+
+def test_all_pairs_are_learned_from():
+    x, y = some_rows(500, 2)
+    m = Q.fit(x, y)
+    w, z = np.array(m["weights"]), Q.standard(x, np.array(m["mean"]), np.array(m["sd"]))
+    good, bad = z[y == 1], z[y == 0]
+    miss = 1 / (1 + np.exp((good @ w)[:, None] - (bad @ w)[None, :]))
+    grad = (bad.T @ miss.sum(axis=0) - good.T @ miss.sum(axis=1)) / miss.size + Q.PENALTY * w
+    assert np.abs(grad).max() < 1e-4
+
+
+def test_a_table_is_fitted_as_its_matrix(spark):
+    x, y = some_rows(900, 3)
+    rows = spark.createDataFrame([(r.tolist(), int(k)) for r, k in zip(x, y)], "x array<float>, y int")
+    a, b = Q.fit(x, y), Q.fit_rows(rows.repartition(5))
+    assert a.keys() == b.keys() and all(np.allclose(a[k], b[k], rtol=0, atol=3e-6) for k in a)
+
+
+@pytest.mark.parametrize("n", [1, 2, 999])
+def test_quantile_of_a_table(spark, n):
+    v = np.round(np.random.default_rng(n).normal(size=n), 2)
+    bits = v.view(np.int64)
+    keys = spark.createDataFrame([(int(k),) for k in bits ^ ((bits >> 63) & np.int64((1 << 63) - 1))], "u long")
+    for share in (0.0, 0.37, 1.0):
+        assert abs(Q._quantile(keys, share) - np.quantile(v, share)) < 1e-12
