@@ -32,6 +32,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +40,8 @@ from pyspark.sql import types as T
 from quarry.llm.common import field, payload, slices
 
 SPACE, SPACE_SIGN = 0x20, 0x2581
+#: Words whose ids are kept from one slice to the next.
+KEPT = 1 << 17
 _CODES = 0x110000
 #: Bits of the table of neighbours; two pairs in one place only make a word longer.
 _TABLE_BITS = 22
@@ -65,6 +68,7 @@ class Model:
         if any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) for p in proto.pieces):
             raise ValueError("models with user-defined or unused pieces are not supported")
         self.size = len(proto.pieces)
+        self.kept_words, self.kept_ids = pa.array([], pa.binary()), pa.array([], pa.list_(pa.int32()))
         pieces = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == kinds.NORMAL}
         score = [p.score for p in proto.pieces]
         sign = chr(SPACE_SIGN)
@@ -216,6 +220,21 @@ class Model:
             sym = np.where(bare[of], self.byte_ids[np.where(bare[of], byte, 0)], sym[of])
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), pa.array(sym, pa.int32()))
 
+    def recalled(self, words: pa.Array) -> pa.ListArray:
+        """``ids_of`` distinct words, most of which earlier slices had; all words of a slice are kept, those of earlier ones up to ``KEPT``."""
+        at = pc.index_in(words, value_set=self.kept_words)
+        fresh = pc.is_null(at)
+        new = words.filter(fresh)
+        if len(new):
+            made = pa.concat_arrays([self.kept_ids, self.ids_of(new)])
+            isnew = np.asarray(fresh)
+            place = np.where(isnew, len(self.kept_words) + np.cumsum(isnew) - 1, np.asarray(at.fill_null(0)))
+            ids = made.take(pa.array(place))
+            kept = pa.concat_arrays([self.kept_words, new])
+            self.kept_words, self.kept_ids = (kept, made) if len(kept) <= KEPT and kept.nbytes <= 64 * KEPT else (words, ids)
+            return ids
+        return self.kept_ids.take(at)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the texts, and the number of each."""
         length = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
@@ -229,7 +248,7 @@ class Model:
         begins[offsets[:-1][length > 0]] = True
         at = np.append(np.flatnonzero(begins), len(code))
         words = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * 4).astype(np.int32)), pa.py_buffer(code)]).dictionary_encode()
-        known = self.ids_of(words.dictionary)
+        known = self.recalled(words.dictionary)
         per_word = np.diff(np.asarray(known.offsets))[np.asarray(words.indices)]
         ids = np.asarray(known.take(words.indices).flatten())
         upto = np.concatenate([[0], np.cumsum(per_word)])[np.searchsorted(at, offsets)]

@@ -86,3 +86,19 @@ def test_query(spark):
         ids = PLAIN.encode(texts[r.doc_id])
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(PLAIN.decode(ids).encode()).hexdigest()
+
+
+def test_kept_words_change_nothing(monkeypatch):
+    from pathlib import Path
+
+    from quarry.llm import pieces
+    from quarry.llm.queries import PIECE_BPE
+
+    data = Path(PIECE_BPE).read_bytes()
+    texts = [[f"word{i * 7 % 90} tail{k} x é世  {i}", "", f"again word{k}"] for k in range(6) for i in range(20)]
+    want = [[a.tolist() for a in pieces.Model(data).encode(t)] for t in texts]
+    for kept in (0, 10, 1 << 17):
+        monkeypatch.setattr(pieces, "KEPT", kept)
+        model = pieces.Model(data)
+        assert [[a.tolist() for a in model.encode(t)] for t in texts] == want
+        assert kept != 10 or len(model.kept_words) <= 40
