@@ -96,9 +96,19 @@ def test_kept_words_change_nothing(monkeypatch):
 
     data = Path(PIECE_BPE).read_bytes()
     texts = [[f"word{i * 7 % 90} tail{k} x é世  {i}", "", f"again word{k}"] for k in range(6) for i in range(20)]
-    want = [[a.tolist() for a in pieces.Model(data).encode(t)] for t in texts]
+    model = pieces.Model(data)
+    none = model.kept_words, model.kept_ids
+
+    def encoded(t, forget=False):
+        if forget:
+            model.kept_words, model.kept_ids = none
+        return [a.tolist() for a in model.encode(t)]
+
+    want = [encoded(t, forget=True) for t in texts]
+    sizes = []
     for kept in (0, 10, 1 << 17):
         monkeypatch.setattr(pieces, "KEPT", kept)
-        model = pieces.Model(data)
-        assert [[a.tolist() for a in model.encode(t)] for t in texts] == want
-        assert kept != 10 or len(model.kept_words) <= 40
+        model.kept_words, model.kept_ids = none
+        assert [encoded(t) for t in texts] == want
+        sizes.append(len(model.kept_words))
+    assert sizes[0] <= sizes[1] < sizes[2]  # of the last slice only, or of all
