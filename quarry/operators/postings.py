@@ -9,19 +9,27 @@ which to which id and how many.
 
 A search joins the requests with the directory and reads the files of these
 ranges only; the list of their numbers, at most one per file of the index, is
-all that passes the driver.  Counts are answered by the directory alone.
+all that passes the driver.  The requested lists are stored beside the index,
+so that Spark knows their size and few of them are not joined by a shuffle of
+the segments.  Hits are shuffled as arrays, a segment each, and become rows
+after the join.  Shuffle files of what is stored go when it is.  Counts are answered by the directory alone.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import shuffles_removed
+
 SEGMENT = 4096
+IDS_AT_ONCE = 1 << 18  # decoded at once
 KEYS = ["keyword", "owner"]
 
 
@@ -69,6 +77,29 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          [*KEYS, "first_id", "last_id", "n", "steps"])
 
 
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of segments, the number of ids of each segment and all ids; a slice's steps are decoded at once."""
+    for batch in batches:
+        most = np.cumsum(pc.binary_length(batch.column("steps")).to_numpy(zero_copy_only=False) + 1)  # a step has a byte at least
+        k = 0
+        while k < len(batch):
+            upto = max(k + 1, int(np.searchsorted(most, (most[k - 1] if k else 0) + IDS_AT_ONCE, "right")))
+            part = batch.slice(k, upto - k)
+            k = upto
+            blobs = part.column("steps")
+            data = np.frombuffer(b"".join(blobs.to_pylist()), np.uint8)
+            ends = np.cumsum(pc.binary_length(blobs).to_numpy(zero_copy_only=False))
+            n = np.diff(np.append(0, np.cumsum(data < 128))[ends], prepend=0) + 1
+            starts = np.cumsum(n) - n
+            firsts = part.column("first_id").to_numpy(zero_copy_only=False)
+            ids = np.empty(n.sum(), np.int64)
+            step = np.ones(len(ids), bool)
+            step[starts] = False
+            ids[starts], ids[step] = firsts, from_bytes(data).astype(np.int64)
+            ids = np.cumsum(ids)
+            yield part, n, ids - np.repeat(ids[starts] - firsts, n)
+
+
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(0, len(batch), 64):  # at most 64 segments at a time
@@ -80,6 +111,12 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*[part.column(c).take(who) for c in KEYS], pa.array(np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64))], [*KEYS, "id"])
 
 
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, n, ids in _decoded(batches):
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(ids))
+        yield pa.RecordBatch.from_arrays([*[part.column(c) for c in KEYS], lists], [*KEYS, "ids"])
+
+
 class PostingIndex:
     """An index in the folder ``path``."""
 
@@ -93,10 +130,11 @@ class PostingIndex:
         ranged = postings.repartitionByRange(parts, *order) if parts else postings.repartitionByRange(*order)
         rows = ranged.select(*KEYS, F.col("id").cast("bigint")).sortWithinPartitions(*order)
         cut = rows.mapInArrow(_segments, "keyword string, owner string, first_id bigint, last_id bigint, n bigint, steps binary")
-        cut.withColumn("part", F.spark_partition_id()).write.partitionBy("part").option("compression", "zstd").parquet(f"{path}/segments")
         index = cls(postings.sparkSession, path)
-        lists = index.segments().groupBy(*KEYS, "part").agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"), F.sum("n").alias("n"))
-        lists.sort(*KEYS, "part").write.parquet(f"{path}/directory")
+        with shuffles_removed(index.spark):
+            cut.withColumn("part", F.spark_partition_id()).write.partitionBy("part").option("compression", "zstd").parquet(f"{path}/segments")
+            lists = index.segments().groupBy(*KEYS, "part").agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"), F.sum("n").alias("n"))
+            lists.sort(*KEYS, "part").write.parquet(f"{path}/directory")
         return index
 
     def segments(self) -> DataFrame:
@@ -119,7 +157,11 @@ class PostingIndex:
 
     def search(self, requests: DataFrame) -> DataFrame:
         """``requests`` with ``id``: a row per hit, one with null for a keyword or owner that the index doesn't know."""
-        lists = self.lists_of(requests)
+        asked = f"{self.path}/asked-{uuid.uuid4().hex[:12]}"
+        with shuffles_removed(self.spark):
+            self.lists_of(requests).write.parquet(asked)
+        lists = self.spark.read.schema("keyword string, owner string, part int").parquet(asked)
         found = self.files_of(lists).join(lists, [*KEYS, "part"], "left_semi")
-        hits = found.select(*KEYS, "first_id", "steps").mapInArrow(_postings, "keyword string, owner string, id bigint")
-        return requests.join(hits, KEYS, "left")
+        # a segment's ids travel as one array, its keyword and owner once
+        hits = found.select(*KEYS, "first_id", "steps").mapInArrow(_lists, "keyword string, owner string, ids array<bigint>")
+        return requests.join(hits, KEYS, "left").withColumn("id", F.explode_outer("ids")).drop("ids")

@@ -1,6 +1,8 @@
 """The posting-list index: exact lists, hot keywords over many files, and searches that open only the files they need."""
 
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -58,3 +60,31 @@ def test_an_empty_index(spark, tmp_path):
     i = P.PostingIndex.build(spark.createDataFrame([], "keyword string, owner string, id bigint"), f"{tmp_path}/i")
     assert i.postings().count() == 0
     assert [tuple(r) for r in i.search(spark.createDataFrame([("a", "b")], "keyword string, owner string")).collect()] == [("a", "b", None)]
+
+
+def _shuffle_files(spark):
+    of = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {p.name for d in of for p in Path(d).rglob("shuffle_*.data")}
+
+
+def test_stored_parts_leave_no_shuffle_files(spark, tmp_path):
+    rows = [(f"w{i % 50}", f"o{i % 3}", i) for i in range(2000)]
+    before = _shuffle_files(spark)
+    i = P.PostingIndex.build(spark.createDataFrame(rows, "keyword string, owner string, id bigint").repartition(3), f"{tmp_path}/i", parts=4)
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert i.segments().agg(F.sum("n")).first()[0] == 2000
+
+
+def test_hits_reach_the_join_as_arrays(index, spark):
+    rows, i = index
+    requests = spark.createDataFrame([(n, "the", "o1") for n in range(3)] + [(3, "the", "nobody"), (4, None, "o1")], "n int, keyword string, owner string")
+    found = i.search(requests)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(ids") < plan.index("Join LeftOuter") and "LeftSemi" in plan
+    got = found.groupBy("n").agg(F.count("id"), F.min("id"), F.max("id"), F.count(F.lit(1))).sort("n").collect()
+    assert [tuple(r) for r in got] == [(n, 30000, 0, 89997, 30000) for n in range(3)] + [(3, 0, None, None, 1), (4, 0, None, None, 1)]
+    assert found.columns == ["keyword", "owner", "n", "id"]
