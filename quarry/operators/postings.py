@@ -101,14 +101,9 @@ def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k in range(0, len(batch), 64):  # at most 64 segments at a time
-            part = batch.slice(k, 64)
-            steps = [from_bytes(np.frombuffer(b, np.uint8)).astype(np.int64) for b in part.column("steps").to_pylist()]
-            firsts = part.column("first_id").to_pylist()
-            ids = [f + np.concatenate([[0], np.cumsum(s)]) for f, s in zip(firsts, steps, strict=True)]
-            who = pa.array(np.repeat(np.arange(len(ids)), [len(i) for i in ids]))
-            yield pa.RecordBatch.from_arrays([*[part.column(c).take(who) for c in KEYS], pa.array(np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64))], [*KEYS, "id"])
+    for part, n, ids in _decoded(batches):
+        who = pa.array(np.repeat(np.arange(len(n)), n))
+        yield pa.RecordBatch.from_arrays([*[part.column(c).take(who) for c in KEYS], pa.array(ids)], [*KEYS, "id"])
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,8 +128,10 @@ class PostingIndex:
         index = cls(postings.sparkSession, path)
         with shuffles_removed(index.spark):
             cut.withColumn("part", F.spark_partition_id()).write.partitionBy("part").option("compression", "zstd").parquet(f"{path}/segments")
-            lists = index.segments().groupBy(*KEYS, "part").agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"), F.sum("n").alias("n"))
-            lists.sort(*KEYS, "part").write.parquet(f"{path}/directory")
+            # ranges of lists serve both the grouping and the order of the directory
+            dealt = index.segments().drop("steps").repartitionByRange(*KEYS, "part")
+            lists = dealt.groupBy(*KEYS, "part").agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"), F.sum("n").alias("n"))
+            lists.sortWithinPartitions(*KEYS, "part").write.parquet(f"{path}/directory")
         return index
 
     def segments(self) -> DataFrame:

@@ -5,6 +5,8 @@ import time
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -88,3 +90,26 @@ def test_hits_reach_the_join_as_arrays(index, spark):
     got = found.groupBy("n").agg(F.count("id"), F.min("id"), F.max("id"), F.count(F.lit(1))).sort("n").collect()
     assert [tuple(r) for r in got] == [(n, 30000, 0, 89997, 30000) for n in range(3)] + [(3, 0, None, None, 1), (4, 0, None, None, 1)]
     assert found.columns == ["keyword", "owner", "n", "id"]
+
+
+def test_segments_are_decoded_many_at_a_time(monkeypatch):
+    rng = random.Random(6)
+    lists = {f"w{k:04}": sorted({rng.randint(-2**63, 2**63 - 1) for _ in range(rng.randint(1, 4))} | ({-2**63, 2**63 - 1} if k % 7 == 0 else set())) for k in range(3000)}
+    rows = pa.RecordBatch.from_pylist([{"keyword": w, "owner": "o", "id": i} for w, ids in lists.items() for i in ids] + [{"keyword": "x", "owner": None, "id": 5}],
+                                      pa.schema([("keyword", pa.string()), ("owner", pa.string()), ("id", pa.int64())]))
+    [segments] = P._segments([rows])
+    calls, plain = [], P.from_bytes
+    monkeypatch.setattr(P, "from_bytes", lambda data: calls.append(len(data)) or plain(data))
+    assert [r for b in P._postings([segments, segments.slice(0, 0)]) for r in b.to_pylist()] == rows.to_pylist()
+    assert len(segments) == 3001 and len(calls) == 1
+    monkeypatch.setattr(P, "IDS_AT_ONCE", 100)
+    assert [r for b in P._postings([segments.slice(10, 2000)]) for r in b.to_pylist()] == [{"keyword": w, "owner": "o", "id": i} for w, ids in [*lists.items()][10:2010] for i in ids]
+
+
+def test_the_directory_is_sorted_and_has_a_row_per_list_and_file(index, spark):
+    _, i = index
+    want = i.segments().groupBy(*P.KEYS, "part").agg(F.min("first_id"), F.max("last_id"), F.sum("n"))
+    assert sorted(map(tuple, i.directory().collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    stored = sorted(Path(f"{i.path}/directory").glob("*.parquet"))
+    keys = [(w is not None, w or "", o is not None, o or "", p) for f in stored for w, o, p in zip(*(pq.read_table(f).column(c).to_pylist() for c in (*P.KEYS, "part")), strict=True)]
+    assert keys == sorted(keys)
