@@ -12,7 +12,8 @@ ranges only; the list of their numbers, at most one per file of the index, is
 all that passes the driver.  The requested lists are stored beside the index,
 so that Spark knows their size and few of them are not joined by a shuffle of
 the segments.  Hits are shuffled as arrays, a segment each, and become rows
-after the join.  Shuffle files of what is stored go when it is.  Counts are answered by the directory alone.
+after the join.  Shuffle files of what is stored go when it is.  Counts are
+answered by the directory alone.
 """
 
 from __future__ import annotations
