@@ -14,8 +14,11 @@ a vector lies between the sums of its least and greatest products with the cells
    answers, at most k each, are merged.
 
 Queries are a stated set that grows with the table: they go in blocks, too, each
-query block once to each of ``SPREAD`` groups of data blocks, never as a
-broadcast.  A task holds one query block and one data block; copies of one
+query block once to each of ``SPREAD`` groups of data blocks by a merge join:
+a block's file is much smaller than its copies, so Spark's estimates would
+broadcast them.  A task holds one query block and one data block at a time and
+keeps the k best of the query block over the data blocks of its group; whole
+numbers are stored in as few bytes as a block's values need.  Copies of one
 vector are spread over blocks by the hash of their row and read in batches.
 
 Defined results: vectors that are null or hold a null, NaN or infinite component
@@ -32,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import field, frozen, payload
+from quarry.session import shuffles_removed
 
 BLOCK = 2048
 QUERY_BLOCK = 512
@@ -71,51 +75,84 @@ def approximate(v: np.ndarray, cells: int = CELLS) -> tuple[np.ndarray, np.ndarr
     return number, sorted_v[firsts[:-1]], sorted_v[firsts[1:] - 1]
 
 
+def _bytes(x: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as all of them need, after one byte with that size."""
+    size = next(n for n in (1, 2, 4, 8) if n == 8 or not x.size or (x.min() >= -(1 << 8 * n - 1) and x.max() < 1 << 8 * n - 1))
+    return bytes([size]) + x.astype(f"i{size}").tobytes()
+
+
+def _ints(value: bytes) -> np.ndarray:
+    return np.frombuffer(value, f"i{value[0]}", offset=1).astype(np.int64)
+
+
 def _file(table: pa.Table) -> pa.Table:
     v = _matrix(table, "v")
     number, lows, highs = approximate(v)
-    row = [table.column("block")[0].as_py(), *(np.asarray(table.column(c), np.int64).tobytes() for c in ("id", "row")), *(x.tobytes() for x in (number, lows, highs, v))]
+    row = [table.column("block")[0].as_py(), *(_bytes(np.asarray(table.column(c), np.int64)) for c in ("id", "row")), number.tobytes(), *(_bytes(x) for x in (lows, highs, v))]
     names = [c.split()[0] for c in FILE.split(", ")]
     return pa.table({k: pa.array([x], pa.int64() if k == "block" else pa.binary()) for k, x in zip(names, row, strict=True)})
 
 
 def _asked(table: pa.Table) -> pa.Table:
-    return pa.table({"q_ids": pa.array([np.asarray(table.column("id"), np.int64).tobytes()], pa.binary()),
-                     "q_rows": pa.array([np.asarray(table.column("row"), np.int64).tobytes()], pa.binary()),
-                     "q_vectors": pa.array([_matrix(table, "v").tobytes()], pa.binary())})
+    return pa.table({"q_ids": pa.array([_bytes(np.asarray(table.column("id"), np.int64))], pa.binary()),
+                     "q_rows": pa.array([_bytes(np.asarray(table.column("row"), np.int64))], pa.binary()),
+                     "q_vectors": pa.array([_bytes(_matrix(table, "v"))], pa.binary())})
 
 
-def _ints(value: bytes) -> np.ndarray:
-    return np.frombuffer(value, np.int64)
+def bound(q: np.ndarray, number: np.ndarray, lows: np.ndarray, highs: np.ndarray, upper: bool) -> np.ndarray:
+    """Upper or lower bounds of the scores of queries (rows) with the approximated vectors (columns)."""
+    at = np.arange(number.shape[1])
+    cells = np.concatenate([lows[number, at], highs[number, at]], axis=1).astype(float)
+    plus, minus = np.maximum(q, 0), np.minimum(q, 0)
+    sums = np.concatenate([minus, plus] if upper else [plus, minus], axis=1).astype(float) @ cells.T
+    slack = np.outer(np.abs(q.astype(float)).sum(axis=1), np.abs(cells).max(axis=1, initial=0)) * max(1e-13, 3e-16 * cells.shape[1])  # rounding of sums beyond 2^53
+    return sums + slack if upper else sums - slack
 
 
 def bounds(q: np.ndarray, number: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower and upper bounds of the scores of queries (rows) with the approximated vectors (columns)."""
-    at = np.arange(number.shape[1])
-    lo, hi = lows[number, at].astype(float), highs[number, at].astype(float)
-    plus, minus = np.maximum(q, 0).astype(float), np.minimum(q, 0).astype(float)
-    slack = (np.abs(q).astype(float) @ np.maximum(np.abs(lo), np.abs(hi)).T) * 1e-13  # rounding of sums beyond 2^53
-    return plus @ lo.T + minus @ hi.T - slack, plus @ hi.T + minus @ lo.T + slack
+    """Lower and upper bounds of the scores."""
+    return bound(q, number, lows, highs, False), bound(q, number, lows, highs, True)
+
 
+def _pairs(batches):
+    """The pairs, each with whether its query block is another than that of the pair before."""
+    rows = None
+    for b in batches:
+        for at in range(b.num_rows):
+            r = b.slice(at, 1).to_pylist()[0]
+            yield r, r["q_rows"] != rows
+            rows = r["q_rows"]
 
-def _pair(r: dict) -> tuple:
-    q_ids, q_rows, ids, rows = (_ints(r[c]) for c in ("q_ids", "q_rows", "ids", "rows"))
-    q = _ints(r["q_vectors"]).reshape(len(q_ids), -1)
+
+def _bound_of(r: dict, q: np.ndarray, q_rows: np.ndarray, upper: bool) -> np.ndarray:
+    """``bound`` of a pair; -inf where a query meets its own row."""
     d = q.shape[1]
-    number = np.frombuffer(r["cells"], np.uint8).reshape(len(ids), d)
-    low, high = bounds(q, number, _ints(r["lows"]).reshape(-1, d), _ints(r["highs"]).reshape(-1, d))
-    own = q_rows[:, None] == rows[None, :]
-    return q_ids, q_rows, q, ids, rows, np.where(own, -np.inf, low), np.where(own, -np.inf, high)
+    out = bound(q, np.frombuffer(r["cells"], np.uint8).reshape(-1, d), _ints(r["lows"]).reshape(-1, d), _ints(r["highs"]).reshape(-1, d), upper)
+    _, i, j = np.intersect1d(q_rows, _ints(r["rows"]), assume_unique=True, return_indices=True)
+    out[i, j] = -np.inf
+    return out
+
+
+def _highest(x: np.ndarray, k: int) -> np.ndarray:
+    return np.partition(x, -k, axis=1)[:, -k:] if x.shape[1] > k else x
 
 
 def _scan(k: int):
     def scan(batches):
-        for b in batches:
-            for at in range(b.num_rows):
-                _, q_rows, _, _, _, low, _ = _pair(b.slice(at, 1).to_pylist()[0])
-                best = -np.sort(-low, axis=1)[:, :k]
-                there = best > -np.inf
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q_rows, best.shape[1])[there.ravel()]), pa.array(best[there])], ["q_row", "low"])
+        def answer():
+            there = best > -np.inf
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(q_rows, best.shape[1])[there.ravel()]), pa.array(best[there])], ["q_row", "low"])
+
+        best = None
+        for r, other in _pairs(batches):
+            if other:
+                if best is not None:
+                    yield answer()
+                q_rows = _ints(r["q_rows"])
+                q, best = _ints(r["q_vectors"]).reshape(len(q_rows), -1), np.empty((len(q_rows), 0))
+            best = _highest(np.concatenate([best, _highest(_bound_of(r, q, q_rows, False), k)], axis=1), k)
+        if best is not None:
+            yield answer()
 
     return scan
 
@@ -135,20 +172,38 @@ def read_until_certain(q: np.ndarray, high: np.ndarray, bar: float, vectors: np.
 
 def _read(k: int):
     def read(batches):
-        for b in batches:
-            for at in range(b.num_rows):
-                r = b.slice(at, 1).to_pylist()[0]
-                q_ids, q_rows, q, ids, _, _, high = _pair(r)
-                vectors, bars = _ints(r["vectors"]).reshape(len(ids), -1), dict(zip(_ints(r["bar_rows"]).tolist(), np.frombuffer(r["bars"], np.float64).tolist(), strict=True))
-                out = [(int(q_rows[i]), int(q_ids[i]), v, s) for i in range(len(q_ids))
-                       for s, v in read_until_certain(q[i], high[i], bars.get(int(q_rows[i]), -np.inf), vectors, ids, k)[0]]
-                yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], pa.int64()) for c in range(4)], ["q_row", "query_id", "vec_id", "score"])
+        def answer():
+            out = [(int(q_rows[i]), int(q_ids[i]), v, -s) for i, got in found.items() for s, v in got]
+            return pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], pa.int64()) for c in range(4)], ["q_row", "query_id", "vec_id", "score"])
+
+        found: dict[int, list[tuple[int, int]]] | None = None  # (-score, id) of a query
+        for r, other in _pairs(batches):
+            if other:
+                if found is not None:
+                    yield answer()
+                q_ids, q_rows, found = _ints(r["q_ids"]), _ints(r["q_rows"]), {}
+                q = _ints(r["q_vectors"]).reshape(len(q_rows), -1)
+                known = dict(zip(_ints(r["bar_rows"]).tolist(), np.frombuffer(r["bars"], np.float64).tolist(), strict=True))
+                bar = np.array([known.get(x, -np.inf) for x in q_rows.tolist()])
+            high = _bound_of(r, q, q_rows, True)
+            able = np.flatnonzero(high.max(axis=1, initial=-np.inf) >= bar)
+            if not len(able):
+                continue
+            ids = _ints(r["ids"])
+            vectors = _ints(r["vectors"]).reshape(len(ids), -1)
+            for i in able.tolist():
+                got = read_until_certain(q[i], high[i], bar[i], vectors, ids, k)[0]
+                best = found[i] = sorted(found.get(i, []) + [(-s, v) for s, v in got])[:k]
+                if len(best) == k:
+                    bar[i] = max(bar[i], -best[-1][0])
+        if found is not None:
+            yield answer()
 
     return read
 
 
 def _bars(table: pa.Table) -> pa.Table:
-    return pa.table({"qb": pa.array([table.column("qb")[0].as_py()]), "bar_rows": pa.array([np.asarray(table.column("q_row"), np.int64).tobytes()], pa.binary()),
+    return pa.table({"qb": pa.array([table.column("qb")[0].as_py()]), "bar_rows": pa.array([_bytes(np.asarray(table.column("q_row"), np.int64))], pa.binary()),
                      "bars": pa.array([np.asarray(table.column("bar"), np.float64).tobytes()], pa.binary())})
 
 
@@ -158,18 +213,25 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, id_col:
     blocks, asked = -(-rows.count() // BLOCK) or 1, -(-rows.filter(is_query).count() // QUERY_BLOCK) or 1
     deal = lambda n: F.pmod(F.xxhash64("row"), F.lit(n))
     spread = min(SPREAD, blocks)
-    files = frozen(rows.withColumn("block", deal(blocks)).groupBy("block").applyInArrow(_file, FILE), "va-files").withColumn("g", F.col("block") % spread)
+    with shuffles_removed(vectors.sparkSession):
+        files = frozen(rows.withColumn("block", deal(blocks)).groupBy("block").applyInArrow(_file, FILE), "va-files").withColumn("g", F.col("block") % spread)
     queries = rows.filter(is_query).withColumn("qb", deal(asked))
     packed = frozen(queries.groupBy("qb").applyInArrow(lambda key, t: _asked(t).append_column("qb", pa.array([key[0].as_py()])), f"{ASKED}, qb long"), "queries")
-    spread_out = packed.withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
 
-    approximations = files.select("g", "ids", "rows", "cells", "lows", "highs")
-    lows = spread_out.join(approximations, "g").drop("g", "qb").mapInArrow(_scan(k), "q_row long, low double")
+    def pairs(asked, blocks):
+        """Each row of ``asked`` with each of ``blocks``; a broadcast of the copies would not fit the driver."""
+        copies = asked.withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
+        return copies.repartition(spread, "g").hint("merge").join(blocks.repartition(spread, "g"), "g").drop("g")
+
+    lows = pairs(packed.drop("qb", "q_ids"), files.select("g", "rows", "cells", "lows", "highs")).mapInArrow(_scan(k), "q_row long, low double")
     kth = lows.withColumn("r", F.row_number().over(Window.partitionBy("q_row").orderBy(F.desc("low")))).filter(F.col("r") <= k)
     bars = kth.groupBy("q_row").agg(F.when(F.count("*") == k, F.min("low")).otherwise(F.lit(float("-inf"))).alias("bar"))
     bars = bars.join(queries.select(F.col("row").alias("q_row"), "qb"), "q_row").groupBy("qb").applyInArrow(_bars, "qb long, bar_rows binary, bars binary")
 
-    pairs = spread_out.join(frozen(bars, "bars"), "qb").join(files, "g").drop("g", "qb", "block")
-    found = pairs.mapInArrow(_read(k), "q_row long, query_id long, vec_id long, score long")
+    with shuffles_removed(vectors.sparkSession):
+        bars = frozen(bars, "bars")
+
+    barred = packed.join(bars, "qb").drop("qb")
+    found = pairs(barred, files.drop("block")).mapInArrow(_read(k), "q_row long, query_id long, vec_id long, score long")
     order = Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

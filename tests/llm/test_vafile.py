@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +67,48 @@ def test_reading_stops_early():
     exact = v @ q[0]
     assert best == [(int(exact[i]), int(i)) for i in np.lexsort((np.arange(len(v)), -exact))[:10]]
     assert read < len(v) // 10
+
+
+def test_copies_of_query_blocks_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(V, "BLOCK", 64)
+    monkeypatch.setattr(V, "QUERY_BLOCK", 8)
+    df = spark.createDataFrame([(i, e, 1, "x", "y", "z") for i, e in vectors(4, 400, 4)], SCHEMA)
+    found = V.top_k(df, F.col("id") % 50 == 0, 3)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [g#" in plan
+    assert "BroadcastHashJoin [g#" not in plan
+    assert found.count() == 24
+
+
+def pair(v, ids, rows, q, q_ids, q_rows, **more):
+    number, lows, highs = V.approximate(v)
+    return {"q_ids": V._bytes(q_ids), "q_rows": V._bytes(q_rows), "q_vectors": V._bytes(q), "ids": V._bytes(ids), "rows": V._bytes(rows), "cells": number.tobytes(),
+            "lows": V._bytes(lows), "highs": V._bytes(highs), "vectors": V._bytes(v)} | more
+
+
+def test_a_query_block_is_answered_once_for_consecutive_data_blocks():
+    rng = np.random.default_rng(3)
+    v, q = rng.integers(-300, 300, (600, 5)), rng.integers(-300, 300, (7, 5))
+    v[:7] = q  # the queries are rows, too
+    at, none = np.arange(600), {"bar_rows": V._bytes(np.zeros(0, np.int64)), "bars": b""}
+    pairs = [pair(v[i:i + 200], at[i:i + 200] + 5, at[i:i + 200], q[j], j + 5, j, **none) for j in (np.arange(4), np.arange(4, 7)) for i in (0, 200, 400)]
+    batch = pa.RecordBatch.from_pylist(pairs)
+    lows = list(V._scan(3)(iter([batch.slice(0, 2), batch.slice(2)])))
+    assert [len(b) for b in lows] == [12, 9]
+    exact = (q @ v.T).astype(float)
+    exact[np.arange(7), np.arange(7)] = -np.inf
+    kth = np.sort(exact, axis=1)[:, -3]
+    assert all(min(r["low"] for b in lows for r in b.to_pylist() if r["q_row"] == i) <= kth[i] for i in range(7))
+    found = list(V._read(3)(iter([batch.slice(0, 2), batch.slice(2)])))
+    assert [len(b) for b in found] == [12, 9]
+    best = [np.lexsort((at, -exact[i]))[:3] for i in range(7)]
+    assert [tuple(r.values()) for b in found for r in b.to_pylist()] == sorted(
+        [(i, i + 5, int(n) + 5, int(exact[i, n])) for i in range(7) for n in best[i]], key=lambda r: (r[0], -r[3], r[2]))
+
+
+def test_whole_numbers_are_stored_in_few_bytes():
+    for size, values in ((1, [-128, 127]), (2, [-129, 0]), (2, [128]), (4, [1 << 15]), (4, [-(1 << 31)]), (8, [1 << 31]), (8, [-(1 << 63), (1 << 63) - 1])):
+        stored = V._bytes(np.array(values, np.int64))
+        assert len(stored) == 1 + size * len(values)
+        assert V._ints(stored).tolist() == values
+    assert V._ints(V._bytes(np.zeros((0, 3), np.int64))).tolist() == []
