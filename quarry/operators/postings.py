@@ -9,10 +9,14 @@ which to which id and how many.
 
 A search joins the requests with the directory and reads the files of these
 ranges only; the list of their numbers, at most one per file of the index, is
-all that passes the driver.  The requested lists are stored beside the index,
-so that Spark knows their size and few of them are not joined by a shuffle of
-the segments.  Hits are shuffled as arrays, a segment each, and become rows
-after the join.  Shuffle files of what is stored go when it is.  Counts are
+all that passes the driver.  The requests and the requested lists are stored
+beside the index, so that Spark knows their size and few lists are not joined
+by a shuffle of the segments.  Requests for one list are stored in groups of
+``GROUP``, and hits are shuffled as arrays of ``PIECE``; both become rows
+after the join, owner by owner, each id with all requests of its group.  So a
+stored result is small: ids form runs, and the requests between are the same
+few bytes again and again, where the hits of one request after the other need
+bytes for each hit.  Shuffle files of what is stored go when it is.  Counts are
 answered by the directory alone.
 """
 
@@ -24,13 +28,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.session import shuffles_removed
 
 SEGMENT = 4096
 IDS_AT_ONCE = 1 << 18  # decoded at once
+GROUP = 512  # of requests, a multiple of 8: Parquet packs eight values at a time
+PIECE = 256  # of ids that meet a group
 KEYS = ["keyword", "owner"]
 
 
@@ -109,8 +115,11 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, n, ids in _decoded(batches):
-        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(ids))
-        yield pa.RecordBatch.from_arrays([*[part.column(c) for c in KEYS], lists], [*KEYS, "ids"])
+        pieces = -(-n // PIECE)
+        of = np.repeat(np.arange(len(n)), pieces)
+        first = (np.cumsum(n) - n)[of] + PIECE * (np.arange(len(of)) - (np.cumsum(pieces) - pieces)[of])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(ids)).astype(np.int32)), pa.array(ids))
+        yield pa.RecordBatch.from_arrays([*[part.column(c).take(pa.array(of)) for c in KEYS], lists], [*KEYS, "ids"])
 
 
 class PostingIndex:
@@ -153,13 +162,23 @@ class PostingIndex:
         """All segments in the files that hold some of ``lists``; no other file is opened."""
         return self.segments().filter(F.col("part").isin([r.part for r in lists.select("part").distinct().collect()]))
 
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{name}-{uuid.uuid4().hex[:12]}"
+        with shuffles_removed(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def search(self, requests: DataFrame) -> DataFrame:
         """``requests`` with ``id``: a row per hit, one with null for a keyword or owner that the index doesn't know."""
-        asked = f"{self.path}/asked-{uuid.uuid4().hex[:12]}"
-        with shuffles_removed(self.spark):
-            self.lists_of(requests).write.parquet(asked)
-        lists = self.spark.read.schema("keyword string, owner string, part int").parquet(asked)
+        rest = [F.col(f"`{c}`") for c in requests.columns if c not in KEYS] or [F.lit(True).alias("asked")]
+        place = F.row_number().over(Window.partitionBy(*KEYS).orderBy(F.lit(0)))
+        groups = requests.select(*KEYS, F.struct(*rest).alias("r"), F.floor((place - 1) / GROUP).alias("g")).groupBy(*KEYS, "g").agg(F.collect_list("r").alias("asked"))
+        asked = self._stored(groups.drop("g"), "requests")
+        lists = self._stored(self.lists_of(asked), "asked")
         found = self.files_of(lists).join(lists, [*KEYS, "part"], "left_semi")
-        # a segment's ids travel as one array, its keyword and owner once
+        # ids travel as arrays, their keyword and owner once for many
         hits = found.select(*KEYS, "first_id", "steps").mapInArrow(_lists, "keyword string, owner string, ids array<bigint>")
-        return requests.join(hits, KEYS, "left").withColumn("id", F.explode_outer("ids")).drop("ids")
+        # generated code keeps all rows that a row of its input becomes; transform() has none, so that this is one group and piece and not all of a list
+        met = asked.join(hits, KEYS[::-1], "left").select(*KEYS, F.transform("asked", lambda r: r).alias("asked"), "ids")
+        rows = met.select(*KEYS, "asked", F.explode_outer("ids").alias("id")).select(*KEYS, F.explode("asked").alias("r"), "id")
+        return rows.select(*KEYS, *[F.col(f"r.`{c}`") for c in requests.columns if c not in KEYS], "id")

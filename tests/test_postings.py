@@ -1,6 +1,7 @@
 """The posting-list index: exact lists, hot keywords over many files, and searches that open only the files they need."""
 
 import random
+import re
 import time
 from pathlib import Path
 
@@ -113,3 +114,50 @@ def test_the_directory_is_sorted_and_has_a_row_per_list_and_file(index, spark):
     stored = sorted(Path(f"{i.path}/directory").glob("*.parquet"))
     keys = [(w is not None, w or "", o is not None, o or "", p) for f in stored for w, o, p in zip(*(pq.read_table(f).column(c).to_pylist() for c in (*P.KEYS, "part")), strict=True)]
     assert keys == sorted(keys)
+
+
+def test_many_requests_for_one_list_are_stored_in_few_bytes(spark, tmp_path):
+    rng = random.Random(8)
+    ids = rng.sample(range(1 << 40), 10000)
+    i = P.PostingIndex.build(spark.createDataFrame([("the", "o", n) for n in ids], "keyword string, owner string, id bigint"), f"{tmp_path}/i")
+    requests = spark.createDataFrame([(7 * n, "the", "o") for n in range(100)], "n bigint, keyword string, owner string")
+    i.search(requests).write.parquet(f"{tmp_path}/found")
+    found = spark.read.parquet(f"{tmp_path}/found")
+    assert found.distinct().count() == found.count() == 1_000_000  # over 1.7 MB with the hits of one request after the other
+    assert sum(p.stat().st_size for p in Path(f"{tmp_path}/found").glob("*.parquet")) < 600_000
+
+
+@pytest.mark.parametrize("size", [1, 3, 512])
+def test_requests_are_grouped_and_none_is_lost(spark, tmp_path, monkeypatch, size):
+    monkeypatch.setattr(P, "GROUP", size)
+    rows = [("a", "o", n) for n in (5, 3, 9)] + [("b", "p", 1), (None, "o", 2), ("a", None, 4)]
+    i = P.PostingIndex.build(spark.createDataFrame(rows, "keyword string, owner string, id bigint"), f"{tmp_path}/i", parts=2)
+    asked = [(n, "a", "o", [n], "x") for n in range(8)] * 2 + [(n, "z", "o", None, None) for n in range(5)] + [(1, None, "o", [], "y"), (1, None, "o", [], "y"), (2, "a", None, None, "y"), (None, "b", "p", None, None)]
+    schema = "n int, keyword string, owner string, `r.asked` array<int>, asked string"
+    found = i.search(spark.createDataFrame(asked, schema).repartition(3))
+    assert found.columns == ["keyword", "owner", "n", "r.asked", "asked", "id"]
+    want = [(w, o, n, x, s, j) for n, w, o, x, s in asked for j in ([k for a, b, k in rows if (a, b) == (w, o) and None not in (w, o)] or [None])]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+    bare = spark.createDataFrame([("b", "p"), ("b", "p"), ("q", "p"), (None, None)], "keyword string, owner string")
+    assert sorted(map(tuple, i.search(bare).collect()), key=str) == [("b", "p", 1), ("b", "p", 1), ("q", "p", None), (None, None, None)]
+    assert i.search(bare).columns == ["keyword", "owner", "id"]
+
+
+def test_the_rows_of_a_hot_list_are_not_made_by_the_code_that_joins(index, spark):
+    _, i = index
+    requests = spark.createDataFrame([(n, "the", "o1") for n in range(1000)], "n int, keyword string, owner string")
+    found = i.search(requests)
+    assert found.agg(F.count("id"), F.countDistinct("n"), F.countDistinct("id")).first() == (30_000_000, 1000, 30000)
+    few = i.search(requests.limit(2))
+    few.collect()
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    stage = dict(re.findall(r"\*\((\d+)\) (Generate explode\(ids|SortMergeJoin \[owner|BroadcastHashJoin \[owner)", plan.split("Initial Plan")[0])[::-1])
+    assert len(stage) == 2  # the stages of code differ
+
+
+def test_lists_are_cut_into_pieces(monkeypatch):
+    monkeypatch.setattr(P, "PIECE", 4)
+    lists = {"a": [1, 2, 3, 5, 8, 13, 21, 34], "b": [7], "c": list(range(-3, 6))}
+    rows = pa.RecordBatch.from_pylist([{"keyword": w, "owner": "o", "id": i} for w, ids in lists.items() for i in ids])
+    got = [r for b in P._lists(P._segments([rows])) for r in b.to_pylist()]
+    assert [(r["keyword"], r["ids"]) for r in got] == [("a", [1, 2, 3, 5]), ("a", [8, 13, 21, 34]), ("b", [7]), ("c", [-3, -2, -1, 0]), ("c", [1, 2, 3, 4]), ("c", [5])]
