@@ -13,11 +13,11 @@ all that passes the driver.  The requests and the requested lists are stored
 beside the index, so that Spark knows their size and few lists are not joined
 by a shuffle of the segments.  Requests for one list are stored in groups of
 ``GROUP``, and hits are shuffled as arrays of ``PIECE``; both become rows
-after the join, owner by owner, each id with all requests of its group.  So a
-stored result is small: ids form runs, and the requests between are the same
-few bytes again and again, where the hits of one request after the other need
-bytes for each hit.  Shuffle files of what is stored go when it is.  Counts are
-answered by the directory alone.
+after the join, owner by owner, a piece for all requests of a group before the
+next piece.  So a stored result is small: the ids of a piece are the same few
+bytes again and again, where all hits of one request after those of the other
+need bytes for each hit.  Shuffle files of what is stored go when it is.  Counts
+are answered by the directory alone.
 """
 
 from __future__ import annotations
@@ -35,8 +35,8 @@ from quarry.session import shuffles_removed
 
 SEGMENT = 4096
 IDS_AT_ONCE = 1 << 18  # decoded at once
-GROUP = 512  # of requests, a multiple of 8: Parquet packs eight values at a time
-PIECE = 256  # of ids that meet a group
+GROUP = 512  # of requests
+PIECE = 256  # of ids that meet a group, a multiple of 8: Parquet packs eight values at a time
 KEYS = ["keyword", "owner"]
 
 
@@ -180,5 +180,5 @@ class PostingIndex:
         hits = found.select(*KEYS, "first_id", "steps").mapInArrow(_lists, "keyword string, owner string, ids array<bigint>")
         # generated code keeps all rows that a row of its input becomes; transform() has none, so that this is one group and piece and not all of a list
         met = asked.join(hits, KEYS[::-1], "left").select(*KEYS, F.transform("asked", lambda r: r).alias("asked"), "ids")
-        rows = met.select(*KEYS, "asked", F.explode_outer("ids").alias("id")).select(*KEYS, F.explode("asked").alias("r"), "id")
+        rows = met.select(*KEYS, F.explode("asked").alias("r"), "ids").select(*KEYS, "r", F.explode_outer("ids").alias("id"))
         return rows.select(*KEYS, *[F.col(f"r.`{c}`") for c in requests.columns if c not in KEYS], "id")
